@@ -1,0 +1,382 @@
+"""Evaluation passages that occur in documents, as spoken.
+
+Both sides become streams of words. What a subtitle file adds to speech (numbers, times, markup, speaker labels, sound
+descriptions, adverts, lines shown twice, words broken at line ends) is taken out, and words that were misread or
+wrongly encoded are mapped to the evaluation word they stand for.
+
+Windows of half the smallest passage's length slide over both streams; any passage holds such a window even if one of
+its words stayed unreadable. Each window's SimHash is looked up in a multi-index over four blocks of 16 bits: two
+fingerprints within ``RADIUS`` = 3 bits agree in at least one block, so every such pair is found. Candidates are then
+verified exactly: the passage is followed word by word in order from the window outwards, and the weighted shingle
+similarity of the matched texts must reach a limit.
+
+Defined results: null texts match nothing; items shorter than the smallest passage match nothing; repeated rows give
+one pair. The items must fit one index of ``MAX_ITEM_WORDS`` words; a larger set is searched in blocks of that size.
+"""
+
+from __future__ import annotations
+
+import re
+from collections import defaultdict
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cairnflow.llm.subtitles import cues, is_advert, reread, untagged, without_sounds
+
+LEAST, WINDOW, RADIUS, BLOCK_BITS = 12, 6, 3, 16
+MAX_ITEM_WORDS = 200_000
+_BITS = 64
+_UNKNOWN_ROWS = 1 << 12
+_SPEAKER = re.compile(r"^[-–—\s\"“”'«]*(?:[^\W\d_a-zà-ÿ][^\W\d_a-zà-ÿ.’' ]{1,24}): ?(?=\S)")
+_TOKEN = re.compile(r"[^ \t\r\n\f\v]+")
+_EDGE = re.compile(r"^[^\w�]+|[^\w�]+$")
+_SPOKEN = re.compile(r"[^\W_]")
+#: Letters and groups that character recognition takes for one another, each with the class it folds to.
+_GROUPS = (("rn", "m"), ("vv", "w"), ("li", "h"), ("ii", "u"), ("cl", "d"), ("fi", "h"))
+_FOLD = str.maketrans({"0": "o", "c": "e", "o": "e", "a": "e", "e": "e", "1": "l", "i": "l", "j": "l", "|": "l", "!": "l", "t": "l", "f": "l", "l": "l", "5": "s", "8": "b", "6": "b", "h": "b", "b": "b", "9": "g", "q": "g", "g": "g", "u": "n", "n": "n", "v": "y", "y": "y"})
+_ACCENTS = str.maketrans("àáâãäåèéêëìíîïòóôõöùúûüçñýÿ", "aaaaaaeeeeiiiiooooouuuucnyy")
+#: Encodings a Western text may have been read as.
+_ENCODINGS = ("cp1251", "cp1250", "iso8859-2", "cp1254", "iso8859-5", "koi8-r", "cp437", "cp850", "mac-roman", "cp1253", "iso8859-7")
+
+
+def skeleton(word: str) -> str:
+    for a, b in _GROUPS:
+        word = word.replace(a, b)
+    return word.translate(_ACCENTS).translate(_FOLD)
+
+
+def close(a: str, b: str) -> bool:
+    """Within one edit for short words, two for longer ones; a replacement character stands for any."""
+    if abs(len(a) - len(b)) > 2 or min(len(a), len(b)) < 2:
+        return len(a) == len(b) == 1 and "�" in (a, b)
+    most = 1 if max(len(a), len(b)) < 8 else 2
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y and x != "�" and y != "�"))
+    return row[-1] <= most
+
+
+def _letters(word: str) -> int:
+    """The set of letters of a word, as bits; an edit changes at most two of them."""
+    bits = 0
+    for c in word:
+        bits |= 1 << (ord(c) & 63)
+    return bits
+
+
+class Lexicon:
+    """Word ids: evaluation words have their own, any other word a negative one that depends on its letters."""
+
+    def __init__(self, words: list[str], other: frozenset[str]) -> None:
+        self.words = words
+        self.ids = {w: i for i, w in enumerate(words)}
+        self.other = other
+        self.by_skeleton: dict[str, int] = {}
+        for w, i in self.ids.items():
+            self.by_skeleton[k] = -1 if (k := skeleton(w)) in self.by_skeleton else i
+        self.by_shape: dict[tuple, list[tuple[int, str]]] = defaultdict(list)
+        for w in words:
+            self.by_shape[len(w), w[:1]].append((_letters(w), w))
+            self.by_shape[len(w), "", w[-1:]].append((_letters(w), w))
+        self.cache: dict[str, int] = {}
+        self.letters: dict[int, str] = {}
+
+    def _meant(self, word: str) -> int | None:
+        found = self.by_skeleton.get(skeleton(word), -1)
+        if found >= 0:
+            return found
+        if len(word) < 4:
+            return None
+        bits = _letters(word)
+        most = 2 if len(word) < 8 else 4
+        near = {
+            w for n in (len(word) - 1, len(word), len(word) + 1) for key in ((n, word[:1]), (n, "", word[-1:]))
+            for own, w in self.by_shape.get(key, ()) if (own ^ bits).bit_count() <= most and close(word, w)
+        }
+        if len(near) == 1:
+            return self.ids[near.pop()]
+        return None
+
+    def _resolve(self, token: str) -> int | None:
+        spelled = _EDGE.sub("", reread(token).lower())
+        if not _SPOKEN.search(spelled):
+            return None
+        if spelled in self.ids:
+            return self.ids[spelled]
+        if spelled not in self.other and len(spelled) <= 24 and sum(map(str.isdigit, spelled)) <= len(spelled) / 2:
+            if not spelled.isascii():
+                for code in _ENCODINGS:
+                    try:
+                        again = _EDGE.sub("", token.encode(code).decode("cp1252").lower())
+                    except (UnicodeEncodeError, UnicodeDecodeError):
+                        continue
+                    if again in self.ids:
+                        return self.ids[again]
+            if (meant := self._meant(spelled)) is not None:
+                return meant
+        other = -1 - (hash_word(spelled) % (1 << 40))
+        self.letters[other] = spelled
+        return other
+
+    def id(self, token: str) -> int | None:
+        """None for a token that says nothing."""
+        try:
+            return self.cache[token]
+        except KeyError:
+            if len(self.cache) > 300_000:
+                self.cache.clear()
+                self.letters.clear()
+            found = self.cache[token] = self._resolve(token)
+            return found
+
+    def same(self, item_word: int, seen: int) -> bool:
+        if item_word == seen:
+            return True
+        if seen >= 0 or (spelled := self.letters.get(seen)) is None or spelled in self.other:
+            return False
+        word = self.words[item_word]
+        return skeleton(word) == skeleton(spelled) or close(word, spelled)
+
+
+def hash_word(word: str) -> int:
+    h = 1469598103934665603
+    for b in word.encode("utf-8", "replace"):
+        h = ((h ^ b) * 1099511628211) & 0xFFFFFFFFFFFFFFFF
+    return h
+
+
+def _overlap(before: list[int], new: list[int]) -> int:
+    """The longest run of words that ends what was said and begins the new line, allowing one misread word in four."""
+    for k in range(min(len(before), len(new), 24), 0, -1):
+        if before[-k] == new[0] or before[-1] == new[k - 1]:
+            wrong = sum(a != b for a, b in zip(before[-k:], new[:k]))
+            if wrong <= k // 4:
+                return k
+    return 0
+
+
+def spoken(text: str, lexicon: Lexicon) -> list[int]:
+    """The ids of the words a document says, in order."""
+    lines: list[list[int]] = []
+    adverts = is_advert(text)
+    cache, resolve = lexicon.cache, lexicon.id
+    pending, before = "", []
+    for cue in cues(text):
+        for line in cue:
+            line = without_sounds(untagged(line))
+            if adverts and is_advert(line):
+                continue
+            if ":" in line:
+                line = _SPEAKER.sub("", line)
+            tokens = line.split() if line.isascii() else _TOKEN.findall(line)
+            if not tokens:
+                continue
+            shown = [cache[t] if t in cache else resolve(t) for t in tokens]
+            # A line shown twice in a row is said once.
+            if len(shown) == len(before) and (shown == before or 4 * sum(a != b for a, b in zip(shown, before)) <= len(shown)):
+                continue
+            before = shown
+            if pending:
+                shown = [resolve(pending + tokens[0].lstrip("-–—“\"'")), *shown[1:]]
+                pending = ""
+            last = tokens[-1]
+            if last[-1] in "-\xad" and len(last) > 1 and last[-2].isalpha():
+                pending = last[:-1]
+                shown = shown[:-1]
+            ids = [i for i in shown if i is not None]
+            if ids:
+                lines.append(ids)
+    if pending and (i := resolve(pending)) is not None:
+        lines.append([i])
+    if len(lines) < 2:
+        return lines[0] if lines else []
+    overlaps = [0, *(_overlap(a, b) for a, b in zip(lines, lines[1:]))]
+    rolling = sum(k >= 2 or k == len(b) for k, b in zip(overlaps, lines)) * 3 >= len(lines)
+    out: list[int] = []
+    for k, line in zip(overlaps, lines):
+        if rolling or k >= 3 or k == len(line) >= 2:
+            out += line[k:]
+        else:
+            out += line
+    return out
+
+
+class Index:
+    """Fingerprints of the items' windows under each of their four blocks."""
+
+    def __init__(self, items: list[tuple[int, str]], other: frozenset[str]) -> None:
+        plain = Lexicon([], frozenset())
+        texts = []
+        for item_id, text in items:
+            words = [s for t in _TOKEN.findall(text) if (plain.id(t)) is not None and (s := _EDGE.sub("", reread(t).lower()))]
+            if len(words) >= LEAST:
+                texts.append((item_id, words))
+        vocabulary = sorted({w for _, ws in texts for w in ws})
+        self.lexicon = Lexicon(vocabulary, other - set(vocabulary))
+        rng = np.random.default_rng(20250302)
+        self.planes = rng.choice(np.array([-1, 1], np.int8), (len(vocabulary) + _UNKNOWN_ROWS, _BITS))
+        count: dict[str, int] = defaultdict(int)
+        for _, ws in texts:
+            for w in set(ws):
+                count[w] += 1
+        self.weight = np.array([np.log(1 + len(texts) / count[w]) for w in vocabulary] or [1.0])
+        self.item_ids = np.array([i for i, _ in texts], np.int64)
+        self.items = [np.array([self.lexicon.ids[w] for w in ws], np.int64) for _, ws in texts]
+        prints, owner, place = [], [], []
+        for n, ids in enumerate(self.items):
+            f = self.fingerprints(ids)
+            prints.append(f)
+            owner.append(np.full(len(f), n))
+            place.append(np.arange(len(f)))
+        self.prints = np.concatenate(prints) if prints else np.empty(0, np.uint64)
+        self.owner = np.concatenate(owner) if owner else np.empty(0, np.int64)
+        self.place = np.concatenate(place) if place else np.empty(0, np.int64)
+        self.blocks = []
+        for b in range(_BITS // BLOCK_BITS):
+            value = ((self.prints >> np.uint64(b * BLOCK_BITS)) & np.uint64(0xFFFF)).astype(np.int64)
+            order = np.argsort(value, kind="stable")
+            self.blocks.append((order, np.concatenate(([0], np.cumsum(np.bincount(value, minlength=1 << BLOCK_BITS))))))
+
+    def fingerprints(self, ids: np.ndarray) -> np.ndarray:
+        """SimHash of each window of WINDOW words."""
+        n = len(ids) - WINDOW + 1
+        if n <= 0:
+            return np.empty(0, np.uint64)
+        rows = np.where(ids >= 0, ids, len(self.lexicon.words) + (-1 - ids) % _UNKNOWN_ROWS)
+        signs = self.planes[rows]
+        total = signs[:n].copy()
+        for k in range(1, WINDOW):
+            total += signs[k : n + k]
+        # Ties at zero are broken by the window's first word, the same way on both sides.
+        bits = (total > 0) | ((total == 0) & (signs[:n] > 0))
+        return np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel()
+
+    def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (document window, item window) within RADIUS bits."""
+        found_at, found_of = [], []
+        for b, (order, ends) in enumerate(self.blocks):
+            value = ((prints >> np.uint64(b * BLOCK_BITS)) & np.uint64(0xFFFF)).astype(np.int64)
+            first = ends[value]
+            n = ends[value + 1] - first
+            at = np.repeat(np.arange(len(prints)), n)
+            of = order[np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)]
+            near = np.bitwise_count(prints[at] ^ self.prints[of]) <= RADIUS
+            found_at.append(at[near])
+            found_of.append(of[near])
+        return np.concatenate(found_at), np.concatenate(found_of)
+
+    def longest(self, item: np.ndarray, words: np.ndarray, place: int, at: int) -> tuple[int, float]:
+        """Words of the item matched in order around the window, and the weighted shingle similarity of the match."""
+        same = self.lexicon.same
+
+        def extend(i: int, j: int, step: int) -> tuple[int, list[tuple[int, int]]]:
+            pairs: list[tuple[int, int]] = []
+            while 0 <= i < len(item) and 0 <= j < len(words):
+                if same(item[i], words[j]):
+                    pairs.append((i, j))
+                    i, j = i + step, j + step
+                elif words[j] < 0 and 0 <= j + step < len(words) and same(item[i], words[j + step]):
+                    j += step  # a stray piece between two words of the passage
+                elif words[j] < 0 and self._pieces(item[i], words, j, step):
+                    pairs.append((i, j))
+                    i, j = i + step, j + 2 * step
+                else:
+                    break
+            return i, pairs
+
+        _, ahead = extend(place, at, 1)
+        _, back = extend(place - 1, at - 1, -1)
+        matched = back + ahead
+        weights = [self.weight[item[i]] for i, _ in matched]
+        exact = [w if item[i] == words[j] else 0.5 * w for w, (i, j) in zip(weights, matched)]
+        return len(matched), sum(exact) / max(sum(weights), 1e-9)
+
+    def _pieces(self, word: int, words: np.ndarray, j: int, step: int) -> bool:
+        """Two neighbouring tokens that together are the word."""
+        k = j + step
+        if not 0 <= k < len(words):
+            return False
+        spell = [self.lexicon.words[w] if w >= 0 else self.lexicon.letters.get(int(w), "") for w in (words[min(j, k)], words[max(j, k)])]
+        joined, meant = "".join(spell), self.lexicon.words[word]
+        return joined == meant or skeleton(joined) == skeleton(meant)
+
+    def leaks(self, streams: list[list[int]]) -> list[tuple[int, int]]:
+        """(stream, item) of each passage found."""
+        lengths = np.array([len(s) for s in streams])
+        if not lengths.sum() or not len(self.prints):
+            return []
+        words = np.concatenate([np.array(s, np.int64) for s in streams])
+        start = np.concatenate(([0], np.cumsum(lengths)))
+        stream = np.repeat(np.arange(len(streams)), lengths)
+        known = np.convolve(words >= 0, np.ones(WINDOW, int), "valid") if len(words) >= WINDOW else np.empty(0, int)
+        whole = np.flatnonzero((known >= WINDOW - 1) & (stream[: len(known)] == stream[WINDOW - 1 :]))
+        at, of = self.candidates(self.fingerprints(words)[whole])
+        at = whole[at]
+        owner, place = self.owner[of], self.place[of]
+        # One try per stream, item and diagonal.
+        key = np.unique(np.stack((stream[at], owner, at - place)), axis=1, return_index=True)[1] if len(at) else np.empty(0, int)
+        out: set[tuple[int, int]] = set()
+        for k in key.tolist():
+            s, n = int(stream[at[k]]), int(owner[k])
+            if (s, n) in out:
+                continue
+            own = words[start[s] : start[s + 1]]
+            matched, similarity = self.longest(self.items[n], own, int(place[k]), int(at[k] - start[s]))
+            if matched >= LEAST and similarity >= 0.5:
+                out.add((s, n))
+        return sorted(out)
+
+
+_STREAM_WORDS = 50_000
+
+
+def _search(items: list[tuple[int, str]], other: frozenset[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index(items, other)
+
+        def flush(ids: list, streams: list):
+            found = index.leaks(streams)
+            return pa.RecordBatch.from_arrays([pa.array([int(index.item_ids[n]) for _, n in found], pa.int64()), pa.array([ids[s] for s, _ in found], pa.int64())], names=["item_id", "doc_id"])
+
+        for batch in batches:
+            ids, streams, n = [], [], 0
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                words = spoken(reread(text), index.lexicon)
+                if len(words) >= WINDOW:
+                    ids.append(doc_id)
+                    streams.append(words)
+                    n += len(words)
+                if n >= _STREAM_WORDS:
+                    yield flush(ids, streams)
+                    ids, streams, n = [], [], 0
+            if streams:
+                yield flush(ids, streams)
+
+    return run
+
+
+def leaked(documents: DataFrame, items: DataFrame, other_words: DataFrame | None = None) -> DataFrame:
+    """item_id, doc_id of documents that hold a passage of an item. other_words: word; words that are never misread evaluation words."""
+    texts = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    other = frozenset(r[0] for r in other_words.where("word IS NOT NULL").select(F.lower("word")).distinct().limit(100_000).collect()) if other_words is not None else frozenset()
+    block: list[tuple[int, str]] = []
+    passes, size = [], 0
+    for item_id, text in items.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("bigint"), "text").distinct().toLocalIterator():
+        n = len(text.split())
+        if block and size + n > MAX_ITEM_WORDS:
+            passes.append(block)
+            block, size = [], 0
+        block.append((item_id, text))
+        size += n
+    passes.append(block)
+    found = None
+    for own in passes:
+        part = texts.mapInArrow(_search(own, other), "item_id bigint, doc_id bigint")
+        found = part if found is None else found.unionByName(part)
+    return found.distinct()
