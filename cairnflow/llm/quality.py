@@ -151,6 +151,11 @@ def sketches(stats: DataFrame, names: list[str] = STATS) -> DataFrame:
     return q.join(mad, "language")
 
 
+def _per_group(found: DataFrame) -> DataFrame:
+    """For a join: a language is one of the common words' or of LANGUAGES or "und", so these are a few rows."""
+    return F.broadcast(found.withColumnRenamed("language", "sketch_of"))
+
+
 def _against(rows: DataFrame, prefix: str, names: list[str]) -> DataFrame:
     for s in names:
         v, grid = F.col(s).cast("double"), f"q_{s}"
@@ -164,19 +169,18 @@ def scored(stats: DataFrame, names: list[str] = STATS) -> DataFrame:
     """The statistics with pct_* (mid-rank among the documents of the language) and z_* (robust z-score) of each."""
     found = materialise(sketches(stats, names), "doc-sketches")
     own = found.where((F.col("n_documents") >= LEAST_DOCUMENTS) & ~F.col("language").isin(POOLED, "und"))
-    pooled = found.where(F.col("language") == POOLED).drop("language")
-    known = stats.join(own, "language", "left_semi").join(own, "language")
-    rest = stats.join(own, "language", "left_anti").join(pooled)
-    columns = stats.columns
-    return _against(known, "", names).unionByName(_against(rest, "", names)).select(*columns, *[f"{k}_{s}" for s in names for k in ("pct", "z")])
+    ranked = [r[0] for r in own.select("language").collect()]
+    group = F.when(F.col("language").isin(*ranked), F.col("language")).otherwise(F.lit(POOLED))
+    wide = stats.withColumn("sketch_of", group).join(_per_group(found), "sketch_of")
+    return _against(wide, "", names).select(*stats.columns, *[f"{k}_{s}" for s in names for k in ("pct", "z")])
 
 
 def not_prose(stats: DataFrame) -> DataFrame:
     """Documents in a tail of their language, or of all documents, whose lines, counted exactly, are mostly entries, rows or junk."""
     names = ["entry_share", "repeat_share"]
-    found = materialise(sketches(stats, names), "doc-sketches")
-    pooled = found.where(F.col("language") == POOLED).drop("language")
-    rows = _against(_against(stats.join(found, "language"), "own_", names).join(pooled), "all_", names)
+    found = _per_group(materialise(sketches(stats, names), "doc-sketches"))
+    own = _against(stats.withColumn("sketch_of", F.col("language")).join(found, "sketch_of"), "own_", names).drop("sketch_of")
+    rows = _against(own.withColumn("sketch_of", F.lit(POOLED)).join(found, "sketch_of"), "all_", names)
     tail = [(F.col(f"{group}_pct_{s}") >= 0.6) | (F.col(f"{group}_z_{s}") >= 1) for group in ("own", "all") for s in names]
     tail = tail[0] | tail[1] | tail[2] | tail[3]
     exact = (F.col("n_entries") > F.col("n_prose")) | (F.col("repeat_share") > 0.5)
