@@ -172,7 +172,7 @@ class _Builder:
         self.rows.append(("occurrence", key, identity, None, None, None, status, None, height))
 
 
-def _walk(key: str, text: str):
+def _walk():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
@@ -237,7 +237,7 @@ class NestedStore:
 
 def build_store(records: DataFrame, key: str, text: str) -> NestedStore:
     """Parse, canonicalise and hash the records once; the result is a written table, so no later join parses again."""
-    parsed = records.select(F.col(key).cast("bigint").alias("record_key"), F.col(text).alias("text")).distinct().mapInArrow(_walk(key, text), _SCHEMA)
+    parsed = records.select(F.col(key).cast("bigint").alias("record_key"), F.col(text).alias("text")).mapInArrow(_walk(), _SCHEMA)
     rows = materialise(parsed, "nested-store")
     depth = rows.where("row_kind = 'occurrence'").agg(F.coalesce(F.max("height"), F.lit(0))).first()[0]
     return NestedStore(rows, int(depth))
