@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from cairnflow.session import materialise
 
-_SCHEMA = "row_kind string, record_key bigint, id string, parent string, field string, ordinal int, kind string, payload string, height int"
+_SCHEMA = "row_kind string, record_key bigint, id binary, parent binary, field string, ordinal int, kind string, payload string, height int"
 _ARROW = pa.schema([
-    ("row_kind", pa.string()), ("record_key", pa.int64()), ("id", pa.string()), ("parent", pa.string()), ("field", pa.string()),
+    ("row_kind", pa.string()), ("record_key", pa.int64()), ("id", pa.binary()), ("parent", pa.binary()), ("field", pa.string()),
     ("ordinal", pa.int32()), ("kind", pa.string()), ("payload", pa.string()), ("height", pa.int32()),
 ])
 _BLANK = " \t\r\n\f\v﻿ "
@@ -102,10 +102,11 @@ def _points(value) -> list:
     return entries
 
 
-def _digest(kind: str, payload: str, children: list) -> str:
-    h = blake2b(digest_size=16)
-    h.update(json.dumps([kind, payload, children], separators=(",", ":")).encode())
-    return h.hexdigest()
+def _digest(kind: str, payload: str, children: list[tuple[str, int, bytes]]) -> bytes:
+    h = blake2b(f"{kind}\0{payload}".encode(), digest_size=16)
+    for field, ordinal, child in children:
+        h.update(f"\0{field}\0{ordinal}\0".encode() + child)
+    return h.digest()
 
 
 class _Builder:
@@ -113,9 +114,9 @@ class _Builder:
 
     def __init__(self) -> None:
         self.rows: list[tuple] = []
-        self.seen: set[str] = set()
+        self.seen: set[bytes] = set()
 
-    def put(self, kind: str, payload, children: list[tuple[str, int, str]], height: int) -> str:
+    def put(self, kind: str, payload, children: list[tuple[str, int, bytes]], height: int) -> bytes:
         text = json.dumps(payload, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
         identity = _digest(kind, text, children)
         if identity not in self.seen:
@@ -124,10 +125,10 @@ class _Builder:
             self.rows.extend(("bridge", None, child, identity, field, ordinal, kind, None, height) for field, ordinal, child in children)
         return identity
 
-    def instance(self, value) -> tuple[str, int]:
+    def instance(self, value) -> tuple[bytes, int]:
         body = _as_object(value)
         data = _as_object(body.get("data"))
-        children: list[tuple[str, int, str]] = []
+        children: list[tuple[str, int, bytes]] = []
         height = 0
         for i, (name, v) in enumerate(sorted(_as_object(body.get("attrs")).items())):
             v = v["id"] if isinstance(v, dict) and set(v) == {"id"} else v

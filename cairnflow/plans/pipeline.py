@@ -31,7 +31,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 def p1_instances(spark: SparkSession, d: str) -> DataFrame:
     store = _store(spark, d)
     body = store.objects("instance").select(F.col("id").alias("inst_id"), "payload")
-    return store.instances().join(body, "inst_id").select(F.col("record_key").alias("label_id"), "inst_path", "parent_path", "ordinal", "inst_id", F.get_json_object("payload", "$.id").alias("instance_no"))
+    return store.instances().join(body, "inst_id").select(F.col("record_key").alias("label_id"), "inst_path", "parent_path", "ordinal", F.hex("inst_id").alias("inst_id"), F.get_json_object("payload", "$.id").alias("instance_no"))
 
 
 def p1_attributes(spark: SparkSession, d: str) -> DataFrame:
@@ -48,7 +48,7 @@ def p1_points(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_records(spark: SparkSession, d: str) -> DataFrame:
-    return _store(spark, d).occurrences().select(F.col("record_key").alias("label_id"), "root_id", "status")
+    return _store(spark, d).occurrences().select(F.col("record_key").alias("label_id"), F.hex("root_id").alias("root_id"), "status")
 
 
 def _layers(spark: SparkSession, d: str) -> dict[str, DataFrame]:
