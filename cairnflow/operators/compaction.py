@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -57,12 +57,12 @@ def checksum(df: DataFrame, columns: list[str]) -> tuple[int, int]:
     return int(n), int(s or 0)
 
 
-def publish(df: DataFrame, target: str, expected: tuple[int, int], columns: list[str]) -> DataFrame:
+def publish(df: DataFrame, target: str, expected: tuple[int, int], measure: Callable[[DataFrame], tuple[int, int]]) -> DataFrame:
     """Write to a staging folder beside target, verify, move into place. Raises and removes the staging if it differs."""
     spark = df.sparkSession
     staging = f"{target}.staging-{uuid.uuid4().hex}"
     df.write.parquet(staging)
-    found = checksum(spark.read.parquet(staging), columns)
+    found = measure(spark.read.parquet(staging))
     if found != expected:
         delete_path(spark, staging)
         raise ValueError(f"staged output holds {found} (rows, checksum), the source {expected}")
@@ -79,7 +79,7 @@ def consolidate_files(spark: SparkSession, source: str, target: str, max_bytes:
         parts = files.rdd.getNumPartitions()
     listed = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     few = max(1, min(parts, math.ceil(listed / max_bytes)))
-    return publish(files.coalesce(few), target, checksum(files, ["path", "content"]), ["path", "content"])
+    return publish(files.coalesce(few), target, checksum(files, ["path", "content"]), lambda df: checksum(df, ["path", "content"]))
 
 
 def consolidate_table(spark: SparkSession, source: str, target: str, fmt: str = "parquet", max_bytes: int = 128 << 20, open_cost: int = 4 << 20) -> DataFrame:
@@ -87,7 +87,7 @@ def consolidate_table(spark: SparkSession, source: str, target: str, fmt: str =
     with split_packing(spark, max_bytes, open_cost):
         rows = spark.read.format(fmt).load(source)
         parts = rows.rdd.getNumPartitions()
-    return publish(rows.coalesce(max(1, parts)), target, checksum(rows, rows.columns), rows.columns)
+    return publish(rows.coalesce(max(1, parts)), target, checksum(rows, rows.columns), lambda df: checksum(df, rows.columns))
 
 
 def _next_fit(max_bytes: int, open_cost: int):
@@ -130,7 +130,17 @@ def consolidate_listing(
     names = [f"file_{i}" for i in range(len(files))]
     total = sum((F.greatest(F.coalesce(F.col(s), F.lit(0)), F.lit(0)) for s in sizes[1:]), F.greatest(F.coalesce(F.col(sizes[0]), F.lit(0)), F.lit(0)))
     entries = listing.select(F.col(entry).alias("entry_id"), *[canonical_path(F.col(f), F.col(root), F.col(folder)).alias(n) for f, n in zip(files, names)], total.cast("bigint").alias("bytes"))
-    pairs = entries.groupBy(*names).agg(F.min("entry_id").alias("entry_id"), F.max("bytes").alias("bytes"))
-    expected = checksum(pairs, ["entry_id", *names])
-    kept = publish(plan_containers(pairs.select("entry_id", *names, "bytes"), max_bytes, open_cost), f"{shared_dir(spark)}/listing-{uuid.uuid4().hex}", expected, ["entry_id", *names])
-    return kept, entries.drop("bytes")
+    # Each kept pair carries how many entries it stands for and the sum of their hashes: together they must be the listing.
+    token = F.pmod(F.xxhash64("entry_id"), F.lit(1_000_000_007))
+    pairs = entries.groupBy(*names).agg(F.min("entry_id").alias("entry_id"), F.max("bytes").alias("bytes"), F.count("*").alias("n_entries"), F.sum(token).alias("entry_hash"))
+    expected = checksum(listing.select(F.col(entry).alias("entry_id")), ["entry_id"])
+
+    def measure(staged: DataFrame) -> tuple[int, int]:
+        n, s, rows, distinct = staged.agg(F.coalesce(F.sum("n_entries"), F.lit(0)), F.coalesce(F.sum("entry_hash"), F.lit(0)), F.count("*"), F.count_distinct("entry_id")).first()
+        if rows != distinct:
+            raise ValueError(f"{rows} pairs are kept under {distinct} entries")
+        return int(n), int(s)
+
+    columns = pairs.select("entry_id", *names, "bytes", "n_entries", "entry_hash")
+    kept = publish(plan_containers(columns, max_bytes, open_cost), f"{shared_dir(spark)}/listing-{uuid.uuid4().hex}", expected, measure)
+    return kept.drop("entry_hash"), entries.drop("bytes")
