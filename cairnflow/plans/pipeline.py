@@ -76,7 +76,7 @@ def _listing(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     kept, entries = _listing(spark, d)
-    return entries.select("entry_id").join(kept.select("entry_id"), "entry_id", "left_anti").distinct()
+    return entries.where("entry_id IS NOT NULL").select("entry_id").join(kept.select("entry_id"), "entry_id", "left_anti").distinct()
 
 
 def p3_containers(spark: SparkSession, d: str) -> DataFrame:
