@@ -20,6 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cairnflow.session import materialise
+
 #: Texts that stand for no reference, upper case.
 NO_REFERENCE = ("", "0", "-1", "NULL", "NONE", "NAN")
 SEPARATORS = "[,;|/\\s\\u00a0\\u3000\\uff0c\\uff1b\\u3001]+"
@@ -66,6 +68,8 @@ def signed_counts(layers: dict[str, DataFrame], targets: dict[str, dict[str, str
         .groupBy("target", "key", "at").agg(F.max("state").alias("state"), F.sum("refs").alias("refs"))
         .withColumn("day", F.to_date("at"))
     )
+    # Three reads of the events follow; written once, the layers are read once for them.
+    events = materialise(events, "reference-events")
     in_day = Window.partitionBy("target", "key", "day").orderBy("at")
     over_days = Window.partitionBy("target", "key").orderBy("day")
     # The state a day ends in carries to the next day that has events.
