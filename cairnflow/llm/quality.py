@@ -178,9 +178,13 @@ def scored(stats: DataFrame, names: list[str] = STATS) -> DataFrame:
 def not_prose(stats: DataFrame) -> DataFrame:
     """Documents in a tail of their language, or of all documents, whose lines, counted exactly, are mostly entries, rows or junk."""
     names = ["entry_share", "repeat_share"]
-    found = _per_group(materialise(sketches(stats, names), "doc-sketches"))
-    own = _against(stats.withColumn("sketch_of", F.col("language")).join(found, "sketch_of"), "own_", names).drop("sketch_of")
-    rows = _against(own.withColumn("sketch_of", F.lit(POOLED)).join(found, "sketch_of"), "all_", names)
+    found = materialise(sketches(stats, names), "doc-sketches")
+    rows = _against(stats.withColumn("sketch_of", F.col("language")).join(_per_group(found), "sketch_of"), "own_", names).drop("sketch_of")
+    pooled = found.where(F.col("language") == POOLED).first()
+    for s in names:
+        grid, mad = (pooled[f"q_{s}"], pooled[f"mad_{s}"]) if pooled else (None, None)
+        rows = rows.withColumn(f"q_{s}", F.lit(grid).cast("array<double>")).withColumn(f"mad_{s}", F.lit(mad).cast("double"))
+    rows = _against(rows, "all_", names)
     tail = [(F.col(f"{group}_pct_{s}") >= 0.6) | (F.col(f"{group}_z_{s}") >= 1) for group in ("own", "all") for s in names]
     tail = tail[0] | tail[1] | tail[2] | tail[3]
     exact = (F.col("n_entries") > F.col("n_prose")) | (F.col("repeat_share") > 0.5)
