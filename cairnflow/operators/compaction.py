@@ -14,6 +14,7 @@ import math
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,13 +74,25 @@ def publish(df: DataFrame, target: str, expected: tuple[int, int], measure: Call
 
 
 def consolidate_files(spark: SparkSession, source: str, target: str, max_bytes: int = 128 << 20, open_cost: int = 4 << 20, pattern: str = "*") -> DataFrame:
-    """Pack the files under source, whole, into rows (path, length, content) of few parquet files at target."""
+    """Pack the files under source, whole, into rows (path, length, content) of few parquet files at target.
+
+    The engine leaves empty files out of its splits; they are found in its listing and come as rows of length 0.
+    """
     with split_packing(spark, max_bytes, open_cost):
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(source).select("path", "length", "content")
         parts = files.rdd.getNumPartitions()
-    listed = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    few = max(1, min(parts, math.ceil(listed / max_bytes)))
-    return publish(files.coalesce(few), target, checksum(files, ["path", "content"]), lambda df: checksum(df, ["path", "content"]))
+    listed = [unquote(p).replace("file:///", "file:/", 1) for p in files.inputFiles()]
+    total = files.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+    few = max(1, min(max(parts, 1), math.ceil(total[0] / max_bytes)))
+    whole = files.coalesce(few)
+    if total[1] < len(listed):
+        names = spark.createDataFrame([(p,) for p in listed], "path string")
+        empty = names.join(files.select("path"), "path", "left_anti").select("path", F.lit(0).cast("bigint").alias("length"), F.lit(b"").alias("content"))
+        whole = whole.unionByName(empty.coalesce(1))
+    expected = checksum(whole, ["path", "content"])
+    if expected[0] != len(listed):
+        raise ValueError(f"{len(listed)} files are listed, {expected[0]} were read")
+    return publish(whole, target, expected, lambda df: checksum(df, ["path", "content"]))
 
 
 def consolidate_table(spark: SparkSession, source: str, target: str, fmt: str = "parquet", max_bytes: int = 128 << 20, open_cost: int = 4 << 20) -> DataFrame:

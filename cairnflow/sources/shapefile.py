@@ -1,0 +1,102 @@
+"""A data source for shapefiles: spark.read.format("shapefile"), one partition per file."""
+
+from __future__ import annotations
+
+import glob
+import os
+import struct
+
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+#: Shape types of the format and the kinds they are read as.
+KINDS = {1: "point", 3: "line", 5: "polygon", 8: "multipoint", 11: "point", 13: "line", 15: "polygon", 18: "multipoint"}
+
+
+def shapes(content: bytes):
+    """(kind, parts) of each record; null shapes give None."""
+    at = 100
+    while at + 8 <= len(content):
+        _, words = struct.unpack(">ii", content[at : at + 8])
+        body = content[at + 8 : at + 8 + 2 * words]
+        at += 8 + 2 * words
+        code = struct.unpack("<i", body[:4])[0]
+        if code not in KINDS:
+            yield None
+            continue
+        if code in (1, 11):
+            x, y = struct.unpack("<2d", body[4:20])
+            z = struct.unpack("<d", body[20:28])[0] if code == 11 else None
+            yield KINDS[code], [[(x, y, z)]]
+            continue
+        if code in (8, 18):
+            n_parts, n = 1, struct.unpack("<i", body[36:40])[0]
+            starts, pos = [0], 40
+        else:
+            n_parts, n = struct.unpack("<ii", body[36:44])
+            starts, pos = list(struct.unpack(f"<{n_parts}i", body[44 : 44 + 4 * n_parts])), 44 + 4 * n_parts
+        xy = struct.unpack(f"<{2 * n}d", body[pos : pos + 16 * n])
+        zs = struct.unpack(f"<{n}d", body[pos + 16 * n + 16 : pos + 24 * n + 16]) if code > 10 else [None] * n
+        points = [(xy[2 * i], xy[2 * i + 1], zs[i]) for i in range(n)]
+        yield KINDS[code], [points[a:b] for a, b in zip(starts, [*starts[1:], n])]
+
+
+def records(content: bytes, encoding: str):
+    """Attribute rows of a dBASE table as dictionaries of text; deleted rows stay, in step with the shapes."""
+    n, head, size = struct.unpack("<IHH", content[4:12])
+    fields, at = [], 32
+    while content[at] != 0x0D:
+        name = content[at : at + 11].split(b"\0")[0].decode(encoding)
+        fields.append((name, content[at + 16]))
+        at += 32
+    for i in range(n):
+        row, pos = {}, head + i * size + 1
+        for name, width in fields:
+            row[name] = content[pos : pos + width].decode(encoding, "replace").strip(" \0") or None
+            pos += width
+        yield row
+
+
+class _Part(InputPartition):
+    def __init__(self, path: str) -> None:
+        self.path = path
+
+
+class _Reader(DataSourceReader):
+    def __init__(self, path: str, encoding: str) -> None:
+        self.path, self.encoding = path, encoding
+
+    def partitions(self):
+        path = self.path.removeprefix("file://")
+        found = sorted(glob.glob(os.path.join(path, "*.shp"))) if os.path.isdir(path) else sorted(glob.glob(path))
+        if not found:
+            raise FileNotFoundError(self.path)
+        return [_Part(p) for p in found]
+
+    def read(self, partition):
+        with open(partition.path, "rb") as f:
+            geometries = list(shapes(f.read()))
+        table = os.path.splitext(partition.path)[0] + ".dbf"
+        rows = []
+        if os.path.exists(table):
+            with open(table, "rb") as f:
+                rows = list(records(f.read(), self.encoding))
+        for i, g in enumerate(geometries):
+            yield partition.path, i, rows[i] if i < len(rows) else None, g
+
+
+class ShapefileSource(DataSource):
+    """Columns: path, row_no, attributes (map of text), geom (kind and parts; null for a null shape)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "shapefile"
+
+    def schema(self) -> str:
+        return "path string, row_no int, attributes map<string,string>, geom struct<kind:string,parts:array<array<struct<x:double,y:double,z:double>>>>"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _Reader(self.options["path"], self.options.get("encoding", "utf-8"))
+
+
+def register(spark) -> None:
+    spark.dataSource.register(ShapefileSource)

@@ -1,0 +1,91 @@
+import posixpath
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cairnflow.operators import compaction as C
+from cairnflow.plans import pipeline
+from pyspark.sql import functions as F
+
+
+def canonical(spark, rows):
+    df = spark.createDataFrame(rows, "p string, r string, f string")
+    return [r[0] for r in df.select(C.canonical_path(F.col("p"), F.col("r"), F.col("f"))).collect()]
+
+
+def test_spellings(spark):
+    same = ["/data/t/9/a/x.pcd", "a/x.pcd", "./a/x.pcd", " /data//t/./9/a/x.pcd  ", "file:///data/t/9/a/x.pcd", "../9/a/x.pcd", "/data/t/9/a/old/../x.pcd", "FILE://localhost/data/t/9/a/x.pcd", "//data/t/9/a//x.pcd"]
+    assert set(canonical(spark, [(p, "/data/t/", "9") for p in same])) == {"/data/t/9/a/x.pcd"}
+    assert canonical(spark, [(None, "/d", "1"), ("  ", "/d", "1"), ("/../../x", "/d", "1"), ("x", None, None)]) == [None, None, "/x", "/x"]
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", "b", ".", "..", ""]), min_size=1, max_size=7), min_size=20, max_size=40))
+def test_absolute_paths_as_posix(spark, parts):
+    paths = ["/" + "/".join(p) for p in parts]
+    want = ["/" + posixpath.normpath(p).lstrip("/") for p in paths]
+    assert canonical(spark, [(p, "/r", "f") for p in paths]) == want
+
+
+def brute(rows):
+    def one(p, root, trail):
+        if p is None or not p.strip():
+            return None
+        p = p.strip().removeprefix("file://")
+        return "/" + posixpath.normpath(p if p.startswith("/") else f"{root}/{trail}/{p}").lstrip("/")
+
+    first, out = {}, set()
+    for r in sorted(rows, key=lambda r: r.entry_id):
+        k = one(r.cloud_path, r.root_dir, r.trail_id), one(r.bev_json_path, r.root_dir, r.trail_id)
+        if first.setdefault(k, r.entry_id) != r.entry_id:
+            out.add(r.entry_id)
+    return out
+
+
+def test_repeated_entries(spark, small):
+    want = brute(pipeline.table(spark, small, "flat_mapping_info").collect())
+    got = [r[0] for r in pipeline.p3_found(spark, small).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == want
+
+
+def test_listing_of_odd_rows(spark, tmp_path):
+    rows = [(1, "t", "/r", "a", 5, "b", None), (1, "t", "/r", "a", 5, "b", None), (2, "t", "/r", "./a", None, "b", -3), (3, "t", "/r", "a", 5, None, None), (4, "t", "/r", "a", 5, " ", None), (None, None, None, None, None, None, None)]
+    spark.createDataFrame(rows, "entry_id bigint, trail_id string, root_dir string, cloud_path string, cloud_bytes bigint, bev_json_path string, bev_bytes bigint").write.parquet(str(tmp_path / "flat_mapping_info.parquet"))
+    assert sorted(r[0] for r in pipeline.p3_found(spark, str(tmp_path)).collect()) == [2, 4]
+
+
+def test_containers_hold_their_share(spark):
+    df = spark.range(500).select(F.col("id").alias("entry_id"), (F.col("id") % 7 * 10).alias("bytes")).coalesce(2)
+    rows = C.plan_containers(df, 100, 1).groupBy("container").agg(F.sum(F.col("bytes") + 1).alias("n"), F.count("*").alias("k")).collect()
+    assert max(r.n for r in rows) <= 100
+    assert sum(r.k for r in rows) == 500
+
+
+def test_files_become_few_and_whole(spark, tmp_path):
+    source = tmp_path / "many"
+    source.mkdir()
+    for i in range(60):
+        (source / f"{i}.bin").write_bytes(bytes([i]) * i)
+    out = C.consolidate_files(spark, str(source), str(tmp_path / "few"), max_bytes=1 << 20, open_cost=1 << 10)
+    (source / "a b+c.bin").touch()
+    out = C.consolidate_files(spark, str(source), str(tmp_path / "more"))
+    assert out.where("path LIKE '%a b+c.bin' AND length = 0").count() == 1
+    out = spark.read.parquet(str(tmp_path / "few"))
+    assert {r.path.rsplit("/", 1)[1]: bytes(r.content) for r in out.collect()} == {f"{i}.bin": bytes([i]) * i for i in range(60)}
+    assert len(list((tmp_path / "few").glob("*.parquet"))) <= 2
+
+
+def test_table_keeps_every_row(spark, tmp_path):
+    spark.range(1000).selectExpr("id % 10 AS a", "cast(null AS string) AS b").repartition(40).write.parquet(str(tmp_path / "t"))
+    out = C.consolidate_table(spark, str(tmp_path / "t"), str(tmp_path / "u"))
+    assert out.groupBy("a").count().where("count = 100").count() == 10
+    assert len(list((tmp_path / "u").glob("*.parquet"))) < 10
+
+
+def test_a_loss_is_noticed(spark, tmp_path):
+    df = spark.range(10)
+    with pytest.raises(ValueError):
+        C.publish(df.limit(9), str(tmp_path / "x"), C.checksum(df, ["id"]), lambda d: C.checksum(d, ["id"]))
+    assert list(tmp_path.iterdir()) == []
