@@ -1,0 +1,108 @@
+import random
+
+import numpy as np
+import pytest
+
+from cairnflow.llm import leakage as L
+from cairnflow.llm import queries
+from cairnflow.llm.subtitles import cues, reread
+
+ITEM = "The patient sailor carried every wooden barrel behind our quiet harbour while nobody remembered the broken lantern near that rusty bridge."
+OTHER = "Her golden cousin washed another strange mirror under my narrow garden because someone should mend this hollow kettle before the winter evening."
+ITEMS = [(1, ITEM), (2, OTHER)]
+
+
+def leaks(text, items=ITEMS):
+    index = L.Index(items, frozenset())
+    found = index.leaks([L.spoken(reread(text), index.lexicon)])
+    return [int(index.item_ids[n]) for _, n in found]
+
+
+def words(n, start=0, text=ITEM):
+    return " ".join(text.split()[start : start + n])
+
+
+def test_length_and_order():
+    assert leaks(words(12)) == [1] and leaks("x y " + words(12, 5) + " z") == [1]
+    assert leaks(words(11)) == [] and leaks(words(11) + " unrelated " + words(5, 15)) == []
+    shuffled = ITEM.split()
+    random.Random(1).shuffle(shuffled)
+    assert leaks(" ".join(shuffled)) == []
+    assert leaks(ITEM + " " + OTHER) == [1, 2]
+    assert leaks(" ".join(reversed(ITEM.split()))) == []
+
+
+def test_what_subtitles_add_is_no_interruption():
+    w = words(14).split()
+    srt = f"1\n00:00:01,000 --> 00:00:02,000\n<i>- {' '.join(w[:4])}</i>\n\n2\n00:00:03,000 --> 00:00:04,000\n[door creaks]\n\n3\n00:00:05,000 --> 00:00:06,000\nRip by someone, please rate this subtitle\n\n4\n00:00:07,000 --> 00:00:08,000\nORRIN: {' '.join(w[4:9]).upper()},\n{w[9][:3]}-\n{w[9][3:]} {' '.join(w[10:])}"
+    assert leaks(srt) == [1]
+    micro = "{1}{20}" + " ".join(w[:5]) + "|" + " ".join(w[5:9]) + "\n{21}{40}(laughs)\n{41}{60}" + " ".join(w[9:])
+    assert leaks(micro) == [1]
+
+
+def test_rolling_lines_are_said_once():
+    w = words(14).split()
+    chunks = [" ".join(w[i : i + 3]) for i in range(0, 14, 3)]
+    cue = lambda i, *ls: f"{i}\n00:00:0{i},000 --> 00:00:0{i},900\n" + "\n".join(ls) + "\n\n"
+    assert leaks(cue(1, chunks[0]) + "".join(cue(i + 1, a, b) for i, (a, b) in enumerate(zip(chunks, chunks[1:]), 1))) == [1]
+    assert leaks("\n".join([chunks[0], *(f"{a} {b}" for a, b in zip(chunks, chunks[1:])), chunks[-1]])) == [1]
+
+
+def test_misread_and_wrongly_encoded_words():
+    bad = words(12).replace("patient", "pafient").replace("wooden", "w0oden").replace("harbour", "liarbour").replace("barrel", "barreI")
+    assert leaks(bad) == [1]
+    item = (3, "Él vendía nuestro pequeño jardín detrás de una montaña después mientras nadie podía recordar el último otoño.")
+    double = item[1].encode().decode("latin-1")
+    assert leaks(double, [item]) == [3]
+    assert leaks(item[1].encode("cp1252").decode("cp1251"), [item]) == [3]
+    assert leaks("".join(c if c.isascii() else "�" for c in item[1]), [item]) == [3]
+
+
+def test_fingerprints_within_the_radius_are_all_found():
+    index = L.Index(ITEMS, frozenset())
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, len(index.prints), 400)
+    flips = np.zeros(400, np.uint64)
+    for _ in range(L.RADIUS):
+        flips |= np.uint64(1) << rng.integers(0, 64, 400).astype(np.uint64)
+    at, of = index.candidates(index.prints[base] ^ flips)
+    assert set(zip(range(400), base.tolist())) <= set(zip(at.tolist(), of.tolist()))
+
+
+def test_against_every_window(spark, small):
+    """All passages that a search without fingerprints, from every shared pair of words, would find."""
+    docs = {r.doc_id: r.text for r in queries.table(spark, small, "documents").where("text IS NOT NULL").select("doc_id", "text").collect()}
+    items = [tuple(r) for r in queries.table(spark, small, "eval_items").select("item_id", "text").collect()]
+    common = frozenset(r[0] for r in queries.table(spark, small, "common_words").select("word").collect())
+    index = L.Index(items, common)
+    starts = {}
+    for n, ids in enumerate(index.items):
+        for p in range(len(ids) - 1):
+            starts.setdefault((ids[p], ids[p + 1]), []).append((n, p))
+    want = set()
+    for doc_id, text in docs.items():
+        s = L.spoken(reread(text), index.lexicon)
+        own = np.array(s, np.int64)
+        for j in range(len(s) - 1):
+            for n, p in starts.get((s[j], s[j + 1]), ()):
+                if index.longest(index.items[n], own, p, j)[0] >= L.LEAST:
+                    want.add((int(index.item_ids[n]), doc_id))
+    got = [tuple(r) for r in queries.p8_found(spark, small).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == want and want
+
+
+def test_odd_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, ITEM, 0), (3, ITEM, 1), (None, ITEM, 0), (4, ITEM + " \0 " + "x" * 50_000, 0)], "doc_id bigint, text string, item_id int")
+    items = spark.createDataFrame([(1, ITEM), (1, ITEM), (2, None), (3, "too short"), (None, OTHER)], "item_id bigint, text string")
+    want = [(1, 3), (1, 4)]
+    assert sorted(map(tuple, L.leaked(docs, items).collect())) == want
+    assert L.leaked(docs.limit(0), items).collect() == [] == L.leaked(docs, items.limit(0)).collect()
+    monkeypatch.setattr(L, "MAX_ITEM_WORDS", 25)
+    both = items.unionByName(spark.createDataFrame([(9, OTHER)], "item_id bigint, text string"))
+    assert sorted(map(tuple, L.leaked(docs, both).collect())) == want
+
+
+@pytest.mark.parametrize("text", ["", "\n\n", "-->", "1\n2\n3", "{}{}", "WEBVTT", "{1}{2}|||"])
+def test_cues_of_odd_files(text):
+    assert all(line for cue in cues(text) for line in cue)
