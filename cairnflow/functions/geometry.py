@@ -249,3 +249,56 @@ def tile_id(lat: Column, lon: Column, zoom: int = 13) -> Column:
 def tile_neighbours(x: Column, y: Column) -> Column:
     """Ids of the eight tiles around one."""
     return F.array(*[F.concat((x + dx).cast("string"), F.lit("_"), (y + dy).cast("string")) for dx in (-1, 0, 1) for dy in (-1, 0, 1) if dx or dy])
+
+
+def integer_tile(lat: Column, lon: Column, level: int = 13) -> Column:
+    """The quadrant code of a position: the bits of its cell numbers (cells of 180 / 2^level degrees), latitude before longitude.
+
+    West of Greenwich a sign bit leads the code.
+    """
+    cells = 1 << level
+    cx, cy = F.pmod(F.floor(lon * cells / 180), F.lit(cells)), F.pmod(F.floor(lat * cells / 180), F.lit(cells))
+    code = sum((F.getbit(c, F.lit(b)).cast("bigint") * (1 << (2 * b + o)) for b in range(level) for c, o in ((cx, 0), (cy, 1))), F.lit(0).cast("bigint"))
+    return code + F.when(lon < 0, F.lit(1 << (2 * level))).otherwise(F.lit(0))
+
+
+def integer_tile_centre(code: Column, level: int = 13) -> tuple[Column, Column]:
+    """Latitude and longitude of a tile's centre; cells south or west of zero count from the top."""
+    out = []
+    for o in (1, 0):
+        cell = sum((F.getbit(code, F.lit(2 * b + o)).cast("bigint") * (1 << b) for b in range(level)), F.lit(0).cast("bigint"))
+        signed = F.when(cell >= 1 << (level - 1), cell - (1 << level)).otherwise(cell) if o else F.when(code >= 1 << (2 * level), cell - (1 << level)).otherwise(cell)
+        out.append((signed + 0.5) * 180 / (1 << level))
+    return out[0], out[1]
+
+
+def clip_range(ax: Column, ay: Column, bx: Column, by: Column, area: list[tuple[float, float]]) -> Column:
+    """Struct t0, t1: the part of a segment inside a convex anticlockwise area, as shares of its length; null if none.
+
+    Each side of the area raises the start or lowers the end of the range.
+    """
+    low, high, out = F.lit(0.0), F.lit(1.0), F.lit(False)
+    lows, highs = [low], [high]
+    for (px, py), (qx, qy) in zip(area, area[1:] + area[:1]):
+        start = (qx - px) * (ay - py) - (qy - py) * (ax - px)
+        rise = (qx - px) * (by - ay) - (qy - py) * (bx - ax)
+        lows.append(F.when(rise > 0, -start / rise).otherwise(F.lit(0.0)))
+        highs.append(F.when(rise < 0, -start / rise).otherwise(F.lit(1.0)))
+        out = out | ((rise == 0) & (start < 0))
+    t0, t1 = F.greatest(*lows), F.least(*highs)
+    return F.when(~out & (t0 <= t1), F.struct(t0.alias("t0"), t1.alias("t1")))
+
+
+def polyline_gap(a: Column, b: Column) -> Column:
+    """Smallest distance between the vertices of either polyline and the other one; exact unless they cross."""
+    there = F.array_min(F.transform(a, lambda p: polyline_distance(p["x"], p["y"], b)))
+    back = F.array_min(F.transform(b, lambda p: polyline_distance(p["x"], p["y"], a)))
+    return F.least(there, back)
+
+
+def triangle_slope(a: tuple, b: tuple, c: tuple) -> tuple[Column, Column]:
+    """Slope (degrees from level) and aspect (degrees clockwise from north of the downhill direction) of a triangle."""
+    ux, uy, uz, vx, vy, vz = b[0] - a[0], b[1] - a[1], b[2] - a[2], c[0] - a[0], c[1] - a[1], c[2] - a[2]
+    nx, ny, nz = uy * vz - uz * vy, uz * vx - ux * vz, ux * vy - uy * vx
+    sign = F.when(nz < 0, -1.0).otherwise(1.0)
+    return F.degrees(F.atan2(F.sqrt(nx * nx + ny * ny), F.abs(nz))), azimuth(nx * sign, ny * sign)

@@ -17,24 +17,28 @@ from cairnflow.session import materialise
 def connected_components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFrame:
     """node, component (its smallest node). nodes: node; edges: a, b in any direction; edges of unknown nodes are ignored.
 
-    Each round takes the smallest label among neighbours and then the label of that label, so paths shorten by half;
-    labels are written between rounds. Raises if the rounds don't suffice.
+    Each node keeps a parent and a grandparent. In a round every node takes the smallest grandparent among its
+    neighbours for itself and offers it to its parent, so whole trees are hooked at once and paths halve (the FastSV
+    scheme); rounds grow as the logarithm of the number of nodes. Labels are written between rounds. Raises if the
+    rounds don't suffice.
     """
     kind = dict(nodes.dtypes)["node"]
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
-    known = nodes.select("node").distinct()
+    known = nodes.select("node").where("node IS NOT NULL").distinct()
     both = both.join(known.withColumnRenamed("node", "a"), "a", "left_semi").join(known.withColumnRenamed("node", "b"), "b", "left_semi")
-    both = materialise(both, "edges")
-    labels = materialise(known.select("node", F.col("node").alias("component")), "labels")
+    both = materialise(both.select(F.col("a").cast(kind).alias("a"), F.col("b").cast(kind).alias("b")), "edges")
+    labels = materialise(known.select("node", F.col("node").alias("parent"), F.col("node").alias("top"), F.lit(True).alias("moved")), "labels")
     for _ in range(rounds):
-        offered = both.join(labels, F.col("a") == F.col("node")).groupBy(F.col("b").alias("node")).agg(F.min("component").alias("offer"))
-        lower = labels.join(offered, "node", "left").select("node", F.least("component", F.coalesce("offer", "component")).alias("component"), F.col("component").alias("old"))
-        root = lower.select(F.col("node").alias("root"), F.col("component").alias("root_label"))
-        jumped = lower.join(root, F.col("component") == F.col("root"), "left").select("node", F.least("component", F.coalesce("root_label", "component")).cast(kind).alias("component"), "old")
-        step = materialise(jumped, "labels")
-        labels = step.select("node", "component")
-        if step.where("component <> old").isEmpty():
-            return labels
+        seen = both.join(labels.select(F.col("node").alias("b"), "top"), "b").groupBy(F.col("a").alias("node")).agg(F.min("top").alias("offer"))
+        with_offer = labels.join(seen, "node", "left")
+        none = F.lit(None).cast(kind)
+        own = with_offer.select("node", F.least("top", F.coalesce("offer", "top")).alias("parent"), F.col("top").alias("was"))
+        hooked = with_offer.where("offer IS NOT NULL").select(F.col("parent").alias("node"), F.col("offer").alias("parent"), none.alias("was"))
+        parents = own.unionByName(hooked).groupBy("node").agg(F.min("parent").alias("parent"), F.max("was").alias("was"))
+        above = parents.select(F.col("node").alias("parent"), F.col("parent").alias("top"))
+        labels = materialise(parents.join(above, "parent").select("node", "parent", "top", (F.col("top") != F.col("was")).alias("moved")), "labels")
+        if labels.where("moved").isEmpty():
+            return labels.select("node", F.col("top").alias("component"))
     raise RuntimeError(f"components not found in {rounds} rounds")
 
 

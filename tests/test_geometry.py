@@ -246,3 +246,12 @@ def test_gps_round_trip(spark, unix):
     assert spark.range(1).select(X.from_gps(week, second)).first()[0] == unix
     if unix == 1700000000:
         assert spark.range(1).select(week, second).first()[:] == (2288, 252818)
+
+
+def test_long_paths_in_few_rounds(spark):
+    rng = random.Random(9)
+    order = list(range(4000))
+    rng.shuffle(order)
+    edges = spark.createDataFrame(list(zip(order, order[1:])), "a int, b int")
+    got = cluster.connected_components(spark.range(4000).selectExpr("cast(id AS int) AS node"), edges, rounds=20)
+    assert got.select("component").distinct().collect() == [(0,)]
