@@ -59,8 +59,9 @@ class Checks:
         for c in chosen:
             try:
                 layer = layers[c.feature_type]
-                bad = c.bad(layer).agg(F.count("*").alias("log_count"))
-                one = layer.agg(F.count("*").alias("total_count")).withColumn("_k", F.lit(1)).join(bad.withColumn("_k", F.lit(1)), "_k")
+                every = layer.agg(F.count("*").alias("total_count"), F.lit(0).cast("bigint").alias("log_count"))
+                bad = c.bad(layer).agg(F.lit(0).cast("bigint").alias("total_count"), F.count("*").alias("log_count"))
+                one = every.unionByName(bad).agg(F.sum("total_count").alias("total_count"), F.sum("log_count").alias("log_count"))
                 out = out.unionByName(one.select(F.lit(c.name).alias("inspector_name"), F.lit(c.level).alias("level"), F.lit(LEVEL_WEIGHTS[c.level]).alias("level_weight"), F.lit(c.feature_type).alias("feature_type"), "total_count", "log_count"))
             except Exception as e:  # noqa: BLE001 - one check's error must not stop the others
                 errors[c.name] = str(e).splitlines()[0]

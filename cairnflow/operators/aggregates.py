@@ -28,10 +28,10 @@ def precision_recall(matched: Column, inputs: Column, truths: Column) -> list[Co
 
 def within_two_sigma(df: DataFrame, value: str) -> DataFrame:
     """mean, sigma, n_kept, mean_kept; kept are values of at most twice the population standard deviation."""
-    stats = df.agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("sigma"))
-    kept = F.col(value) <= 2 * F.col("sigma")
-    # The statistics are one row.
-    return df.select(value).crossJoin(F.broadcast(stats)).groupBy("mean", "sigma").agg(F.count_if(kept).alias("n_kept"), F.avg(F.when(kept, F.col(value))).alias("mean_kept"))
+    mean, sigma = df.agg(F.avg(value), F.stddev_pop(value)).first()
+    kept = F.col(value) <= (2 * sigma if sigma is not None else None)
+    constant = [F.lit(mean).cast("double").alias("mean"), F.lit(sigma).cast("double").alias("sigma")]
+    return df.agg(F.count_if(kept).alias("n_kept"), F.avg(F.when(kept, F.col(value))).alias("mean_kept")).select(*constant, "n_kept", "mean_kept")
 
 
 def density_histogram(df: DataFrame, value: str, edges: list[float] | None = None) -> DataFrame:

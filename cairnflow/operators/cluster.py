@@ -50,12 +50,15 @@ def dbscan(points: DataFrame, row_id: str, axes: list[str], eps: float, least: i
     """row_id, cluster: 0 for noise, else the smallest row_id among the cluster's cores. A point counts itself.
 
     Cells have the diagonal eps: where one holds ``least`` points, all of them are cores of one cluster, so only sparse
-    cells count neighbours, and cells, not points, are linked. A border point joins its smallest cluster.
+    cells count neighbours, and cells, not points, are linked. A border point joins its smallest cluster. Of rows with
+    one id the smallest counts; rows without id or coordinates drop out.
     """
     side = eps / math.sqrt(len(axes))
     reach = math.ceil(math.sqrt(len(axes)))
     cells = [f"_c{a}" for a in axes]
-    p = materialise(_grid(points.select(F.col(row_id).alias("id"), *axes), axes, side), "cells")
+    single = points.where(F.col(row_id).isNotNull()).groupBy(F.col(row_id).alias("id")).agg(F.min(F.struct(*axes)).alias("_p")).select("id", *[F.col(f"_p.{a}").alias(a) for a in axes])
+    usable = single.where(" AND ".join(f"{a} IS NOT NULL AND NOT isnan({a})" for a in axes))
+    p = materialise(_grid(usable, axes, side), "cells")
     offsets = F.array(*[F.struct(*[F.lit(o).cast("bigint").alias(f"o{a}") for a, o in zip(axes, shift)]) for shift in itertools.product(range(-reach, reach + 1), repeat=len(axes))])
 
     def spread(df: DataFrame, prefix: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairnflow.functions import geometry as G
+from cairnflow.session import materialise
 
 
 def vertices(df: DataFrame, line: str, points: str, keep: list[str] | None = None) -> DataFrame:
@@ -142,10 +143,26 @@ def perpendicular_rays(points: DataFrame, reach: float = 4.5) -> DataFrame:
     return points.withColumns({"ax": F.col("x") + ox, "ay": F.col("y") + oy, "bx": F.col("x") - ox, "by": F.col("y") - oy})
 
 
+def numbered(keys: DataFrame, column: str, name: str) -> DataFrame:
+    """The distinct values of a column with their place in the order of all, from 0, without one task seeing them all.
+
+    Values are range-partitioned and sorted; the partitions' sizes, a number each, give the offsets.
+    """
+    ordered = keys.select(column).distinct().repartitionByRange(column).sortWithinPartitions(column)
+    placed = materialise(ordered.withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    part, inside = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
+    sizes = sorted(placed.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
+    offsets, total = [], 0
+    for p, n in sizes:
+        offsets += [F.lit(p), F.lit(total)]
+        total += n
+    start = F.element_at(F.create_map(*offsets), part) if offsets else F.lit(0)
+    return placed.select(column, (start + inside).cast("int").alias(name))
+
+
 def ordinals(df: DataFrame, line: str = "line", order: str = "seq") -> DataFrame:
     """Add point_no, dense within the line, and line_no, dense over lines; line numbers come from the distinct lines alone."""
-    numbered = df.select(line).distinct().withColumn("line_no", F.row_number().over(Window.orderBy(line)) - 1)
-    return df.withColumn("point_no", F.row_number().over(_along(line, order)) - 1).join(numbered, line)
+    return df.withColumn("point_no", F.row_number().over(_along(line, order)) - 1).join(numbered(df, line, "line_no"), line)
 
 
 def keep_spaced(points: Column, spacing: Column) -> Column:

@@ -15,7 +15,6 @@ from cairnflow.plans.catalog import Catalog
 from cairnflow.plans.relational import _POINTS, points
 from cairnflow.plans.spatial import _FIRST, _TRAIL, _cur, _edges_sql, _first, _near_sql, _vert, current, lines, trail_points
 from cairnflow.session import table
-from cairnflow.sources import sinks
 
 catalog = Catalog()
 add = catalog.add
@@ -183,7 +182,7 @@ def u7_clip_by_centre(spark: SparkSession, d: str) -> DataFrame:
 
 @add(f"SELECT line, CAST(seq AS INT) AS seq, CAST(row_number() OVER (PARTITION BY line ORDER BY seq) - 1 AS INT) AS point_no, CAST(dense_rank() OVER (ORDER BY line) - 1 AS INT) AS line_no, round(x, 2) AS x FROM {_vert('lane_lines')}")
 def k8_numbered_points(spark: SparkSession, d: str) -> DataFrame:
-    return sinks.numbered_points(lines(spark, d)).select("line", "seq", "point_no", "line_no", F.round("x", 2).alias("x"))
+    return S.ordinals(lines(spark, d)).select("line", "seq", "point_no", "line_no", F.round("x", 2).alias("x"))
 
 
 # Heavy operators
@@ -241,8 +240,8 @@ def h28_mark_boxes(spark: SparkSession, d: str) -> DataFrame:
 
 @add()
 def h31_labelled_areas(spark: SparkSession, d: str) -> DataFrame:
-    rows = points(spark, d).select(F.col("pid").alias("id"), "x", "y", "z", (F.col("pid") % 10).cast("int").alias("label"))
-    return M.labelled_areas(rows, 1.0, 10, (1, 2))
+    rows = points(spark, d).select(F.col("pid").alias("id"), "x", "y", "z", (F.col("pid") % 13).cast("int").alias("label"))
+    return M.labelled_areas(rows, 1.0, 10)
 
 
 _LINE_MEASURES = f"""WITH a AS (SELECT line, avg(x) AS mx, avg(y) AS my, atan2(2 * covar_pop(x, y), var_pop(x) - var_pop(y)) / 2 AS t FROM {_TRAIL} GROUP BY line),

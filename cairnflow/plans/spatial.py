@@ -445,8 +445,7 @@ def h2_components(spark: SparkSession, d: str) -> DataFrame:
 
 @add()
 def h1_dbscan(spark: SparkSession, d: str) -> DataFrame:
-    rows = points(spark, d).where("x >= 45").select("pid", "x", "y")
-    return cluster.dbscan(rows, "pid", ["x", "y"], 0.15, 3)
+    return cluster.dbscan(points(spark, d).select("pid", "x", "y"), "pid", ["x", "y"], 0.15, 3)
 
 
 @add()

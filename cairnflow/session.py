@@ -39,6 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir; only where that is unset, a temporary folder of this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="cairnflow-")
         spark.conf.set("spark.checkpoint.dir", folder)
         atexit.register(_remove_local, folder)

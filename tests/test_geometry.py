@@ -255,3 +255,18 @@ def test_long_paths_in_few_rounds(spark):
     edges = spark.createDataFrame(list(zip(order, order[1:])), "a int, b int")
     got = cluster.connected_components(spark.range(4000).selectExpr("cast(id AS int) AS node"), edges, rounds=20)
     assert got.select("component").distinct().collect() == [(0,)]
+
+
+def test_numbers_over_partitions(spark):
+    df = spark.range(0, 3000, 1, 7).selectExpr("cast(id % 1000 AS string) AS line")
+    got = {r.line: r.n for r in S.numbered(df, "line", "n").collect()}
+    assert got == {k: i for i, k in enumerate(sorted(got))} and len(got) == 1000
+    assert S.numbered(df.limit(0), "line", "n").count() == 0
+
+
+def test_two_sigma(spark):
+    df = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 30)] + [(None,)], "v double")
+    r = A.within_two_sigma(df, "v").first()
+    assert (r.mean, r.n_kept, r.mean_kept) == (9, 3, 2)
+    empty = A.within_two_sigma(df.limit(0), "v").first()
+    assert (empty.mean, empty.n_kept, empty.mean_kept) == (None, 0, None)
