@@ -144,10 +144,10 @@ def w16_width_differences(spark: SparkSession, d: str) -> DataFrame:
     return M.width_differences(rays, S.edges(lines(spark, d, "lanes")), S.edges(lines(spark, d, "roads")), 100.0)
 
 
-@add(f"SELECT line, list(id ORDER BY round(-atan2(y, x), 9), id) AS around FROM {_TRAIL} GROUP BY line")
+@add(f"SELECT line, array_to_string(list(id ORDER BY round(-atan2(y, x), 9), id), ',') AS around FROM {_TRAIL} GROUP BY line")
 def w18_by_azimuth(spark: SparkSession, d: str) -> DataFrame:
     a = F.round(-F.atan2("y", "x"), 9)
-    return trail_points(spark, d).groupBy("line").agg(F.array_sort(F.collect_list(F.struct(a.alias("a"), "id"))).alias("s")).select("line", F.col("s.id").alias("around"))
+    return trail_points(spark, d).groupBy("line").agg(F.array_sort(F.collect_list(F.struct(a.alias("a"), "id"))).alias("s")).select("line", F.array_join(F.col("s.id").cast("array<string>"), ",").alias("around"))
 
 
 @add()
@@ -156,10 +156,10 @@ def t1_sector_peaks(spark: SparkSession, d: str) -> DataFrame:
     return M.sector_peaks(rows, "line", "id", least=1.0)
 
 
-@add("SELECT l_suppkey, list(l_linenumber ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS down FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_suppkey")
+@add("SELECT l_suppkey, array_to_string(list(l_linenumber ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber), ',') AS down FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_suppkey")
 def t2_descending(spark: SparkSession, d: str) -> DataFrame:
     packed = F.array_sort(F.collect_list(F.struct((-F.col("l_extendedprice")).alias("p"), "l_orderkey", "l_linenumber")))
-    return table(spark, d, "lineitem").where("l_returnflag = 'R'").groupBy("l_suppkey").agg(packed.alias("s")).select("l_suppkey", F.col("s.l_linenumber").alias("down"))
+    return table(spark, d, "lineitem").where("l_returnflag = 'R'").groupBy("l_suppkey").agg(packed.alias("s")).select("l_suppkey", F.array_join(F.col("s.l_linenumber").cast("array<string>"), ",").alias("down"))
 
 
 @add("SELECT id, count(*) AS n FROM (SELECT upper(trim(id)) AS id FROM lane_lines UNION ALL SELECT upper(trim(id)) FROM lanes UNION ALL SELECT upper(trim(id)) FROM roads) GROUP BY id")

@@ -346,9 +346,9 @@ def a28_circle_fit(spark: SparkSession, d: str) -> DataFrame:
     return A.circle_fit(table(spark, d, "lineitem").select("l_suppkey", F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y")), ["l_suppkey"], "x", "y")
 
 
-@add("SELECT link_id, min(frame_no) AS first_frame, list_sort(list(DISTINCT trail_id)) AS trails FROM frames WHERE link_id IS NOT NULL GROUP BY link_id")
+@add("SELECT link_id, min(frame_no) AS first_frame, array_to_string(list_sort(list(DISTINCT trail_id)), ',') AS trails FROM frames WHERE link_id IS NOT NULL GROUP BY link_id")
 def a30_link_documents(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "frames").where("link_id IS NOT NULL").groupBy("link_id").agg(F.min("frame_no").alias("first_frame"), F.array_sort(F.collect_set("trail_id")).alias("trails"))
+    return table(spark, d, "frames").where("link_id IS NOT NULL").groupBy("link_id").agg(F.min("frame_no").alias("first_frame"), F.array_join(F.array_sort(F.collect_set("trail_id")), ",").alias("trails"))
 
 
 # Top-k and order
@@ -361,9 +361,9 @@ def t1_top_per_group(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").withColumn("rank", F.row_number().over(order)).where("rank <= 5").select("l_suppkey", "l_orderkey", "l_linenumber", "rank")
 
 
-@add("SELECT o_custkey, list(o_orderkey ORDER BY o_totalprice, o_orderkey) AS by_price FROM orders GROUP BY o_custkey")
+@add("SELECT o_custkey, array_to_string(list(o_orderkey ORDER BY o_totalprice, o_orderkey), ',') AS by_price FROM orders GROUP BY o_custkey")
 def t3_sorted_lists(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_totalprice", "o_orderkey"))).alias("s")).select("o_custkey", F.col("s.o_orderkey").alias("by_price"))
+    return table(spark, d, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_totalprice", "o_orderkey"))).alias("s")).select("o_custkey", F.array_join(F.col("s.o_orderkey").cast("array<string>"), ",").alias("by_price"))
 
 
 @add("SELECT l_orderkey, arg_min(l_linenumber, (l_shipdate, l_linenumber)) AS line FROM lineitem GROUP BY l_orderkey")
@@ -385,16 +385,16 @@ def t6_most_frequent(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "event_type").limit(1)
 
 
-@add("SELECT c_nationkey, list(c_custkey ORDER BY round(atan2(c_acctbal - 4500, (c_custkey % 97) - 48), 9), c_custkey) AS around FROM customer GROUP BY c_nationkey")
+@add("SELECT c_nationkey, array_to_string(list(c_custkey ORDER BY round(atan2(c_acctbal - 4500, (c_custkey % 97) - 48), 9), c_custkey), ',') AS around FROM customer GROUP BY c_nationkey")
 def t7_around_centre(spark: SparkSession, d: str) -> DataFrame:
     angle = F.round(F.atan2(F.col("c_acctbal") - 4500, (F.col("c_custkey") % 97) - 48), 9)
-    return table(spark, d, "customer").groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct(angle.alias("a"), "c_custkey"))).alias("s")).select("c_nationkey", F.col("s.c_custkey").alias("around"))
+    return table(spark, d, "customer").groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct(angle.alias("a"), "c_custkey"))).alias("s")).select("c_nationkey", F.array_join(F.col("s.c_custkey").cast("array<string>"), ",").alias("around"))
 
 
-@add("SELECT c_nationkey, list(c_custkey ORDER BY round(3 * (c_acctbal - 10) - 4 * ((c_custkey % 97) - 20), 6) DESC, c_custkey) AS by_side FROM customer GROUP BY c_nationkey")
+@add("SELECT c_nationkey, array_to_string(list(c_custkey ORDER BY round(3 * (c_acctbal - 10) - 4 * ((c_custkey % 97) - 20), 6) DESC, c_custkey), ',') AS by_side FROM customer GROUP BY c_nationkey")
 def t8_by_side(spark: SparkSession, d: str) -> DataFrame:
     side = F.round(3 * (F.col("c_acctbal") - 10) - 4 * ((F.col("c_custkey") % 97) - 20), 6)
-    return table(spark, d, "customer").groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct((-side).alias("a"), "c_custkey"))).alias("s")).select("c_nationkey", F.col("s.c_custkey").alias("by_side"))
+    return table(spark, d, "customer").groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct((-side).alias("a"), "c_custkey"))).alias("s")).select("c_nationkey", F.array_join(F.col("s.c_custkey").cast("array<string>"), ",").alias("by_side"))
 
 
 # Sets

@@ -299,10 +299,10 @@ def j6_link_errors(spark: SparkSession, d: str) -> DataFrame:
     return J.link_errors(features, links, 5.0).select("id", "ref_id", "problem")
 
 
-@add(f"SELECT l_id, list_sort(list(r_id)) AS suspects FROM {_near_sql('lane_lines', 'lane_lines', 60)} WHERE l_id <> r_id GROUP BY l_id")
+@add(f"SELECT l_id, array_to_string(list_sort(list(r_id)), ',') AS suspects FROM {_near_sql('lane_lines', 'lane_lines', 60)} WHERE l_id <> r_id GROUP BY l_id")
 def j7_suspected_links(spark: SparkSession, d: str) -> DataFrame:
     pairs = J.within(_first(spark, d, "lane_lines", "l"), _first(spark, d, "lane_lines", "r"), 60.0).where("l_id <> r_id")
-    return pairs.groupBy("l_id").agg(F.array_sort(F.collect_list("r_id")).alias("suspects"))
+    return pairs.groupBy("l_id").agg(F.array_join(F.array_sort(F.collect_list("r_id")), ",").alias("suspects"))
 
 
 @add(f"SELECT l_id, arg_min(r_id, (round(distance, 9), r_id)) AS r_id, round(min(distance), 6) AS distance FROM {_near_sql('lanes', 'roads', 400)} GROUP BY l_id")
@@ -328,10 +328,10 @@ def j9_truth_clusters(spark: SparkSession, d: str) -> DataFrame:
     return found.join(hit, "component", "left_semi").select(F.col("node").alias("l_id"), "component")
 
 
-@add(f"SELECT l_id, list(r_id ORDER BY round(distance, 9), r_id) AS by_distance FROM {_near_sql('roads', 'lane_lines', 300)} GROUP BY l_id")
+@add(f"SELECT l_id, array_to_string(list(r_id ORDER BY round(distance, 9), r_id), ',') AS by_distance FROM {_near_sql('roads', 'lane_lines', 300)} GROUP BY l_id")
 def j10_sorted_neighbours(spark: SparkSession, d: str) -> DataFrame:
     pairs = J.within(_first(spark, d, "roads", "l"), _first(spark, d, "lane_lines", "r"), 300.0)
-    return pairs.groupBy("l_id").agg(F.array_sort(F.collect_list(F.struct(F.round("distance", 9).alias("d"), "r_id"))).alias("s")).select("l_id", F.col("s.r_id").alias("by_distance"))
+    return pairs.groupBy("l_id").agg(F.array_sort(F.collect_list(F.struct(F.round("distance", 9).alias("d"), "r_id"))).alias("s")).select("l_id", F.array_join("s.r_id", ",").alias("by_distance"))
 
 
 @add(f"SELECT pid, min(d2) AS d FROM (SELECT a.pid, round(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2)), 6) AS d2 FROM {_POINTS} a JOIN (SELECT DISTINCT CAST(p_size AS DOUBLE) AS x, p_retailprice / 50 AS y, 0.5 AS z FROM part) b ON a.x BETWEEN b.x - 1 AND b.x + 1 AND a.y BETWEEN b.y - 1 AND b.y + 1 AND abs(a.z - b.z) <= 1) WHERE d2 <= 1 GROUP BY pid")
@@ -413,10 +413,10 @@ def j22_own_radius(spark: SparkSession, d: str) -> DataFrame:
     return J.within_own_radius(left, _first(spark, d, "lane_lines", "r"), "rad", 320.0).groupBy("l_id").agg(F.count("*").alias("n"))
 
 
-@add("SELECT c_custkey, list(o_orderkey ORDER BY o_orderdate, o_orderkey) AS orders FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey HAVING count(o_orderkey) > 0")
+@add("SELECT c_custkey, array_to_string(list(o_orderkey ORDER BY o_orderdate, o_orderkey), ',') AS orders FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey HAVING count(o_orderkey) > 0")
 def j25_one_to_many(spark: SparkSession, d: str) -> DataFrame:
     packed = table(spark, d, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey"))).alias("s"))
-    return table(spark, d, "customer").join(packed, F.col("c_custkey") == F.col("o_custkey")).select("c_custkey", F.col("s.o_orderkey").alias("orders"))
+    return table(spark, d, "customer").join(packed, F.col("c_custkey") == F.col("o_custkey")).select("c_custkey", F.array_join(F.col("s.o_orderkey").cast("array<string>"), ",").alias("orders"))
 
 
 @add("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')")
