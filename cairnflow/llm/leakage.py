@@ -43,6 +43,15 @@ _ACCENTS = str.maketrans("àáâãäåèéêëìíîïòóôõöùúûüçñýÿ
 _ENCODINGS = ("cp1251", "cp1250", "iso8859-2", "cp1254", "iso8859-5", "koi8-r", "cp437", "cp850", "mac-roman", "cp1253", "iso8859-7")
 
 
+_LONGEST = 100
+
+
+def spell(token: str) -> str:
+    """A token as a word: encoding mended, lower case, without punctuation at its ends. Tokens too long for a word keep theirs."""
+    word = reread(token).lower()
+    return _EDGE.sub("", word) if len(word) <= _LONGEST else word
+
+
 def skeleton(word: str) -> str:
     for a, b in _GROUPS:
         word = word.replace(a, b)
@@ -104,7 +113,7 @@ class Lexicon:
         return None
 
     def _resolve(self, token: str) -> int | None:
-        spelled = _EDGE.sub("", reread(token).lower())
+        spelled = spell(token)
         if not _SPOKEN.search(spelled):
             return None
         if spelled in self.ids:
@@ -214,7 +223,7 @@ class Index:
         plain = Lexicon([], frozenset())
         texts = []
         for item_id, text in items:
-            words = [s for t in _TOKEN.findall(text) if (plain.id(t)) is not None and (s := _EDGE.sub("", reread(t).lower()))]
+            words = [s for t in _TOKEN.findall(text) if (plain.id(t)) is not None and (s := spell(t))]
             if len(words) >= LEAST:
                 texts.append((item_id, words))
         vocabulary = sorted({w for _, ws in texts for w in ws})

@@ -29,7 +29,7 @@ STATS = ["n_words", "mean_word_len", "symbol_ratio", "digit_ratio", "punct_end_s
 _WORD = re.compile(r"[^\W\d_]+(?:[’'][^\W\d_]+)*")
 _ENTRY = re.compile(r"\(?\d{1,4}\s?[.):]\s|[•*·▪◦●]\s|\S+ —")
 _SPEAKER = re.compile(r"^[^\W\d_a-z][^\W\d_a-z .]{1,24}: ?(?=\S)")
-_NEUTRAL = re.compile(r"^(?:[\[(][^\])]*[\])]\s*|[♪♫#]+\s*)+$")
+_NEUTRAL = re.compile(r"(?:[\[(][^\[(\])]{0,200}[\])]|[♪♫#\s])+")
 _CODE = re.compile(r"[A-Za-z0-9+/=]{25,}")
 _END = ".!?…–”\"»“�"
 
@@ -37,7 +37,7 @@ _END = ".!?…–”\"»“�"
 def line_kind(line: str, common: frozenset[str], adverts: bool = True) -> int | None:
     """1: prose or dialogue, 0: entry of a list, row of a table or junk, None: can't tell by itself."""
     s = untagged(line)
-    if not s or (s[0] in "[(♪♫#" and _NEUTRAL.match(s)):
+    if not s or (s[0] in "[(♪♫#" and _NEUTRAL.fullmatch(s)):
         return None
     if adverts and is_advert(s) or _ENTRY.match(s) or "\t" in s or " = " in s or "...." in s or s.count("|") > 1 or s.count(";") > 2 or "— " in s:
         return 0

@@ -7,9 +7,9 @@ import re
 _MICRO = re.compile(r"\{\d*\}\{\d*\}")
 _TAG = re.compile(r"</?[a-zA-Z][^<>]{0,40}>|\{\\[^{}]{0,40}\}")
 #: Marks of a line that advertises or credits the file itself.
-ADVERT = re.compile(r"https?:|www\.|\.example\b|\.com\b|\.org\b|\.net\b|@\w+\.|\*\*\* .* \*\*\*|\bsubtitles?\b.*\b(by|for)\b|\brip by\b|\brate this\b|\bsynced\b|\bcorrected by\b|\bfree subs\b|\bvip member\b|\badvertise\b", re.I)
+ADVERT = re.compile(r"https?:|www\.|\.example\b|\.com\b|\.org\b|\.net\b|@\w+\.|\*\*\* .{0,120} \*\*\*|\bsubtitles?\b.{0,120}\b(by|for)\b|\brip by\b|\brate this\b|\bsynced\b|\bcorrected by\b|\bfree subs\b|\bvip member\b|\badvertise\b", re.I)
 _ADVERT_HINTS = ("http", "www.", ".example", ".com", ".org", ".net", "@", "***", "subtitle", "rip by", "rate this", "synced", "corrected by", "free subs", "vip member", "advertise")
-_SOUND = re.compile(r"[\[(][^\])]*[\])]|[♪♫#]+|â™ª|Ã¢â„¢Âª")
+_SOUND = re.compile(r"[\[(][^\[(\])]{0,200}[\])]|[♪♫#]+|â™ª|Ã¢â„¢Âª")
 _BLANK = " \t\r\f\v﻿"
 
 

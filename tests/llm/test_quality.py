@@ -79,3 +79,19 @@ def test_sketches_merge(spark):
 def test_majority_junk_language_is_scored_against_all(spark, small):
     found = queries.p9_found(spark, small)
     assert found.count() == found.distinct().count() > 0
+
+
+@pytest.mark.parametrize("unit", ["#", "# ", "[", "(a", "-", "subtitle ", "*** ", "♪x", "Ã", "a'", "1", "|", ". ", "— ", "<i", "{\\", "\n", "x\n", "{1}{2}"])
+def test_very_long_odd_texts_take_linear_time(unit):
+    """A text of a megabyte without line ends, or of nothing else, is measured and read in moments."""
+    import time
+
+    from cairnflow.llm import leakage
+    from cairnflow.llm.subtitles import reread
+
+    text = unit * (1_000_000 // len(unit)) + "x"
+    index = leakage.Index([(1, " ".join(f"word{c}" for c in "abcdefghijklmn"))], frozenset())
+    began = time.process_time()
+    Q.document_stats(text, ALL, COMMON)
+    index.leaks([leakage.spoken(reread(text), index.lexicon)])
+    assert time.process_time() - began < 10
