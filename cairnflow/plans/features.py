@@ -241,7 +241,7 @@ def h28_mark_boxes(spark: SparkSession, d: str) -> DataFrame:
 @add()
 def h31_labelled_areas(spark: SparkSession, d: str) -> DataFrame:
     rows = points(spark, d).select(F.col("pid").alias("id"), "x", "y", "z", (F.col("pid") % 13).cast("int").alias("label"))
-    return M.labelled_areas(rows, 1.0, 10)
+    return M.labelled_areas(rows, 1.5, 5)
 
 
 _LINE_MEASURES = f"""WITH a AS (SELECT line, avg(x) AS mx, avg(y) AS my, atan2(2 * covar_pop(x, y), var_pop(x) - var_pop(y)) / 2 AS t FROM {_TRAIL} GROUP BY line),
