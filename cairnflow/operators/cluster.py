@@ -46,45 +46,48 @@ def _grid(points: DataFrame, axes: list[str], side: float) -> DataFrame:
     return points.withColumns({f"_c{a}": F.floor(F.col(a) / side) for a in axes})
 
 
-def dbscan(points: DataFrame, row_id: str, axes: list[str], eps: float, least: int) -> DataFrame:
+def dbscan(points: DataFrame, row_id: str, axes: list[str], eps: float, least: int, by: str | None = None) -> DataFrame:
     """row_id, cluster: 0 for noise, else the smallest row_id among the cluster's cores. A point counts itself.
 
     Cells have the diagonal eps: where one holds ``least`` points, all of them are cores of one cluster, so only sparse
     cells count neighbours, and cells, not points, are linked. A border point joins its smallest cluster. Of rows with
-    one id the smallest counts; rows without id or coordinates drop out.
+    one id the smallest counts; rows without id or coordinates drop out. Given ``by``, points of different values of it
+    are never neighbours; all values are clustered in the same pass.
     """
+    extra = [by] if by else []
     side = eps / math.sqrt(len(axes))
     reach = math.ceil(math.sqrt(len(axes)))
     cells = [f"_c{a}" for a in axes]
-    single = points.where(F.col(row_id).isNotNull()).groupBy(F.col(row_id).alias("id")).agg(F.min(F.struct(*axes)).alias("_p")).select("id", *[F.col(f"_p.{a}").alias(a) for a in axes])
-    usable = single.where(" AND ".join(f"{a} IS NOT NULL AND NOT isnan({a})" for a in axes))
+    where = [*cells, *extra]
+    single = points.where(F.col(row_id).isNotNull()).groupBy(F.col(row_id).alias("id")).agg(F.min(F.struct(*axes, *extra)).alias("_p")).select("id", *[F.col(f"_p.{a}").alias(a) for a in (*axes, *extra)])
+    usable = single.where(" AND ".join(f"{a} IS NOT NULL AND NOT isnan({a})" for a in axes)).where(F.lit(True) if by is None else F.col(by).isNotNull())
     p = materialise(_grid(usable, axes, side), "cells")
     offsets = F.array(*[F.struct(*[F.lit(o).cast("bigint").alias(f"o{a}") for a, o in zip(axes, shift)]) for shift in itertools.product(range(-reach, reach + 1), repeat=len(axes))])
 
     def spread(df: DataFrame, prefix: str) -> DataFrame:
         """Rows copied to the cells around; the own cell is kept as prefix columns."""
         out = df.withColumn("_o", F.explode(offsets))
-        return out.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns], *[(F.col(c) + F.col(f"_o.o{a}")).alias(c) for a, c in zip(axes, cells)])
+        return out.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns], *[(F.col(c) + F.col(f"_o.o{a}")).alias(c) for a, c in zip(axes, cells)], *extra)
 
     def near(left: DataFrame, right: DataFrame) -> DataFrame:
         apart = sum(((F.col(a) - F.col(f"s_{a}")) * (F.col(a) - F.col(f"s_{a}")) for a in axes), F.lit(0.0))
-        return left.join(right, cells).where(apart <= eps * eps + 1e-12)
+        return left.join(right, where).where(apart <= eps * eps + 1e-12)
 
-    size = p.groupBy(*cells).agg(F.count("*").alias("n_cell"))
-    sized = p.join(size, cells)
-    sparse = sized.where(F.col("n_cell") < least).select("id", *axes, *cells)
-    places = p.groupBy(*axes, *cells).agg(F.count("*").alias("n"))
+    size = p.groupBy(*where).agg(F.count("*").alias("n_cell"))
+    sized = p.join(size, where)
+    sparse = sized.where(F.col("n_cell") < least).select("id", *axes, *where)
+    places = p.groupBy(*axes, *where).agg(F.count("*").alias("n"))
     counted = near(places, spread(sparse, "s_")).groupBy(F.col("s_id").alias("id")).agg(F.sum("n").alias("n_near")).where(F.col("n_near") >= least).select("id")
-    cores = materialise(sized.where(F.col("n_cell") >= least).select("id", *axes, *cells).unionByName(sparse.join(counted, "id", "left_semi")), "cores")
-    key = lambda prefix="": F.concat_ws(",", *[F.col(f"{prefix}{c}").cast("string") for c in cells])
-    core_places = cores.select(*axes, *cells).distinct()
+    cores = materialise(sized.where(F.col("n_cell") >= least).select("id", *axes, *where).unionByName(sparse.join(counted, "id", "left_semi")), "cores")
+    key = lambda prefix="": F.concat_ws(",", *[F.col(f"{prefix}{c}").cast("string") for c in where])
+    core_places = cores.select(*axes, *where).distinct()
     links = near(core_places, spread(core_places, "s_")).select(key().alias("a"), key("s_").alias("b")).where("a < b").distinct()
     groups = connected_components(cores.select(key().alias("node")).distinct(), links)
     labelled = cores.withColumn("node", key()).join(groups, "node")
     smallest = labelled.groupBy("component").agg(F.min("id").alias("cluster"))
-    labelled = materialise(labelled.join(smallest, "component").select("id", *axes, *cells, "cluster"), "core-clusters")
+    labelled = materialise(labelled.join(smallest, "component").select("id", *axes, *where, "cluster"), "core-clusters")
     rest = p.join(labelled.select("id"), "id", "left_anti")
-    places = labelled.groupBy(*axes, *cells).agg(F.min("cluster").alias("cluster"))
+    places = labelled.groupBy(*axes, *where).agg(F.min("cluster").alias("cluster"))
     border = near(places, spread(rest, "s_")).groupBy(F.col("s_id").alias("id")).agg(F.min("cluster").alias("cluster"))
     out = labelled.select("id", "cluster").unionByName(rest.select("id").join(border, "id", "left").select("id", F.coalesce("cluster", F.lit(0)).alias("cluster")))
     return out.select(F.col("id").alias(row_id), "cluster")

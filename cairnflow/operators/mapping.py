@@ -45,11 +45,7 @@ def merge_lights(detections: DataFrame, eps: float = 5.0, first_id: int = 600_00
 
     Places chain detections at most eps apart; the heading is that of the largest cluster of headings; points weigh.
     """
-    parts = []
-    for single in (True, False):
-        own = detections.where(F.col("is_single") == single)
-        parts.append(own.join(cluster.dbscan(own, "id", ["x", "y"], eps, 1), "id"))
-    placed = materialise(parts[0].unionByName(parts[1]), "lights")
+    placed = materialise(detections.join(cluster.dbscan(detections, "id", ["x", "y"], eps, 1, by="is_single"), "id"), "lights")
     by = ["is_single", "cluster"]
     centre = placed.groupBy(*by).agg((F.sum(F.col("x") * F.col("num_pts")) / F.sum("num_pts")).alias("x"), (F.sum(F.col("y") * F.col("num_pts")) / F.sum("num_pts")).alias("y"), F.count("*").alias("n"))
     angle = angle_by_cluster(placed, by, "heading", "num_pts", "id").withColumnRenamed("angle", "heading")
@@ -85,16 +81,11 @@ def mark_boxes(points: DataFrame, eps: float, least: int, voxel: float | None, m
 
 def labelled_areas(points: DataFrame, eps: float = 1.0, least: int = 10, labels: tuple[int, int] = (8, 12)) -> DataFrame:
     """label, cluster, corner, x, y, z: hulls of clusters per label, anticlockwise from the leftmost, each corner with the height of a point there."""
-    parts = []
-    for label in range(labels[0], labels[1] + 1):
-        own = points.where(F.col("label") == label)
-        found = own.join(cluster.dbscan(own, "id", ["x", "y"], eps, least), "id").where("cluster <> 0")
-        corners = cluster.convex_hulls(found, "cluster", "x", "y")
-        heights = found.groupBy("cluster", "x", "y").agg(F.min("z").alias("z"))
-        parts.append(corners.join(heights, ["cluster", "x", "y"]).select(F.lit(label).alias("label"), "cluster", "corner", "x", "y", "z"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    own = points.where(F.col("label").between(*labels))
+    found = materialise(own.join(cluster.dbscan(own, "id", ["x", "y"], eps, least, by="label"), "id").where("cluster <> 0"), "areas")
+    corners = cluster.convex_hulls(found, "cluster", "x", "y")
+    heights = found.groupBy("cluster", "x", "y").agg(F.min("z").alias("z"), F.min("label").alias("label"))
+    out = corners.join(heights, ["cluster", "x", "y"]).select("label", "cluster", "corner", "x", "y", "z")
     sized = out.groupBy("label", "cluster").agg(F.count("*").alias("n")).where("n >= 3")
     return out.join(sized, ["label", "cluster"], "left_semi")
 
