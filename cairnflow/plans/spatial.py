@@ -379,6 +379,31 @@ def j15_exact_time(spark: SparkSession, d: str) -> DataFrame:
     return poses.join(table(spark, d, "frames"), ["trail_id", "stamp_ms"]).select("pose_id", "frame_no").distinct()
 
 
+_POSE_MICROS = """(SELECT DISTINCT pose_id, trim(trail_id) AS who, CAST(round(CASE WHEN v < 1e11 THEN v * 1000000 WHEN v < 1e14 THEN v * 1000 WHEN v < 1e17 THEN v ELSE v / 1000 END) AS BIGINT) AS b
+ FROM (SELECT *, try_cast(regexp_extract(frame_id_str, '^\\s*([0-9]{9,20}(\\.[0-9]{1,9})?)_', 1) AS DECIMAL(38, 9)) AS v FROM key_poses) WHERE v >= 100000000)"""
+
+
+def _pose_micros(spark: SparkSession, d: str) -> DataFrame:
+    """pose_id, who, moment: a pose's time in microseconds, in whichever unit and precision it is written."""
+    return table(spark, d, "key_poses").select("pose_id", F.trim("trail_id").alias("who"), asof.epoch_micros(F.regexp_extract("frame_id_str", r"^\s*([0-9.]+)_", 1)).alias("moment"))
+
+
+@add(f"SELECT frame_no, pose_id FROM (SELECT frame_no, pose_id, row_number() OVER (PARTITION BY frame_no ORDER BY abs(a - b), b, pose_id) AS k FROM (SELECT DISTINCT frame_no, trim(trail_id) AS trail_id, stamp_ms * 1000 AS a FROM frames) f JOIN {_POSE_MICROS} p ON p.who = trail_id AND b BETWEEN a - 999999 AND a + 999999) WHERE k = 1")
+def j14_nearest_pose_any_unit(spark: SparkSession, d: str) -> DataFrame:
+    """The nearest pose under 1000 ms away, over all poses with a usable time; j14_nearest_pose, as its SQL, reads whole milliseconds only."""
+    left = table(spark, d, "frames").select("frame_no", F.trim("trail_id").alias("who"), (F.col("stamp_ms") * 1000).alias("moment"))
+    found = asof.nearest_time(left, _pose_micros(spark, d), "frame_no", "pose_id", "who", "moment", 999_999, 60_000_000)
+    return found.select(F.col("left_id").alias("frame_no"), F.col("right_id").alias("pose_id"))
+
+
+@add(f"SELECT DISTINCT p.pose_id, f.frame_no FROM {_POSE_MICROS} p JOIN frames f ON p.who = trim(f.trail_id) AND p.b = f.stamp_ms * 1000 - 8000")
+def j15_exact_time_any_unit(spark: SparkSession, d: str) -> DataFrame:
+    """Frames 8 ms after a pose, over all poses with a usable time; j15_exact_time, as its SQL, reads whole milliseconds only."""
+    poses = _pose_micros(spark, d).withColumn("moment", F.col("moment") + 8000)
+    frames = table(spark, d, "frames").select("frame_no", F.trim("trail_id").alias("who"), (F.col("stamp_ms") * 1000).alias("moment"))
+    return poses.join(frames, ["who", "moment"]).select("pose_id", "frame_no").distinct()
+
+
 @add("SELECT trail_id, count(*) AS n FROM (SELECT DISTINCT trail_id, frame_no FROM frames) WHERE trail_id IN (SELECT trail_id FROM flat_mapping_info) GROUP BY trail_id")
 def j17_member_list(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "frames").select("trail_id", "frame_no").distinct().join(table(spark, d, "flat_mapping_info").select("trail_id"), "trail_id", "left_semi").groupBy("trail_id").agg(F.count("*").alias("n"))

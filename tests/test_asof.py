@@ -34,3 +34,17 @@ def test_edges_and_nulls(spark):
     right = [(1, "a", 130, ""), (2, "a", 99, ""), (3, None, 100, ""), (4, "a", None, ""), (9, "a", 99, "")]
     assert pairs(spark, left, right) == [(1, 2), (5, 1)]
     assert pairs(spark, [], right) == [] == pairs(spark, left, [])
+
+
+def test_poses_in_every_unit_are_paired(spark, tmp_path):
+    """One moment as milliseconds, with decimals, seconds and microseconds; and 999.5 and 1000 ms away."""
+    from cairnflow.plans import spatial
+
+    stamp = 1_741_082_689_879
+    texts = ["1741082689871_1", "1741082689871.000_1", "1741082689.871_1", "1741082689871000_1", "1741082688879.5_1", "1741082688.879_1", "nan_1", None]
+    spark.createDataFrame([(i, f" t{i} ", s) for i, s in enumerate(texts)], "pose_id bigint, trail_id string, frame_id_str string").write.parquet(f"{tmp_path}/key_poses.parquet")
+    spark.createDataFrame([(10 + i, f"t{i}", stamp) for i in range(len(texts))], "frame_no bigint, trail_id string, stamp_ms bigint").write.parquet(f"{tmp_path}/frames.parquet")
+    nearest = sorted(map(tuple, spatial.QUERIES["j14_nearest_pose_any_unit"](spark, str(tmp_path)).collect()))
+    assert nearest == [(10 + i, i) for i in range(5)]
+    exact = sorted(map(tuple, spatial.QUERIES["j15_exact_time_any_unit"](spark, str(tmp_path)).collect()))
+    assert exact == [(i, 10 + i) for i in range(4)]
