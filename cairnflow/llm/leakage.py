@@ -327,16 +327,15 @@ class Index:
         whole = np.flatnonzero((known >= WINDOW - 1) & (stream[: len(known)] == stream[WINDOW - 1 :]))
         at, of = self.candidates(self.fingerprints(words)[whole])
         at = whole[at]
-        owner, place = self.owner[of], self.place[of]
-        # One try per stream, item and diagonal.
-        key = np.unique(np.stack((stream[at], owner, at - place)), axis=1, return_index=True)[1] if len(at) else np.empty(0, int)
+        # Every pair of windows is tried: those before a replaced word share the diagonal with those after it. A try that fails ends within a few words of LEAST.
+        pairs = np.unique(np.stack((at, of)), axis=1) if len(at) else np.empty((2, 0), int)
         out: set[tuple[int, int]] = set()
-        for k in key.tolist():
-            s, n = int(stream[at[k]]), int(owner[k])
+        for a, o in pairs.T.tolist():
+            s, n = int(stream[a]), int(self.owner[o])
             if (s, n) in out:
                 continue
             own = words[start[s] : start[s + 1]]
-            matched, similarity = self.longest(self.items[n], own, int(place[k]), int(at[k] - start[s]))
+            matched, similarity = self.longest(self.items[n], own, int(self.place[o]), int(a - start[s]))
             if matched >= LEAST and similarity >= 0.5:
                 out.add((s, n))
         return sorted(out)

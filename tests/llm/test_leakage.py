@@ -32,6 +32,15 @@ def test_length_and_order():
     assert leaks(" ".join(reversed(ITEM.split()))) == []
 
 
+def test_a_replaced_word_does_not_hide_the_words_after_it():
+    long = (7, " ".join(f"{a}{b}" for a in ("morning", "kettle", "garden", "window", "thunder") for b in ("ful", "less", "ward", "smith", "berry", "stone")))
+    w = long[1].split()
+    for k in range(6, 12):
+        assert leaks(" ".join([*w[:k], "xylophone", *w[k + 1 :]]), [long]) == [7]
+    assert leaks(" ".join([*w[:9], "xylophone", *w[10:18], "zebra", *w[19:]]), [long]) == []
+    assert leaks(" ".join([*w[:7], "xylophone", *w[8:15], "zebra", *w[16:28]]), [long]) == [7]
+
+
 def test_what_subtitles_add_is_no_interruption():
     w = words(14).split()
     srt = f"1\n00:00:01,000 --> 00:00:02,000\n<i>- {' '.join(w[:4])}</i>\n\n2\n00:00:03,000 --> 00:00:04,000\n[door creaks]\n\n3\n00:00:05,000 --> 00:00:06,000\nRip by someone, please rate this subtitle\n\n4\n00:00:07,000 --> 00:00:08,000\nORRIN: {' '.join(w[4:9]).upper()},\n{w[9][:3]}-\n{w[9][3:]} {' '.join(w[10:])}"
