@@ -172,27 +172,52 @@ def keep_spaced(points: Column, spacing: Column) -> Column:
 
 
 def smoothing_spline(t: np.ndarray, y: np.ndarray, p: float) -> np.ndarray:
-    """Values of the natural cubic smoothing spline at its knots; ends pinned. p is the weight of the fit against roughness."""
+    """Values of the natural cubic smoothing spline at its knots; ends pinned. p is the weight of the fit against roughness.
+
+    The system has two diagonals on either side and is solved in linear time and memory.
+    """
     n = len(t)
     if n < 3:
         return y.copy()
     h = np.diff(t)
-    q, r = np.zeros((n, n - 2)), np.zeros((n - 2, n - 2))
-    for j in range(n - 2):
-        q[j, j], q[j + 1, j], q[j + 2, j] = 1 / h[j], -1 / h[j] - 1 / h[j + 1], 1 / h[j + 1]
-        r[j, j] = (h[j] + h[j + 1]) / 3
-        if j < n - 3:
-            r[j, j + 1] = r[j + 1, j] = h[j + 1] / 6
+    first, mid, last = 1 / h[:-1], -1 / h[:-1] - 1 / h[1:], 1 / h[1:]
     # Pinned ends carry so much weight that they stay.
     inverse = np.ones(n)
     inverse[[0, -1]] = 1e-12
-    gamma = np.linalg.solve(p * r + (1 - p) * (q.T * inverse) @ q, p * (q.T @ y))
-    return y - (1 - p) / p * inverse * (q @ gamma)
-
-
-def smooth(df: DataFrame, p: float = 0.0006, line: str = "line", order: str = "seq", window: int = 200) -> DataFrame:
-    """line, seq, x, y: each line smoothed over its chord length. Long lines are smoothed in windows of so many vertices."""
-    measured = with_measure(df, line, order).withColumn("_part", F.floor((F.row_number().over(_along(line, order)) - 1) / window))
+    main = p * (h[:-1] + h[1:]) / 3 + (1 - p) * (first * first * inverse[:-2] + mid * mid * inverse[1:-1] + last * last * inverse[2:])
+    next1 = p * h[1:-1] / 6 + (1 - p) * (mid[:-1] * first[1:] * inverse[1:-2] + last[:-1] * mid[1:] * inverse[2:-1])
+    next2 = (1 - p) * last[:-2] * first[2:] * inverse[2:-2]
+    gamma = _five_diagonals(main, next1, next2, p * (first * y[:-2] + mid * y[1:-1] + last * y[2:]))
+    bend = np.zeros(n)
+    bend[:-2] += first * gamma
+    bend[1:-1] += mid * gamma
+    bend[2:] += last * gamma
+    return y - (1 - p) / p * inverse * bend
+
+
+def _five_diagonals(main: np.ndarray, next1: np.ndarray, next2: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Solution of a symmetric positive definite system with two diagonals on either side, by its LDL' factors."""
+    n = len(main)
+    d, e, f, z = main.tolist(), [*next1.tolist(), 0.0], [*next2.tolist(), 0.0, 0.0], right.tolist()
+    for i in range(n):
+        if i + 1 < n:
+            u, v = e[i] / d[i], f[i] / d[i]
+            d[i + 1] -= u * e[i]
+            e[i + 1] -= u * f[i]
+            z[i + 1] -= u * z[i]
+            if i + 2 < n:
+                d[i + 2] -= v * f[i]
+                z[i + 2] -= v * z[i]
+            e[i], f[i] = u, v
+        z[i] /= d[i]
+    for i in range(n - 2, -1, -1):
+        z[i] -= e[i] * z[i + 1] + (f[i] * z[i + 2] if i + 2 < n else 0.0)
+    return np.array(z)
+
+
+def smooth(df: DataFrame, p: float = 0.0006, line: str = "line", order: str = "seq") -> DataFrame:
+    """line, seq, x, y: each line smoothed as a whole over its chord length."""
+    measured = with_measure(df, line, order)
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by(order)
@@ -206,7 +231,7 @@ def smooth(df: DataFrame, p: float = 0.0006, line: str = "line", order: str = "s
         return pa.table({line: table.column(line), order: table.column(order), "x": out["x"], "y": out["y"]})
 
     kinds = dict(df.dtypes)
-    return measured.groupBy(line, "_part").applyInArrow(run, f"`{line}` {kinds[line]}, `{order}` {kinds[order]}, x double, y double")
+    return measured.groupBy(line).applyInArrow(run, f"`{line}` {kinds[line]}, `{order}` {kinds[order]}, x double, y double")
 
 
 def poly_fit(df: DataFrame, by: list[str], x: str, y: str, degree: int = 3) -> DataFrame:

@@ -211,6 +211,26 @@ def test_spline():
     assert S.smoothing_spline(t, 3 * t + 1, 0.01) == pytest.approx(3 * t + 1, abs=1e-6)
 
 
+def test_long_line_is_smoothed_as_a_whole(spark):
+    """Every vertex is as the dense system over the whole line gives it, without breaks every so many vertices."""
+    n, p = 450, 0.0006
+    rng = np.random.default_rng(3)
+    x, y = np.arange(n) + rng.uniform(-0.2, 0.2, n), rng.normal(0, 0.3, n)
+    df = spark.createDataFrame([("a", i, float(x[i]), float(y[i])) for i in range(n)], "line string, seq int, x double, y double")
+    got = sorted((r.seq, r.x, r.y) for r in S.smooth(df, p).collect())
+    h = np.hypot(np.diff(x), np.diff(y))
+    q, r, w = np.zeros((n, n - 2)), np.zeros((n - 2, n - 2)), np.eye(n)
+    w[0, 0] = w[-1, -1] = 1e-12
+    for j in range(n - 2):
+        q[j : j + 3, j] = 1 / h[j], -1 / h[j] - 1 / h[j + 1], 1 / h[j + 1]
+        r[j, j] = (h[j] + h[j + 1]) / 3
+        if j:
+            r[j, j - 1] = r[j - 1, j] = h[j] / 6
+    for axis, v in ((1, x), (2, y)):
+        want = v - (1 - p) / p * w @ q @ np.linalg.solve(p * r + (1 - p) * q.T @ w @ q, p * q.T @ v)
+        assert [g[axis] for g in got] == pytest.approx(want, abs=1e-6)
+
+
 def test_projection_and_tiles(spark):
     df = spark.createDataFrame([(30.23384, 120.14515), (0.0, 0.0), (90.0, 180.0), (-33.9, 18.4)], "lat double, lon double")
     assert one(df, G.tile_id(F.col("lat"), F.col("lon")))[:2] == ["6829_3373", "4096_4096"]
