@@ -7,8 +7,8 @@ wrongly encoded are mapped to the evaluation word they stand for.
 Windows of half the smallest passage's length slide over both streams; any passage holds such a window even if one of
 its words stayed unreadable. Each window's SimHash is looked up in a multi-index over four blocks of 16 bits: two
 fingerprints within ``RADIUS`` = 3 bits agree in at least one block, so every such pair is found. Candidates are then
-verified exactly: the passage is followed word by word in order from the window outwards, and the weighted shingle
-similarity of the matched texts must reach a limit.
+verified exactly: the passage is followed word by word in order from the window outwards, which alone decides. The
+weighted similarity of the matched words is never below its limit.
 
 Defined results: null texts match nothing; items shorter than the smallest passage match nothing; repeated rows give
 one pair. The items must fit one index of ``MAX_ITEM_WORDS`` words; a larger set is searched in blocks of that size.
@@ -281,7 +281,7 @@ class Index:
         return np.concatenate(found_at), np.concatenate(found_of)
 
     def longest(self, item: np.ndarray, words: np.ndarray, place: int, at: int) -> tuple[int, float]:
-        """Words of the item matched in order around the window, and the weighted shingle similarity of the match."""
+        """Words of the item matched in order around the window, and the weighted similarity of the matched words, 0.5 at least."""
         same = self.lexicon.same
 
         def extend(i: int, j: int, step: int) -> tuple[int, list[tuple[int, int]]]:
