@@ -39,7 +39,7 @@ def canonical_path(path: Column, root: Column, folder: Column) -> Column:
 
 @contextmanager
 def split_packing(spark: SparkSession, max_bytes: int, open_cost: int):
-    """Reads planned inside use these packing limits; the former settings come back afterwards."""
+    """Reads that run inside use these packing limits, as split sizes are taken when a scan runs; the former settings come back afterwards."""
     keys = {"spark.sql.files.maxPartitionBytes": str(max_bytes), "spark.sql.files.openCostInBytes": str(open_cost), "spark.sql.files.minPartitionNum": "1"}
     before = {k: spark.conf.get(k, None) for k in keys}
     for k, v in keys.items():
@@ -81,18 +81,18 @@ def consolidate_files(spark: SparkSession, source: str, target: str, max_bytes:
     with split_packing(spark, max_bytes, open_cost):
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(source).select("path", "length", "content")
         parts = files.rdd.getNumPartitions()
-    listed = [unquote(p).replace("file:///", "file:/", 1) for p in files.inputFiles()]
-    total = files.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
-    few = max(1, min(max(parts, 1), math.ceil(total[0] / max_bytes)))
-    whole = files.coalesce(few)
-    if total[1] < len(listed):
-        names = spark.createDataFrame([(p,) for p in listed], "path string")
-        empty = names.join(files.select("path"), "path", "left_anti").select("path", F.lit(0).cast("bigint").alias("length"), F.lit(b"").alias("content"))
-        whole = whole.unionByName(empty.coalesce(1))
-    expected = checksum(whole, ["path", "content"])
-    if expected[0] != len(listed):
-        raise ValueError(f"{len(listed)} files are listed, {expected[0]} were read")
-    return publish(whole, target, expected, lambda df: checksum(df, ["path", "content"]))
+        listed = [unquote(p).replace("file:///", "file:/", 1) for p in files.inputFiles()]
+        total = files.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+        few = max(1, min(max(parts, 1), math.ceil(total[0] / max_bytes)))
+        whole = files.coalesce(few)
+        if total[1] < len(listed):
+            names = spark.createDataFrame([(p,) for p in listed], "path string")
+            empty = names.join(files.select("path"), "path", "left_anti").select("path", F.lit(0).cast("bigint").alias("length"), F.lit(b"").alias("content"))
+            whole = whole.unionByName(empty.coalesce(1))
+        expected = checksum(whole, ["path", "content"])
+        if expected[0] != len(listed):
+            raise ValueError(f"{len(listed)} files are listed, {expected[0]} were read")
+        return publish(whole, target, expected, lambda df: checksum(df, ["path", "content"]))
 
 
 def consolidate_table(spark: SparkSession, source: str, target: str, fmt: str = "parquet", max_bytes: int = 128 << 20, open_cost: int = 4 << 20) -> DataFrame:
@@ -100,7 +100,7 @@ def consolidate_table(spark: SparkSession, source: str, target: str, fmt: str =
     with split_packing(spark, max_bytes, open_cost):
         rows = spark.read.format(fmt).load(source)
         parts = rows.rdd.getNumPartitions()
-    return publish(rows.coalesce(max(1, parts)), target, checksum(rows, rows.columns), lambda df: checksum(df, rows.columns))
+        return publish(rows.coalesce(max(1, parts)), target, checksum(rows, rows.columns), lambda df: checksum(df, rows.columns))
 
 
 def _next_fit(max_bytes: int, overhead: int):
@@ -125,7 +125,7 @@ def _next_fit(max_bytes: int, overhead: int):
 
 
 def plan_containers(pairs: DataFrame, max_bytes: int, overhead: int) -> DataFrame:
-    """Add ``container`` to a listing with ``bytes``; each read split is packed where it lies, without a shuffle."""
+    """Add ``container`` to a listing with ``bytes``; each partition is packed where it lies, without a shuffle."""
     fields = ", ".join(f"`{n}` {t}" for n, t in pairs.dtypes)
     return pairs.mapInArrow(_next_fit(max_bytes, overhead), f"{fields}, container bigint")
 
@@ -136,23 +136,24 @@ def consolidate_listing(
     """Plan the consolidation of the file pairs a listing names: (kept, entries).
 
     kept: entry and canonical paths of each distinct pair once, under its smallest entry, with bytes and container, as
-    a staged and verified table. entries: entry and canonical paths of all rows of the listing.
+    a staged and verified table. entries: entry and canonical paths of all rows of the listing, read when it is used.
     """
     # read_bytes and open_cost pack the listing's own files into splits; max_bytes and overhead (a record's frame) the containers.
     with split_packing(spark, read_bytes, open_cost):
         listing = spark.read.parquet(path)
-    names = [f"file_{i}" for i in range(len(files))]
-    total = sum((F.greatest(F.coalesce(F.col(s), F.lit(0)), F.lit(0)) for s in sizes[1:]), F.greatest(F.coalesce(F.col(sizes[0]), F.lit(0)), F.lit(0)))
-    entries = listing.select(F.col(entry).alias("entry_id"), *[canonical_path(F.col(f), F.col(root), F.col(folder)).alias(n) for f, n in zip(files, names)], total.cast("bigint").alias("bytes"))
-    # Each kept pair carries how many entries it stands for and the sum of their hashes: together they must be the listing.
-    token = F.pmod(F.xxhash64("entry_id"), F.lit(1_000_000_007))
-    pairs = entries.groupBy(*names).agg(F.min("entry_id").alias("entry_id"), F.max("bytes").alias("bytes"), F.count("*").alias("n_entries"), F.sum(token).alias("entry_hash"))
-    expected = checksum(listing.select(F.col(entry).alias("entry_id")), ["entry_id"])
-
-    def measure(staged: DataFrame) -> tuple[int, int]:
-        n, s = staged.agg(F.coalesce(F.sum("n_entries"), F.lit(0)), F.coalesce(F.sum("entry_hash"), F.lit(0))).first()
-        return int(n), int(s)
-
-    columns = pairs.select("entry_id", *names, "bytes", "n_entries", "entry_hash")
-    kept = publish(plan_containers(columns, max_bytes, overhead), f"{shared_dir(spark)}/listing-{uuid.uuid4().hex}", expected, measure)
-    return kept.drop("entry_hash"), entries.drop("bytes")
+        parts = listing.rdd.getNumPartitions()
+        names = [f"file_{i}" for i in range(len(files))]
+        total = sum((F.greatest(F.coalesce(F.col(s), F.lit(0)), F.lit(0)) for s in sizes[1:]), F.greatest(F.coalesce(F.col(sizes[0]), F.lit(0)), F.lit(0)))
+        entries = listing.select(F.col(entry).alias("entry_id"), *[canonical_path(F.col(f), F.col(root), F.col(folder)).alias(n) for f, n in zip(files, names)], total.cast("bigint").alias("bytes"))
+        # Each kept pair carries how many entries it stands for and the sum of their hashes: together they must be the listing.
+        token = F.pmod(F.xxhash64("entry_id"), F.lit(1_000_000_007))
+        pairs = entries.groupBy(*names).agg(F.min("entry_id").alias("entry_id"), F.max("bytes").alias("bytes"), F.count("*").alias("n_entries"), F.sum(token).alias("entry_hash"))
+        expected = checksum(listing.select(F.col(entry).alias("entry_id")), ["entry_id"])
+
+        def measure(staged: DataFrame) -> tuple[int, int]:
+            n, s = staged.agg(F.coalesce(F.sum("n_entries"), F.lit(0)), F.coalesce(F.sum("entry_hash"), F.lit(0))).first()
+            return int(n), int(s)
+
+        columns = pairs.select("entry_id", *names, "bytes", "n_entries", "entry_hash").coalesce(max(1, parts))
+        kept = publish(plan_containers(columns, max_bytes, overhead), f"{shared_dir(spark)}/listing-{uuid.uuid4().hex}", expected, measure)
+        return kept.drop("entry_hash"), entries.drop("bytes")

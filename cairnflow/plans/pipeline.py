@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cairnflow.operators import asof, compaction, nested, patches, spikes
 from cairnflow.operators import references as refs
-from cairnflow.session import table
+from cairnflow.session import materialise, table
 
 LAYER_TARGETS = {
     "lane_lines": {"pre_id": "lane_lines", "next_id": "lane_lines", "lane_id": "lanes"},
@@ -76,7 +76,9 @@ def _listing(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     kept, entries = _listing(spark, d)
-    return entries.where("entry_id IS NOT NULL").select("entry_id").join(kept.select("entry_id"), "entry_id", "left_anti").distinct()
+    # The listing is read a second time, packed like the first.
+    with compaction.split_packing(spark, 64 << 20, 4 << 20):
+        return materialise(entries.where("entry_id IS NOT NULL").select("entry_id").join(kept.select("entry_id"), "entry_id", "left_anti").distinct(), "repeated-entries")
 
 
 def p3_containers(spark: SparkSession, d: str) -> DataFrame:

@@ -89,3 +89,38 @@ def test_a_loss_is_noticed(spark, tmp_path):
     with pytest.raises(ValueError):
         C.publish(df.limit(9), str(tmp_path / "x"), C.checksum(df, ["id"]), lambda d: C.checksum(d, ["id"]))
     assert list(tmp_path.iterdir()) == []
+
+
+def tasks_of_stages(spark, group, run):
+    """The tasks of each stage that run() starts."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    return [i.numTasks for s in stages if (i := tracker.getStageInfo(s))]
+
+
+def test_reads_are_packed_when_they_run(spark, tmp_path):
+    """Files that the session would read in many splits are read in one, and the kept listing is one file."""
+    path = str(tmp_path / "flat_mapping_info.parquet")
+    rows = spark.range(48).selectExpr("id AS entry_id", "'t' AS trail_id", "'/r' AS root_dir", "concat('a', id div 2) AS cloud_path", "id AS cloud_bytes", "'b' AS bev_json_path", "1L AS bev_bytes")
+    rows.repartition(12).write.parquet(path)
+    many = {"spark.sql.files.maxPartitionBytes": "4m", "spark.sql.files.openCostInBytes": "4m"}
+    before = {k: spark.conf.get(k) for k in many}
+    for k, v in many.items():
+        spark.conf.set(k, v)
+    try:
+        assert spark.read.parquet(path).rdd.getNumPartitions() == 12
+        assert max(tasks_of_stages(spark, "table", lambda: C.consolidate_table(spark, path, str(tmp_path / "table")))) < 12
+        out = []
+        assert max(tasks_of_stages(spark, "listing", lambda: out.append(pipeline._listing(spark, str(tmp_path))[0]))) < 12
+        assert len(out[0].inputFiles()) == 1 and out[0].count() == 24
+        assert max(tasks_of_stages(spark, "found", lambda: out.append(pipeline.p3_found(spark, str(tmp_path)).count()))) < 12 and out[1] == 24
+        assert all(spark.conf.get(k) == v for k, v in many.items())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
