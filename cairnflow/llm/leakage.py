@@ -6,7 +6,8 @@ wrongly encoded are mapped to the evaluation word they stand for.
 
 Windows of half the smallest passage's length slide over both streams; any passage holds such a window even if one of
 its words stayed unreadable. Each window's SimHash is looked up in a multi-index over four blocks of 16 bits: two
-fingerprints within ``RADIUS`` = 3 bits agree in at least one block, so every such pair is found. Candidates are then
+fingerprints within ``RADIUS`` = 3 bits agree in at least one block, so every such pair is found. Runs of three words that
+both sides share are candidates too: they reach passages with up to three unreadable words. Candidates are then
 verified exactly: the passage is followed word by word in order from the window outwards, which alone decides. The
 weighted similarity of the matched words is never below its limit.
 
@@ -246,12 +247,24 @@ class Index:
         self.prints = np.concatenate(prints) if prints else np.empty(0, np.uint64)
         self.owner = np.concatenate(owner) if owner else np.empty(0, np.int64)
         self.place = np.concatenate(place) if place else np.empty(0, np.int64)
+        runs = [self._runs(ids) for ids in self.items]
+        keys = np.concatenate(runs) if runs else np.empty(0, np.int64)
+        order = np.argsort(keys, kind="stable")
+        self.runs = keys[order]
+        self.run_owner = np.concatenate([np.full(len(r), n) for n, r in enumerate(runs)])[order] if runs else np.empty(0, np.int64)
+        self.run_place = np.concatenate([np.arange(len(r)) for r in runs])[order] if runs else np.empty(0, np.int64)
         self.blocks = []
         for b in range(_BITS // BLOCK_BITS):
             value = ((self.prints >> np.uint64(b * BLOCK_BITS)) & np.uint64(0xFFFF)).astype(np.int64)
             order = np.argsort(value, kind="stable")
             self.blocks.append((order, np.concatenate(([0], np.cumsum(np.bincount(value, minlength=1 << BLOCK_BITS))))))
 
+    def _runs(self, ids: np.ndarray) -> np.ndarray:
+        """A key of each run of three words; negative where one is no evaluation word."""
+        a, b, c = ids[:-2], ids[1:-1], ids[2:]
+        n = len(self.lexicon.words)
+        return np.where((a >= 0) & (b >= 0) & (c >= 0), (a * n + b) * n + c, -1)
+
     def fingerprints(self, ids: np.ndarray) -> np.ndarray:
         """SimHash of each window of WINDOW words."""
         n = len(ids) - WINDOW + 1
@@ -318,7 +331,7 @@ class Index:
     def leaks(self, streams: list[list[int]]) -> list[tuple[int, int]]:
         """(stream, item) of each passage found."""
         lengths = np.array([len(s) for s in streams])
-        if not lengths.sum() or not len(self.prints):
+        if lengths.sum() < 3 or not len(self.prints):
             return []
         words = np.concatenate([np.array(s, np.int64) for s in streams])
         start = np.concatenate(([0], np.cumsum(lengths)))
@@ -327,15 +340,23 @@ class Index:
         whole = np.flatnonzero((known >= WINDOW - 1) & (stream[: len(known)] == stream[WINDOW - 1 :]))
         at, of = self.candidates(self.fingerprints(words)[whole])
         at = whole[at]
-        # Every pair of windows is tried: those before a replaced word share the diagonal with those after it. A try that fails ends within a few words of LEAST.
-        pairs = np.unique(np.stack((at, of)), axis=1) if len(at) else np.empty((2, 0), int)
+        # Passages whose unread words leave no window: three such words in twelve leave three others in a row.
+        keys = self._runs(words)
+        keys[stream[: len(keys)] != stream[2:]] = -1
+        low = np.searchsorted(self.runs, keys)
+        n_runs = np.where(keys >= 0, np.searchsorted(self.runs, keys, "right") - low, 0)
+        run_at = np.repeat(np.arange(len(keys)), n_runs)
+        run_of = np.arange(len(run_at)) - np.repeat(np.cumsum(n_runs) - n_runs, n_runs) + np.repeat(low, n_runs)
+        # Every pair is tried: those before a replaced word share the diagonal with those after it. A try that fails ends within a few words of LEAST.
+        tries = np.stack((np.concatenate((at, run_at)), np.concatenate((self.owner[of], self.run_owner[run_of])), np.concatenate((self.place[of], self.run_place[run_of]))))
+        tries = np.unique(tries, axis=1) if tries.size else tries
         out: set[tuple[int, int]] = set()
-        for a, o in pairs.T.tolist():
-            s, n = int(stream[a]), int(self.owner[o])
+        for a, n, place in tries.T.tolist():
+            s = int(stream[a])
             if (s, n) in out:
                 continue
             own = words[start[s] : start[s + 1]]
-            matched, similarity = self.longest(self.items[n], own, int(self.place[o]), int(a - start[s]))
+            matched, similarity = self.longest(self.items[n], own, place, int(a - start[s]))
             if matched >= LEAST and similarity >= 0.5:
                 out.add((s, n))
         return sorted(out)

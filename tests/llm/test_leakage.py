@@ -41,6 +41,17 @@ def test_a_replaced_word_does_not_hide_the_words_after_it():
     assert leaks(" ".join([*w[:7], "xylophone", *w[8:15], "zebra", *w[16:28]]), [long]) == [7]
 
 
+def test_unread_short_words_leave_the_passage_found():
+    """Each misreading is near two words of the items and so stays unmapped."""
+    w = "sailor carried wooden barrel brown in harbour nobody remembered it lantern rusty".split()
+    items = [(1, " ".join(w)), (2, "an on if is of us at am we he me my no so do go")]
+    assert leaks(" ".join([*w[:5], "xn", *w[6:9], "xt", *w[10:]]), items) == [1]
+    w[2] = "us"
+    items = [(1, " ".join(w)), items[1]]
+    assert leaks(" ".join([*w[:2], "xs", *w[3:5], "xn", *w[6:9], "xt", *w[10:]]), items) == [1]
+    assert leaks(" ".join([*w[:5], "xn", *w[6:9], "zebra", *w[10:]]), items) == []
+
+
 def test_what_subtitles_add_is_no_interruption():
     w = words(14).split()
     srt = f"1\n00:00:01,000 --> 00:00:02,000\n<i>- {' '.join(w[:4])}</i>\n\n2\n00:00:03,000 --> 00:00:04,000\n[door creaks]\n\n3\n00:00:05,000 --> 00:00:06,000\nRip by someone, please rate this subtitle\n\n4\n00:00:07,000 --> 00:00:08,000\nORRIN: {' '.join(w[4:9]).upper()},\n{w[9][:3]}-\n{w[9][3:]} {' '.join(w[10:])}"
