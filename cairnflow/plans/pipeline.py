@@ -101,6 +101,18 @@ def p4_state(spark: SparkSession, d: str) -> DataFrame:
     return state.select(*FEATURE_KEY, *FEATURE_IMAGE)
 
 
+def p4_onto_base(spark: SparkSession, d: str) -> DataFrame:
+    """The changes from tile version 12 on, updates among them as partial changes, put onto the state the earlier ones left."""
+    changes = table(spark, d, "feature_changes")
+    gone = patches.says_delete(F.col("is_deleted"), F.col("op"))
+    late = F.coalesce(F.col("tile_version"), F.lit(0)) >= 12
+    how = {"keys": FEATURE_KEY, "order": ["tile_version", "version"], "tie": ["change_id"], "delete": gone, "image": FEATURE_IMAGE}
+    base = patches.apply_patches(None, patches.compose(changes.where(~late), **how), FEATURE_KEY, FEATURE_IMAGE)
+    partial = F.coalesce(F.lower(F.trim("op")).isin("u", "upd", "update", "modify"), F.lit(False))
+    state = patches.apply_patches(base, patches.compose(changes.where(late), **how, partial=partial), FEATURE_KEY, FEATURE_IMAGE)
+    return state.select(*FEATURE_KEY, *FEATURE_IMAGE)
+
+
 def p5_pairs(spark: SparkSession, d: str) -> DataFrame:
     poses = table(spark, d, "key_poses").select("pose_id", F.trim("trail_id").alias("trail_id"), asof.epoch_micros(F.regexp_extract("frame_id_str", r"^\s*([0-9.]+)_", 1)).alias("at"))
     frames = table(spark, d, "frames").select("frame_no", F.trim("trail_id").alias("trail_id"), (F.col("stamp_ms") * 1000).alias("at"))
@@ -133,7 +145,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     p1_found, p1_records, p1_instances, p1_attributes, p1_points, p2_found, p2_by_month, p2_current, p3_found, p3_containers,
-    p4_found, p4_state, p5_found, p5_pairs, p6_found, p6_frames, p6_trail_params,
+    p4_found, p4_state, p4_onto_base, p5_found, p5_pairs, p6_found, p6_frames, p6_trail_params,
 )}
 
 _LAYER_SQL = " UNION ALL ".join(
@@ -147,6 +159,13 @@ _ORPHAN_SQL = f"""WITH r AS (SELECT DISTINCT layer, id, moment, field, target, u
  o AS (SELECT r.* FROM r ASOF LEFT JOIN s ON r.target = s.target AND r.ref_id = s.key AND r.moment >= s.moment WHERE coalesce(s.gone, true))"""
 _DELETE_SQL = "coalesce(is_deleted, false) OR coalesce(lower(trim(op)) IN ('d', 'del', 'delete', 'deleted', 'remove', 'removed', 'rm'), false)"
 _LAST_SQL = f"SELECT *, {_DELETE_SQL} AS gone FROM feature_changes QUALIFY row_number() OVER (PARTITION BY tileid, feat_type, feature_id ORDER BY coalesce(tile_version, 0) DESC, coalesce(version, 0) DESC, change_id DESC) = 1"
+_PLACE = "(coalesce(tile_version, 0), coalesce(version, 0), change_id)"
+_BASE_SQL = f"""WITH c AS (SELECT *, {_DELETE_SQL} AS gone, {_PLACE} AS place,
+   coalesce(lower(trim(op)) IN ('u', 'upd', 'update', 'modify') AND NOT ({_DELETE_SQL}) AND coalesce(tile_version, 0) >= 12, false) AS part FROM feature_changes),
+ r AS (SELECT tileid, feat_type, feature_id, max(place) FILTER (WHERE NOT part) AS whole, arg_max(gone, place) AS gone FROM c GROUP BY ALL)
+ SELECT c.tileid, c.feat_type, c.feature_id, {", ".join(f"(arg_max(struct_pack(v := {x}), place) FILTER (WHERE place = whole OR part AND {x} IS NOT NULL AND (whole IS NULL OR place > whole))).v AS {x}" for x in FEATURE_IMAGE)}
+ FROM c JOIN r ON c.tileid IS NOT DISTINCT FROM r.tileid AND c.feat_type IS NOT DISTINCT FROM r.feat_type AND c.feature_id IS NOT DISTINCT FROM r.feature_id
+ WHERE NOT r.gone GROUP BY ALL"""
 _TIME_SQL = """SELECT DISTINCT pose_id, trim(trail_id) AS trail_id, v AS num FROM (SELECT *, try_cast(regexp_extract(frame_id_str, '^\\s*([0-9]{9,20}(\\.[0-9]{1,9})?)_', 1) AS DECIMAL(38, 9)) AS v FROM key_poses) WHERE v >= 100000000"""
 _PAIR_SQL = f"""WITH p AS (SELECT pose_id, trail_id, CAST(round(CASE WHEN num < 1e11 THEN num * 1000000 WHEN num < 1e14 THEN num * 1000 WHEN num < 1e17 THEN num ELSE num / 1000 END) AS BIGINT) AS left_at FROM ({_TIME_SQL})),
  f AS (SELECT DISTINCT frame_no, trail_id, stamp_ms * 1000 AS right_at FROM frames WHERE stamp_ms IS NOT NULL)
@@ -158,6 +177,7 @@ ORACLE = {
     "p2_by_month": f"{_ORPHAN_SQL} SELECT layer, strftime(moment, '%Y-%m') AS month, count(DISTINCT (id, field, ref_id)) AS n_orphans FROM o GROUP BY ALL",
     "p4_found": f"SELECT tileid, feat_type, feature_id, coalesce(tile_version, 0) AS tile_version, version FROM ({_LAST_SQL}) WHERE NOT gone",
     "p4_state": f"SELECT tileid, feat_type, feature_id, last_editor, color, shape_type, length_m FROM ({_LAST_SQL}) WHERE NOT gone",
+    "p4_onto_base": _BASE_SQL,
     "p5_found": f"SELECT pose_id, frame_no FROM ({_PAIR_SQL})",
     "p5_pairs": f"SELECT pose_id AS left_id, frame_no AS right_id, left_at, right_at FROM ({_PAIR_SQL})",
 }
