@@ -1,8 +1,9 @@
 """Consolidating very many small files into few well-sized ones, without losing or repeating a record.
 
 The engine's own split packing does the reading: the maximum partition bytes and the cost of opening a file are set so
-that one task reads many files as one combined split. Rows are coalesced without a shuffle, written to a staging
-folder, verified there against the source by count and order-free checksum, and only then moved to their place.
+that one task reads many files as one combined split. Rows are coalesced without a shuffle and written to a staging folder;
+the write itself observes their count and an order-free checksum, so the source is read once. The staged output is
+read back against both and only then moved to its place.
 
 Defined results: a path that is null or blank is missing and equals only a missing one; ``..`` above the root is
 dropped; unknown or negative sizes count as the overhead alone; an entry repeated under its own key is one entry.
@@ -14,10 +15,9 @@ import math
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from urllib.parse import unquote
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cairnflow.session import delete_path, rename_path, shared_dir
@@ -60,9 +60,32 @@ def checksum(df: DataFrame, columns: list[str]) -> tuple[int, int]:
 
 def publish(df: DataFrame, target: str, expected: tuple[int, int], measure: Callable[[DataFrame], tuple[int, int]]) -> DataFrame:
     """Write to a staging folder beside target, verify, move into place. Raises and removes the staging if it differs."""
-    spark = df.sparkSession
+    staging = _staged(df, target)
+    return _into_place(df.sparkSession, staging, target, expected, measure)
+
+
+def publish_observed(df: DataFrame, target: str, columns: list[str], also: Callable[[tuple[int, int]], None] | None = None) -> DataFrame:
+    """publish() against what the write itself saw of df: one read of the source. also: a further check of (rows, checksum)."""
+    seen = Observation()
+    hashed = F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(1_000_000_007))
+    staging = _staged(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(hashed).alias("s")), target)
+    expected = (int(seen.get["n"]), int(seen.get["s"] or 0))
+    if also:
+        try:
+            also(expected)
+        except ValueError:
+            delete_path(df.sparkSession, staging)
+            raise
+    return _into_place(df.sparkSession, staging, target, expected, lambda staged: checksum(staged, columns))
+
+
+def _staged(df: DataFrame, target: str) -> str:
     staging = f"{target}.staging-{uuid.uuid4().hex}"
     df.write.parquet(staging)
+    return staging
+
+
+def _into_place(spark: SparkSession, staging: str, target: str, expected: tuple[int, int], measure: Callable[[DataFrame], tuple[int, int]]) -> DataFrame:
     found = measure(spark.read.parquet(staging))
     if found != expected:
         delete_path(spark, staging)
@@ -73,34 +96,66 @@ def publish(df: DataFrame, target: str, expected: tuple[int, int], measure: Call
     return spark.read.parquet(target)
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _visible_files(spark: SparkSession, source: str, pattern: str) -> Iterator[tuple[str, int]]:
+    """Path and length of the files the engine would read, one at a time from the file system's own iterator."""
+    jvm, root, fs = _file_system(spark, source)
+    root = fs.getFileStatus(root).getPath()
+    accepted = jvm.org.apache.hadoop.fs.GlobFilter(pattern)
+    above = root.toString().rstrip("/") + "/"
+    listing = fs.listFiles(root, True)
+    while listing.hasNext():
+        status = listing.next()
+        path = status.getPath()
+        steps = path.toString().removeprefix(above).split("/")
+        hidden = any(s.startswith(".") or s.startswith("_") and "=" not in s or s.endswith("._COPYING_") for s in steps)
+        if not hidden and accepted.accept(path):
+            yield path.toString(), status.getLen()
+
+
 def consolidate_files(spark: SparkSession, source: str, target: str, max_bytes: int = 128 << 20, open_cost: int = 4 << 20, pattern: str = "*") -> DataFrame:
     """Pack the files under source, whole, into rows (path, length, content) of few parquet files at target.
 
-    The engine leaves empty files out of its splits; they are found in its listing and come as rows of length 0.
+    The engine leaves empty files out of its splits. Where fewer files were read than the file system counts, its
+    listing is walked for them; they come as rows of length 0.
     """
+    columns = ["path", "content"]
     with split_packing(spark, max_bytes, open_cost):
+        _, root, fs = _file_system(spark, source)
+        summary = fs.getContentSummary(root)
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(source).select("path", "length", "content")
-        parts = files.rdd.getNumPartitions()
-        listed = [unquote(p).replace("file:///", "file:/", 1) for p in files.inputFiles()]
-        total = files.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
-        few = max(1, min(max(parts, 1), math.ceil(total[0] / max_bytes)))
-        whole = files.coalesce(few)
-        if total[1] < len(listed):
-            names = spark.createDataFrame([(p,) for p in listed], "path string")
-            empty = names.join(files.select("path"), "path", "left_anti").select("path", F.lit(0).cast("bigint").alias("length"), F.lit(b"").alias("content"))
-            whole = whole.unionByName(empty.coalesce(1))
-        expected = checksum(whole, ["path", "content"])
-        if expected[0] != len(listed):
-            raise ValueError(f"{len(listed)} files are listed, {expected[0]} were read")
-        return publish(whole, target, expected, lambda df: checksum(df, ["path", "content"]))
+        few = max(1, min(files.rdd.getNumPartitions(), math.ceil(summary.getLength() / max_bytes)))
+        empty: list[str] = []
+
+        def whole(seen: tuple[int, int]) -> None:
+            if seen[0] == summary.getFileCount():
+                return
+            n = 0
+            for path, length in _visible_files(spark, source, pattern):
+                n += 1
+                if not length:
+                    empty.append(path)
+            if seen[0] + len(empty) != n:
+                raise ValueError(f"{n} files are listed, {seen[0]} and {len(empty)} empty ones were read")
+
+        packed = publish_observed(files.coalesce(few), target, columns, whole)
+        if not empty:
+            return packed
+        rest = spark.createDataFrame([(p,) for p in empty], "path string").select("path", F.lit(0).cast("bigint").alias("length"), F.lit(b"").alias("content"))
+        rest.coalesce(1).write.mode("append").parquet(target)
+        return spark.read.parquet(target)
 
 
 def consolidate_table(spark: SparkSession, source: str, target: str, fmt: str = "parquet", max_bytes: int = 128 << 20, open_cost: int = 4 << 20) -> DataFrame:
     """Rewrite a table of many small files as few well-sized ones; every row exactly as often as before."""
     with split_packing(spark, max_bytes, open_cost):
         rows = spark.read.format(fmt).load(source)
-        parts = rows.rdd.getNumPartitions()
-        return publish(rows.coalesce(max(1, parts)), target, checksum(rows, rows.columns), lambda df: checksum(df, rows.columns))
+        return publish_observed(rows.coalesce(max(1, rows.rdd.getNumPartitions())), target, rows.columns)
 
 
 def _next_fit(max_bytes: int, overhead: int):

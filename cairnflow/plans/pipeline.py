@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnflow.operators import asof, compaction, nested, patches, spikes
 from cairnflow.operators import references as refs
-from cairnflow.session import materialise, table
+from cairnflow.session import materialise, scratch, shared_dir, table
 
 LAYER_TARGETS = {
     "lane_lines": {"pre_id": "lane_lines", "next_id": "lane_lines", "lane_id": "lanes"},
@@ -86,6 +88,23 @@ def p3_containers(spark: SparkSession, d: str) -> DataFrame:
     return kept.groupBy("container").agg(F.count("*").alias("n_pairs"), F.sum("bytes").alias("n_bytes"))
 
 
+def p3_totals(spark: SparkSession, d: str) -> DataFrame:
+    """What the containers hold together, and how many are over the limit with more than one pair."""
+    per = p3_containers(spark, d)
+    over = F.count_if((F.col("n_pairs") > 1) & (F.col("n_bytes") > 128 << 20))
+    return per.agg(F.sum("n_pairs").alias("n_pairs"), F.sum("n_bytes").alias("n_bytes"), over.alias("n_over"))
+
+
+def p3_repacked(spark: SparkSession, d: str) -> DataFrame:
+    """The label records, laid out as many small files and consolidated again; every row as often as before."""
+    small, target = (f"{shared_dir(spark)}/{n}-{uuid.uuid4().hex}" for n in ("small-files", "well-sized"))
+    rows = table(spark, d, "flat_mapping_info").select("entry_id", "trail_id", "cloud_path", "cloud_bytes")
+    rows.withColumn("folder", F.pmod(F.xxhash64("trail_id", "cloud_path"), F.lit(64))).repartition(4).write.partitionBy("folder").parquet(small)
+    out = compaction.consolidate_table(spark, small, target)
+    scratch(spark, small, target)
+    return out.drop("folder")
+
+
 def _patches(spark: SparkSession, d: str) -> DataFrame:
     changes = table(spark, d, "feature_changes")
     return patches.compose(changes, FEATURE_KEY, ["tile_version", "version"], ["change_id"], patches.says_delete(F.col("is_deleted"), F.col("op")), FEATURE_IMAGE)
@@ -144,7 +163,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    p1_found, p1_records, p1_instances, p1_attributes, p1_points, p2_found, p2_by_month, p2_current, p3_found, p3_containers,
+    p1_found, p1_records, p1_instances, p1_attributes, p1_points, p2_found, p2_by_month, p2_current, p3_found, p3_containers, p3_totals, p3_repacked,
     p4_found, p4_state, p4_onto_base, p5_found, p5_pairs, p6_found, p6_frames, p6_trail_params,
 )}
 
@@ -157,6 +176,18 @@ _STATE_SQL = " UNION ALL ".join(f"SELECT '{n}' AS target, upper(trim(id, ' \t\n'
 _ORPHAN_SQL = f"""WITH r AS (SELECT DISTINCT layer, id, moment, field, target, upper(trim(raw)) AS ref_id FROM ({_LAYER_SQL}) WHERE upper(trim(raw)) NOT IN ('', '0', '-1', 'NULL', 'NONE', 'NAN')),
  s AS ({_STATE_SQL}),
  o AS (SELECT r.* FROM r ASOF LEFT JOIN s ON r.target = s.target AND r.ref_id = s.key AND r.moment >= s.moment WHERE coalesce(s.gone, true))"""
+_ENDS = " \t\n\r\f\u000b\u00a0\u3000\ufeff"
+_SCHEME = "regexp_replace(regexp_replace({}, '^file:(//(localhost)?)?(/)', '\\3', 'i'), '^file:/*', '', 'i')"
+
+
+def _path_sql(column: str) -> str:
+    text = _SCHEME.format(f"trim({column}, '{_ENDS}')")
+    start = f"concat_ws('/', {_SCHEME.format("trim(coalesce(root_dir, ''))")}, {_SCHEME.format("trim(coalesce(trail_id, ''))")}, {text})"
+    steps = f"list_filter(regexp_split_to_array(CASE WHEN starts_with({text}, '/') THEN {text} ELSE {start} END, '/+'), lambda s: s NOT IN ('', '.'))"
+    return f"CASE WHEN length({text}) > 0 THEN '/' || array_to_string(list_reduce({steps}, lambda done, s: CASE WHEN s = '..' THEN done[:-2] ELSE done || [s] END, CAST([] AS VARCHAR[])), '/') END"
+
+
+_ENTRY_SQL = f"SELECT entry_id, {_path_sql('cloud_path')} AS a, {_path_sql('bev_json_path')} AS b, greatest(coalesce(cloud_bytes, 0), 0) + greatest(coalesce(bev_bytes, 0), 0) AS n FROM flat_mapping_info"
 _DELETE_SQL = "coalesce(is_deleted, false) OR coalesce(lower(trim(op)) IN ('d', 'del', 'delete', 'deleted', 'remove', 'removed', 'rm'), false)"
 _LAST_SQL = f"SELECT *, {_DELETE_SQL} AS gone FROM feature_changes QUALIFY row_number() OVER (PARTITION BY tileid, feat_type, feature_id ORDER BY coalesce(tile_version, 0) DESC, coalesce(version, 0) DESC, change_id DESC) = 1"
 _PLACE = "(coalesce(tile_version, 0), coalesce(version, 0), change_id)"
@@ -175,6 +206,9 @@ _PAIR_SQL = f"""WITH p AS (SELECT pose_id, trail_id, CAST(round(CASE WHEN num <
 ORACLE = {
     "p2_found": f"{_ORPHAN_SQL} SELECT DISTINCT layer, id, field, ref_id FROM o",
     "p2_by_month": f"{_ORPHAN_SQL} SELECT layer, strftime(moment, '%Y-%m') AS month, count(DISTINCT (id, field, ref_id)) AS n_orphans FROM o GROUP BY ALL",
+    "p3_found": f"SELECT DISTINCT entry_id FROM ({_ENTRY_SQL}) e JOIN (SELECT a, b, min(entry_id) AS first FROM ({_ENTRY_SQL}) GROUP BY a, b) k ON e.a IS NOT DISTINCT FROM k.a AND e.b IS NOT DISTINCT FROM k.b WHERE entry_id <> first",
+    "p3_totals": f"SELECT count(*) AS n_pairs, sum(n) AS n_bytes, 0 AS n_over FROM (SELECT a, b, max(n) AS n FROM ({_ENTRY_SQL}) GROUP BY a, b)",
+    "p3_repacked": "SELECT entry_id, trail_id, cloud_path, cloud_bytes FROM flat_mapping_info",
     "p4_found": f"SELECT tileid, feat_type, feature_id, coalesce(tile_version, 0) AS tile_version, version FROM ({_LAST_SQL}) WHERE NOT gone",
     "p4_state": f"SELECT tileid, feat_type, feature_id, last_editor, color, shape_type, length_m FROM ({_LAST_SQL}) WHERE NOT gone",
     "p4_onto_base": _BASE_SQL,

@@ -72,12 +72,18 @@ def _cleanup(spark: SparkSession, path: str) -> None:
         pass
 
 
+def scratch(spark: SparkSession, *paths: str) -> None:
+    """Remove these when the session ends."""
+    for path in paths:
+        atexit.register(_cleanup, spark, path)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and read it back: cuts lineage, survives executor loss, is compressed."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_cleanup, spark, path)
+    scratch(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -124,3 +124,20 @@ def test_reads_are_packed_when_they_run(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_empty_files_are_found_and_hidden_ones_left(spark, tmp_path):
+    source = tmp_path / "in"
+    (source / "deep" / "_tmp").mkdir(parents=True)
+    for name in ("a.bin", "b.bin", ".hidden", "deep/c.bin", "deep/_tmp/d.bin", "e.txt"):
+        (source / name).write_bytes(b"x" if name != "b.bin" else b"")
+    out = C.consolidate_files(spark, str(source), str(tmp_path / "out"), pattern="*.bin")
+    assert sorted((r.path.split("/in/")[1], r.length) for r in out.collect()) == [("a.bin", 1), ("b.bin", 0), ("deep/c.bin", 1)]
+    (tmp_path / "none").mkdir()
+    assert C.consolidate_files(spark, str(tmp_path / "none"), str(tmp_path / "nothing")).count() == 0
+
+
+def test_no_stage_has_a_task_per_file(spark, tmp_path):
+    spark.range(1000).repartition(30).write.parquet(str(tmp_path / "t"))
+    ran = tasks_of_stages(spark, "once", lambda: C.consolidate_table(spark, str(tmp_path / "t"), str(tmp_path / "u"), max_bytes=1 << 20, open_cost=1 << 10))
+    assert ran and max(ran) == 1
