@@ -1,33 +1,38 @@
 """Flattening of deeply nested JSON records by Merkle subtree identities.
 
 Every object of a record is brought to one canonical form and hashed bottom-up, so that an object's id depends on
-nothing but its content. An object that occurs many times is stored once; each occurrence is a bridge row
-(parent, field, ordinal, child). Flat tables of records, instances, attributes and points come from joins of the
-bridge with the stores and carry the path of their parents.
-
-Defined results: a null or blank text, text that is no JSON, JSON nested deeper than Python's parser takes, and JSON
-that is no object give a record row with ``status`` other than ``ok`` and no objects. Repeated deliveries of a record
-with equal content are one record. Columns other than the key and the text are ignored.
+nothing but its content. Objects are records, instances, attributes and geometries (a list of points with the places of
+its entries). One pass parses the records and writes each distinct object once, with its links to its children (field,
+ordinal, child): the bridge. Every occurrence of a record is a row of its own. Flat tables of records, instances,
+attributes and points come from joins of occurrences, bridge and objects, one per level of depth, each level written
+once; they carry the path of their parents.
+
+Defined results: a null or blank text, text that is no JSON and JSON that is no object give a record row with
+``status`` other than ``ok`` and no objects. Depth is bounded by nothing but memory: what the engine's own parser can't
+take is parsed and walked with an explicit stack. Repeated deliveries of a record with equal content are one record.
+Columns other than the key and the text are ignored.
 """
 
 from __future__ import annotations
 
 import json
+import re
+from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from hashlib import blake2b
+from json.decoder import scanstring
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairnflow.session import materialise
 
-_SCHEMA = "row_kind string, record_key bigint, id binary, parent binary, field string, ordinal int, kind string, payload string, height int"
-_ARROW = pa.schema([
-    ("row_kind", pa.string()), ("record_key", pa.int64()), ("id", pa.binary()), ("parent", pa.binary()), ("field", pa.string()),
-    ("ordinal", pa.int32()), ("kind", pa.string()), ("payload", pa.string()), ("height", pa.int32()),
-])
+_SCHEMA = (
+    "kind string, record_key bigint, id binary, status string, payload string, height int, "
+    "children array<struct<field:string,ordinal:int,child:binary>>, pos array<int>, ends array<int>, coords array<double>"
+)
 _BLANK = " \t\r\n\f\v﻿ "
 POINT_FIELDS = ("points", "3dbox")
 
@@ -36,8 +41,104 @@ def _reject(token: str) -> None:
     raise ValueError(f"{token} is no JSON")
 
 
+_decode = json.JSONDecoder(parse_constant=_reject).decode
+_encode = json.JSONEncoder(sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode
+_space = re.compile(r"[ \t\n\r]*").match
+_scalar = re.compile(r"(?P<word>true|false|null)|(?P<whole>-?(?:0|[1-9]\d*))(?P<rest>(?:\.\d+)?(?:[eE][-+]?\d+)?)").match
+_WORDS = {"true": True, "false": False, "null": None}
+
+
+def _deep_decode(text: str):
+    """JSON of any depth, with an explicit stack."""
+    open_ones: list = []
+    names: list[str] = []
+
+    def name(at: int) -> int:
+        if text[at : at + 1] != '"':
+            raise ValueError("a name is missing")
+        found, at = scanstring(text, at + 1)
+        names.append(found)
+        at = _space(text, at).end()
+        if text[at : at + 1] != ":":
+            raise ValueError("a colon is missing")
+        return _space(text, at + 1).end()
+
+    at = _space(text, 0).end()
+    while True:
+        sign = text[at : at + 1]
+        if sign in ("{", "["):
+            value = {} if sign == "{" else []
+            at = _space(text, at + 1).end()
+            if text[at : at + 1] != ("}" if sign == "{" else "]"):
+                open_ones.append(value)
+                at = name(at) if sign == "{" else at
+                continue
+            at += 1
+        elif sign == '"':
+            value, at = scanstring(text, at + 1)
+        elif m := _scalar(text, at):
+            value = _WORDS[m["word"]] if m["word"] else float(m.group()) if m["rest"] else int(m["whole"])
+            at = m.end()
+        else:
+            raise ValueError("a value is missing")
+        while True:
+            at = _space(text, at).end()
+            if not open_ones:
+                if at < len(text):
+                    raise ValueError("text after the value")
+                return value
+            top = open_ones[-1]
+            keyed = isinstance(top, dict)
+            if keyed:
+                top[names.pop()] = value
+            else:
+                top.append(value)
+            sign = text[at : at + 1]
+            at += 1
+            if sign == ",":
+                at = _space(text, at).end()
+                at = name(at) if keyed else at
+                break
+            if sign != ("}" if keyed else "]"):
+                raise ValueError("an end is missing")
+            value = open_ones.pop()
+
+
+def _deep_encode(value) -> str:
+    """The canonical text of a value of any depth."""
+    out: list[str] = []
+    todo: list = [(False, value)]
+    while todo:
+        done, v = todo.pop()
+        if done:
+            out.append(v)
+        elif isinstance(v, dict):
+            parts = [(True, "}")]
+            for i, k in enumerate(sorted(v, reverse=True)):
+                parts += [(False, v[k]), (True, f"{_encode(k)}:" if i == len(v) - 1 else f",{_encode(k)}:")]
+            todo += [*parts, (True, "{")]
+        elif isinstance(v, list):
+            parts = [(True, "]")]
+            for i, x in enumerate(reversed(v)):
+                parts += [(False, x)] if i == len(v) - 1 else [(False, x), (True, ",")]
+            todo += [*parts, (True, "[")]
+        else:
+            out.append(_encode(v))
+    return "".join(out)
+
+
 def _loads(text: str):
-    return json.loads(text, parse_constant=_reject)
+    try:
+        return _decode(text)
+    except RecursionError:
+        return _deep_decode(text)
+
+
+def _dumps(value) -> str:
+    try:
+        return _encode(value)
+    except RecursionError:
+        return _deep_encode(value)
 
 
 def _plain(value):
@@ -95,6 +196,10 @@ def _point(value) -> list | None:
     return [_number(value)]
 
 
+def _flat_point(entry) -> bool:
+    return type(entry) is list and len(entry) == 3 and type(entry[0]) is type(entry[1]) is type(entry[2]) is float
+
+
 def _points(value) -> list:
     entries = _as_list(value)
     if len(entries) in (2, 3) and all(isinstance(v, (int, float)) and not isinstance(v, bool) for v in entries):
@@ -102,143 +207,234 @@ def _points(value) -> list:
     return entries
 
 
-def _digest(kind: str, payload: str, children: list[tuple[str, int, bytes]]) -> bytes:
-    h = blake2b(f"{kind}\0{payload}".encode(), digest_size=16)
-    for field, ordinal, child in children:
-        h.update(f"\0{field}\0{ordinal}\0".encode() + child)
-    return h.digest()
+class _Frame:
+    """An instance whose inner instances are being walked."""
+
+    __slots__ = ("body", "data", "height", "inner", "links", "ordinal")
+
+    def __init__(self, ordinal: int, body: dict, data: dict, inner: list) -> None:
+        self.ordinal, self.body, self.data, self.inner = ordinal, body, data, iter(enumerate(inner))
+        self.links: list[tuple[str, int, bytes]] = []
+        self.height = 0
+
+
+_CACHED = 50_000
 
 
+@dataclass
 class _Builder:
-    """Collects the objects and bridge rows of a batch, each distinct one once."""
+    """Collects the objects of a part of a batch, each distinct one once."""
+
+    #: Attributes met before by name, type and value; only saves hashing them again.
+    known: dict[tuple, tuple[bytes, str]] = field(default_factory=dict)
+    seen: set[bytes] = field(default_factory=set)
+    rows: list[tuple] = field(default_factory=list)
+    links: list[tuple[str, int, bytes]] = field(default_factory=list)
+    link_ends: array = field(default_factory=lambda: array("i", [0]))
+    pos: array = field(default_factory=lambda: array("i"))
+    pos_ends: array = field(default_factory=lambda: array("i", [0]))
+    ends: array = field(default_factory=lambda: array("i"))
+    coords: array = field(default_factory=lambda: array("d"))
+    coord_ends: array = field(default_factory=lambda: array("i", [0]))
+
+    def _row(self, kind: str, key: int | None, identity: bytes | None, status: str | None, payload: str | None, height: int) -> None:
+        self.rows.append((kind, key, identity, status, payload, height))
+        self.link_ends.append(len(self.links))
+        self.pos_ends.append(len(self.pos))
+        self.coord_ends.append(len(self.coords))
+
+    def put(self, kind: str, text: str, links: list[tuple[str, int, bytes]], height: int) -> bytes:
+        h = blake2b(f"{kind}\0{text}".encode("utf-8", "surrogatepass"), digest_size=16)
+        for name, ordinal, child in links:
+            h.update(f"\0{name}\0{ordinal}\0".encode() + child)
+        identity = h.digest()
+        if identity not in self.seen:
+            self.seen.add(identity)
+            self.links += links
+            self._row(kind, None, identity, None, text, height)
+        return identity
 
-    def __init__(self) -> None:
-        self.rows: list[tuple] = []
-        self.seen: set[bytes] = set()
+    def attribute(self, name: str, value) -> bytes:
+        value = value["id"] if isinstance(value, dict) and set(value) == {"id"} else value
+        simple = (name, type(value), value) if value is None or isinstance(value, (str, int, float, bool)) else None
+        if simple is not None and (found := self.known.get(simple)):
+            identity, text = found
+            if identity not in self.seen:
+                self.seen.add(identity)
+                self._row("attribute", None, identity, None, text, 0)
+            return identity
+        text = _dumps({"name": name, "value": value})
+        identity = self.put("attribute", text, [], 0)
+        if simple is not None:
+            if len(self.known) >= _CACHED:
+                self.known.clear()
+            self.known[simple] = identity, text
+        return identity
 
-    def put(self, kind: str, payload, children: list[tuple[str, int, bytes]], height: int) -> bytes:
-        text = json.dumps(payload, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
-        identity = _digest(kind, text, children)
+    def geometry(self, entries: list) -> bytes | None:
+        """A list of points: places of its entries that aren't null, and their coordinates one after another."""
+        pos, ends, coords = array("i"), array("i"), array("d")
+        for i, entry in enumerate(entries):
+            if _flat_point(entry):
+                coords.extend(entry)
+            elif (point := _point(entry)) is not None:
+                coords.extend(float("nan") if v is None else v for v in point)
+            else:
+                continue
+            pos.append(i)
+            ends.append(len(coords))
+        if not pos:
+            return None
+        h = blake2b(b"geometry\0" + len(pos).to_bytes(8, "little"), digest_size=16)
+        for part in (pos, ends, coords):
+            h.update(part.tobytes())
+        identity = h.digest()
         if identity not in self.seen:
             self.seen.add(identity)
-            self.rows.append(("object", None, identity, None, None, None, kind, text, height))
-            self.rows.extend(("bridge", None, child, identity, field, ordinal, kind, None, height) for field, ordinal, child in children)
+            self.pos += pos
+            self.ends += ends
+            self.coords += coords
+            self._row("geometry", None, identity, None, None, 0)
         return identity
 
-    def instance(self, value) -> tuple[bytes, int]:
-        body = _as_object(value)
-        data = _as_object(body.get("data"))
-        children: list[tuple[str, int, bytes]] = []
-        height = 0
-        for i, (name, v) in enumerate(sorted(_as_object(body.get("attrs")).items())):
-            v = v["id"] if isinstance(v, dict) and set(v) == {"id"} else v
-            children.append(("attrs", i, self.put("attribute", {"name": name, "value": v}, [], 0)))
-        for field in POINT_FIELDS:
-            for i, entry in enumerate(_points(data.get(field))):
-                if (point := _point(entry)) is not None:
-                    children.append((field, i, self.put("point", point, [], 0)))
-        for i, child in enumerate(_as_list(data.get("instance_list"))):
-            if _plain(child) is not None:
-                identity, h = self.instance(child)
-                height = max(height, h + 1)
-                children.append(("instance_list", i, identity))
-        rest = {k: v for k, v in body.items() if k not in ("attrs", "data")}
-        rest |= {f"data.{k}": v for k, v in data.items() if k not in (*POINT_FIELDS, "instance_list")}
-        return self.put("instance", rest, children, height), height
+    def _closed(self, frame: _Frame) -> bytes:
+        links = [("attrs", i, self.attribute(name, v)) for i, (name, v) in enumerate(sorted(_as_object(frame.body.get("attrs")).items()))]
+        for name in POINT_FIELDS:
+            if (shape := self.geometry(_points(frame.data.get(name)))) is not None:
+                links.append((name, 0, shape))
+        rest = {k: v for k, v in frame.body.items() if k not in ("attrs", "data")}
+        rest |= {f"data.{k}": v for k, v in frame.data.items() if k not in (*POINT_FIELDS, "instance_list")}
+        return self.put("instance", _dumps(rest), links + frame.links, frame.height)
+
+    def instances(self, entries: list) -> tuple[list[tuple[str, int, bytes]], int]:
+        """Links to the instances of a list, and how deep they nest."""
+        stack = [_Frame(0, {}, {}, entries)]
+        while True:
+            top = stack[-1]
+            for i, entry in top.inner:
+                if _plain(entry) is not None:
+                    body = _as_object(entry)
+                    data = _as_object(body.get("data"))
+                    stack.append(_Frame(i, body, data, _as_list(data.get("instance_list"))))
+                    break
+            else:
+                stack.pop()
+                if not stack:
+                    return top.links, top.height
+                stack[-1].links.append(("instance_list", top.ordinal, self._closed(top)))
+                stack[-1].height = max(stack[-1].height, top.height + 1)
 
     def record(self, key: int | None, text: str | None) -> None:
+        text = (text or "").strip(_BLANK)
         status, identity, height = "ok", None, 0
         try:
-            body = _loads((text or "").strip(_BLANK))
-        except (ValueError, RecursionError):
-            status = "empty" if not (text or "").strip(_BLANK) else "broken"
+            body = _plain(_loads(text))
+        except ValueError:
+            status = "broken" if text else "empty"
         else:
-            body = _plain(body)
             if isinstance(body, dict):
-                try:
-                    detail = _as_object(body.get("detail"))
-                    source = detail if "instance_list" in detail else body
-                    children = []
-                    for i, child in enumerate(_as_list(source.get("instance_list"))):
-                        if _plain(child) is not None:
-                            child_id, h = self.instance(child)
-                            height = max(height, h + 1)
-                            children.append(("instance_list", i, child_id))
-                    header = {k: v for k, v in body.items() if k not in ("detail", "instance_list")}
-                    identity = self.put("record", header, children, height)
-                except RecursionError:
-                    status, identity, height = "broken", None, 0
+                detail = _as_object(body.get("detail"))
+                links, height = self.instances(_as_list((detail if "instance_list" in detail else body).get("instance_list")))
+                identity = self.put("record", _dumps({k: v for k, v in body.items() if k not in ("detail", "instance_list")}), links, height)
             else:
                 status = "no object"
-        self.rows.append(("occurrence", key, identity, None, None, None, status, None, height))
+        self._row("occurrence", key, identity, status, None, height)
+
+    def batch(self) -> pa.RecordBatch:
+        kind, key, identity, status, payload, height = zip(*self.rows)
+        names, ordinals, children = zip(*self.links) if self.links else ((), (), ())
+        link = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(ordinals, pa.int32()), pa.array(children, pa.binary())], names=["field", "ordinal", "child"])
+        lists = lambda ends, values: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        columns = [
+            pa.array(kind), pa.array(key, pa.int64()), pa.array(identity, pa.binary()), pa.array(status, pa.string()), pa.array([p if p is None or p.isascii() else p.encode("utf-8", "replace").decode() for p in payload], pa.string()), pa.array(height, pa.int32()),
+            lists(self.link_ends, link), lists(self.pos_ends, pa.array(self.pos, pa.int32())), lists(self.pos_ends, pa.array(self.ends, pa.int32())), lists(self.coord_ends, pa.array(self.coords, pa.float64(), from_pandas=True)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["kind", "record_key", "id", "status", "payload", "height", "children", "pos", "ends", "coords"])
+
+
+#: Characters of text after which a part is handed on.
+_PART = 4 << 20
 
 
 def _walk():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict = {}
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                builder = _Builder()
-                for k, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    builder.record(k, t)
-                if builder.rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*builder.rows), _ARROW)], schema=_ARROW)
+            builder, n = _Builder(known), 0
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                builder.record(key, text)
+                n += len(text or "")
+                if n >= _PART:
+                    yield builder.batch()
+                    builder, n = _Builder(known), 0
+            if builder.rows:
+                yield builder.batch()
 
     return run
 
 
 @dataclass
 class NestedStore:
-    """The content-addressed tables of a set of records."""
+    """The content-addressed tables of a set of records; each distinct object and occurrence is one written row."""
 
     rows: DataFrame
     depth: int
 
     def occurrences(self) -> DataFrame:
         """record_key, root_id, status; one row per distinct delivery."""
-        return self.rows.where("row_kind = 'occurrence'").select("record_key", F.col("id").alias("root_id"), F.col("kind").alias("status")).distinct()
+        return self.rows.where("kind = 'occurrence'").select("record_key", F.col("id").alias("root_id"), "status")
+
+    def objects(self, kind: str) -> DataFrame:
+        """id, payload, height; each distinct object once. kind: record, instance or attribute."""
+        return self.rows.where(F.col("kind") == kind).select("id", "payload", "height")
 
-    def objects(self, kind: str | None = None) -> DataFrame:
-        """id, kind, payload, height; each distinct object once."""
-        found = self.rows.where("row_kind = 'object'" + (f" AND kind = '{kind}'" if kind else ""))
-        return found.groupBy("id").agg(F.first("kind").alias("kind"), F.first("payload").alias("payload"), F.first("height").alias("height"))
+    def geometries(self) -> DataFrame:
+        """id, pos, ends, coords: places of a list's points, where each ends among coords, and the coordinates."""
+        return self.rows.where("kind = 'geometry'").select("id", "pos", "ends", "coords")
 
     def bridge(self, *fields: str) -> DataFrame:
         """parent, field, ordinal, child; each distinct link once."""
-        found = self.rows.where("row_kind = 'bridge'")
-        if fields:
-            found = found.where(F.col("field").isin(*fields))
-        return found.select("parent", "field", "ordinal", F.col("id").alias("child")).distinct()
+        owners = ["record", "instance"] if "instance_list" in fields or not fields else ["instance"]
+        links = self.rows.where(F.col("kind").isin(owners)).select(F.col("id").alias("parent"), F.explode(F.filter("children", lambda c: c["field"].isin(*fields)) if fields else "children").alias("c"))
+        return links.select("parent", "c.field", "c.ordinal", "c.child")
 
     def instances(self) -> DataFrame:
         """record_key, inst_path, parent_path, ordinal, inst_id: every occurrence of an instance, at any depth."""
         links = self.bridge("instance_list").select("parent", "ordinal", "child")
         level = self.occurrences().where("root_id IS NOT NULL").select("record_key", F.lit(None).cast("string").alias("inst_path"), F.col("root_id").alias("inst_id"))
-        levels = []
-        for _ in range(self.depth):
+        out = level.where("false").select("record_key", "inst_path", F.col("inst_path").alias("parent_path"), F.lit(0).alias("ordinal"), "inst_id")
+        for depth in range(self.depth):
             parent = level.select("record_key", F.col("inst_path").alias("parent_path"), F.col("inst_id").alias("parent"))
             level = parent.join(links, "parent").select(
                 "record_key", F.concat_ws(".", "parent_path", F.col("ordinal").cast("string")).alias("inst_path"), "parent_path", "ordinal", F.col("child").alias("inst_id")
             )
-            levels.append(level)
-        if not levels:
-            return level.where("false").select("record_key", "inst_path", F.col("inst_path").alias("parent_path"), F.lit(0).alias("ordinal"), "inst_id")
-        out = levels[0]
-        for other in levels[1:]:
-            out = out.unionByName(other)
+            level = materialise(level, "nested-level")
+            out = out.unionByName(level) if depth else level
         return out
 
     def parts(self, *fields: str) -> DataFrame:
         """record_key, inst_path, field, ordinal, part_id: every occurrence of a part of an instance."""
-        owned = self.bridge(*fields).withColumnRenamed("parent", "inst_id")
-        return self.instances().join(owned.withColumnRenamed("ordinal", "part_pos"), "inst_id").select(
-            "record_key", "inst_path", "field", F.col("part_pos").alias("ordinal"), F.col("child").alias("part_id")
-        )
+        owned = self.bridge(*fields).select(F.col("parent").alias("inst_id"), "field", F.col("ordinal").alias("part_pos"), F.col("child").alias("part_id"))
+        return self.instances().join(owned, "inst_id").select("record_key", "inst_path", "field", F.col("part_pos").alias("ordinal"), "part_id")
+
+    def points(self, coordinates: bool = False) -> DataFrame:
+        """record_key, inst_path, field, point_pos, with coordinates also x, y, z: every occurrence of a point."""
+        shapes = self.geometries().select(F.col("id").alias("part_id"), "pos", *(["ends", "coords"] if coordinates else []))
+        owned = self.parts(*POINT_FIELDS).join(shapes, "part_id")
+        if not coordinates:
+            return owned.select("record_key", "inst_path", "field", F.explode("pos").alias("point_pos"))
+        each = owned.select("record_key", "inst_path", "field", "ends", "coords", F.posexplode("pos").alias("nth", "point_pos"))
+        start = F.when(F.col("nth") > 0, F.get("ends", F.col("nth") - 1)).otherwise(F.lit(0))
+
+        def axis(i: int) -> Column:
+            return F.when(start + i < F.get("ends", F.col("nth")), F.get("coords", start + i))
+
+        return each.select("record_key", "inst_path", "field", "point_pos", *[axis(i).alias(n) for i, n in enumerate("xyz")])
 
 
 def build_store(records: DataFrame, key: str, text: str) -> NestedStore:
-    """Parse, canonicalise and hash the records once; the result is a written table, so no later join parses again."""
+    """Parse, canonicalise and hash the records once; the result is a written table of distinct rows, laid out by kind."""
     parsed = records.select(F.col(key).cast("bigint").alias("record_key"), F.col(text).alias("text")).mapInArrow(_walk(), _SCHEMA)
-    rows = materialise(parsed, "nested-store")
-    depth = rows.where("row_kind = 'occurrence'").agg(F.coalesce(F.max("height"), F.lit(0))).first()[0]
+    rows = materialise(parsed.dropDuplicates(["kind", "record_key", "id", "status"]), "nested-store", by="kind")
+    depth = rows.where("kind = 'occurrence'").agg(F.coalesce(F.max("height"), F.lit(0))).first()[0]
     return NestedStore(rows, int(depth))

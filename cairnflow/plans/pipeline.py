@@ -27,7 +27,7 @@ def _store(spark: SparkSession, d: str) -> nested.NestedStore:
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return _store(spark, d).parts(*nested.POINT_FIELDS).select(F.col("record_key").alias("label_id"), "inst_path", F.col("ordinal").alias("point_pos"))
+    return _store(spark, d).points().select(F.col("record_key").alias("label_id"), "inst_path", "point_pos")
 
 
 def p1_instances(spark: SparkSession, d: str) -> DataFrame:
@@ -43,10 +43,7 @@ def p1_attributes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_points(spark: SparkSession, d: str) -> DataFrame:
-    store = _store(spark, d)
-    axis = lambda i: F.get_json_object("payload", f"$[{i}]").cast("double")
-    body = store.objects("point").select(F.col("id").alias("part_id"), axis(0).alias("x"), axis(1).alias("y"), axis(2).alias("z"))
-    return store.parts(*nested.POINT_FIELDS).join(body, "part_id").select(F.col("record_key").alias("label_id"), "inst_path", "field", F.col("ordinal").alias("point_pos"), "x", "y", "z")
+    return _store(spark, d).points(coordinates=True).select(F.col("record_key").alias("label_id"), "inst_path", "field", "point_pos", "x", "y", "z")
 
 
 def p1_records(spark: SparkSession, d: str) -> DataFrame:

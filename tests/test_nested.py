@@ -7,8 +7,7 @@ INSTANCE = {"id": 1, "attrs": {"type": 3, "tags": ["a"]}, "data": {"points": [[1
 
 
 def found(store):
-    rows = store.parts(*nested.POINT_FIELDS).collect()
-    return sorted((r.record_key, r.inst_path, r.field, r.ordinal) for r in rows)
+    return sorted((r.record_key, r.inst_path, r.field, r.point_pos) for r in store.points().collect())
 
 
 def store(spark, *texts):
@@ -107,3 +106,41 @@ def test_whole_table_against_a_plain_walk(spark, small):
     got = [tuple(r) for r in pipeline.p1_found(spark, small).collect()]
     assert len(got) == len(set(got))
     assert set(got) == want
+
+
+def test_coordinates(spark):
+    data = {"points": [[1, 2.5, 3], None, {"x": 1, "z": "4"}, [7, 8], [1.0, 2.0, 3.0], "[9, null, 9]", [1, 2, 3, 4]]}
+    rows = store(spark, json.dumps({"instance_list": [{"data": data}]})).points(coordinates=True).collect()
+    assert sorted((r.point_pos, r.x, r.y, r.z) for r in rows) == [(0, 1, 2.5, 3), (2, 1, None, 4), (3, 7, 8, None), (4, 1, 2, 3), (5, 9, None, 9), (6, 1, 2, 3)]
+
+
+def test_very_deep_records_keep_their_rows(spark):
+    depth = 3000
+    text = '{"instance_list": [{"x": ' + "[" * 20_000 + "1" + "]" * 20_000 + ', "data": {"points": [[1, 2, 3]]}}]}'
+    s = store(spark, text)
+    assert [(r.status, r.root_id is None) for r in s.occurrences().collect()] == [("ok", False)]
+    assert found(s) == [(0, "0", "points", 0)]
+    builder = nested._Builder()
+    builder.record(1, '{"instance_list": ' + '[{"data": {"points": [[0, 0, 0]], "instance_list": ' * depth + "[]" + "}}]" * depth + "}")
+    assert [r[3] for r in builder.rows if r[0] == "occurrence"] == ["ok"] and builder.rows[-1][5] == depth
+    assert sum(r[0] == "instance" for r in builder.rows) == depth
+
+
+def test_the_deep_forms_agree_with_the_plain_ones():
+    texts = ['{"a": [1, -2.5e3, true, null, "x\\u00e9\\n", {}, []], "b": {"c": {"d": 0}}}', "[]", ' "x" ', "-0", "[1,[2,[3]]]"]
+    for t in texts:
+        assert nested._deep_decode(t) == json.loads(t)
+        assert nested._deep_encode(json.loads(t)) == nested._encode(json.loads(t))
+    for t in ("", "[1,]", "{", '{"a"}', '{"a":1,}', "[1 2]", "NaN", "01", "1]", "tru"):
+        try:
+            nested._deep_decode(t)
+        except ValueError:
+            continue
+        raise AssertionError(t)
+
+
+def test_objects_are_stored_once(spark):
+    shared = {"attrs": {"type": 1}, "data": {"points": [[0, 0, 0]]}}
+    s = store(spark, *(json.dumps({"header": {"n": i % 3}, "instance_list": [shared] * 4}) for i in range(60)))
+    assert s.occurrences().count() == 60 and s.objects("record").count() == 3 and s.objects("instance").count() == 1 and s.geometries().count() == 1
+    assert s.bridge("instance_list").count() == 12 and s.points().count() == 240
