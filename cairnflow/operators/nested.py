@@ -1,9 +1,9 @@
 """Flattening of deeply nested JSON records by Merkle subtree identities.
 
 Every object of a record is brought to one canonical form and hashed bottom-up, so that an object's id depends on
-nothing but its content. Objects are records, instances, attributes and geometries (a list of points with the places of
-its entries). One pass parses the records and writes each distinct object once, with its links to its children (field,
-ordinal, child): the bridge. Every occurrence of a record is a row of its own. Flat tables of records, instances,
+nothing but its content. Objects are records, instances, attributes and geometries (the coordinates of a list of
+points). One pass parses the records and writes each distinct object once, with its links to its children (field,
+ordinal, child, for a geometry also the places of its points in their list): the bridge. Every occurrence of a record is a row of its own. Flat tables of records, instances,
 attributes and points come from joins of occurrences, bridge and objects, one per level of depth, each level written
 once; they carry the path of their parents.
 
@@ -31,7 +31,7 @@ from cairnflow.session import materialise
 
 _SCHEMA = (
     "kind string, record_key bigint, id binary, status string, payload string, height int, "
-    "children array<struct<field:string,ordinal:int,child:binary>>, pos array<int>, ends array<int>, coords array<double>"
+    "children array<struct<field:string,ordinal:int,child:binary,places:array<int>>>, ends array<int>, coords array<double>"
 )
 _BLANK = " \t\r\n\f\v﻿ "
 POINT_FIELDS = ("points", "3dbox")
@@ -214,11 +214,12 @@ class _Frame:
 
     def __init__(self, ordinal: int, body: dict, data: dict, inner: list) -> None:
         self.ordinal, self.body, self.data, self.inner = ordinal, body, data, iter(enumerate(inner))
-        self.links: list[tuple[str, int, bytes]] = []
+        self.links: list[tuple] = []
         self.height = 0
 
 
 _CACHED = 50_000
+_NOWHERE = array("i")
 
 
 @dataclass
@@ -229,24 +230,23 @@ class _Builder:
     known: dict[tuple, tuple[bytes, str]] = field(default_factory=dict)
     seen: set[bytes] = field(default_factory=set)
     rows: list[tuple] = field(default_factory=list)
-    links: list[tuple[str, int, bytes]] = field(default_factory=list)
+    links: list[tuple] = field(default_factory=list)
     link_ends: array = field(default_factory=lambda: array("i", [0]))
-    pos: array = field(default_factory=lambda: array("i"))
-    pos_ends: array = field(default_factory=lambda: array("i", [0]))
     ends: array = field(default_factory=lambda: array("i"))
+    end_ends: array = field(default_factory=lambda: array("i", [0]))
     coords: array = field(default_factory=lambda: array("d"))
     coord_ends: array = field(default_factory=lambda: array("i", [0]))
 
     def _row(self, kind: str, key: int | None, identity: bytes | None, status: str | None, payload: str | None, height: int) -> None:
         self.rows.append((kind, key, identity, status, payload, height))
         self.link_ends.append(len(self.links))
-        self.pos_ends.append(len(self.pos))
+        self.end_ends.append(len(self.ends))
         self.coord_ends.append(len(self.coords))
 
-    def put(self, kind: str, text: str, links: list[tuple[str, int, bytes]], height: int) -> bytes:
+    def put(self, kind: str, text: str, links: list[tuple], height: int) -> bytes:
         h = blake2b(f"{kind}\0{text}".encode("utf-8", "surrogatepass"), digest_size=16)
-        for name, ordinal, child in links:
-            h.update(f"\0{name}\0{ordinal}\0".encode() + child)
+        for name, ordinal, child, places in links:
+            h.update(f"\0{name}\0{ordinal}\0".encode() + child + places.tobytes())
         identity = h.digest()
         if identity not in self.seen:
             self.seen.add(identity)
@@ -271,9 +271,9 @@ class _Builder:
             self.known[simple] = identity, text
         return identity
 
-    def geometry(self, entries: list) -> bytes | None:
-        """A list of points: places of its entries that aren't null, and their coordinates one after another."""
-        pos, ends, coords = array("i"), array("i"), array("d")
+    def geometry(self, entries: list) -> tuple[bytes, array]:
+        """The object of a list of points, and the places of its entries that aren't null."""
+        places, ends, coords = array("i"), array("i"), array("d")
         for i, entry in enumerate(entries):
             if _flat_point(entry):
                 coords.extend(entry)
@@ -281,32 +281,27 @@ class _Builder:
                 coords.extend(float("nan") if v is None else v for v in point)
             else:
                 continue
-            pos.append(i)
+            places.append(i)
             ends.append(len(coords))
-        if not pos:
-            return None
-        h = blake2b(b"geometry\0" + len(pos).to_bytes(8, "little"), digest_size=16)
-        for part in (pos, ends, coords):
-            h.update(part.tobytes())
-        identity = h.digest()
-        if identity not in self.seen:
+        identity = blake2b(b"geometry\0" + len(ends).to_bytes(8, "little") + ends.tobytes() + coords.tobytes(), digest_size=16).digest()
+        if places and identity not in self.seen:
             self.seen.add(identity)
-            self.pos += pos
             self.ends += ends
             self.coords += coords
             self._row("geometry", None, identity, None, None, 0)
-        return identity
+        return identity, places
 
     def _closed(self, frame: _Frame) -> bytes:
-        links = [("attrs", i, self.attribute(name, v)) for i, (name, v) in enumerate(sorted(_as_object(frame.body.get("attrs")).items()))]
+        links = [("attrs", i, self.attribute(name, v), _NOWHERE) for i, (name, v) in enumerate(sorted(_as_object(frame.body.get("attrs")).items()))]
         for name in POINT_FIELDS:
-            if (shape := self.geometry(_points(frame.data.get(name)))) is not None:
-                links.append((name, 0, shape))
+            shape, places = self.geometry(_points(frame.data.get(name)))
+            if places:
+                links.append((name, 0, shape, places))
         rest = {k: v for k, v in frame.body.items() if k not in ("attrs", "data")}
         rest |= {f"data.{k}": v for k, v in frame.data.items() if k not in (*POINT_FIELDS, "instance_list")}
         return self.put("instance", _dumps(rest), links + frame.links, frame.height)
 
-    def instances(self, entries: list) -> tuple[list[tuple[str, int, bytes]], int]:
+    def instances(self, entries: list) -> tuple[list[tuple], int]:
         """Links to the instances of a list, and how deep they nest."""
         stack = [_Frame(0, {}, {}, entries)]
         while True:
@@ -321,7 +316,7 @@ class _Builder:
                 stack.pop()
                 if not stack:
                     return top.links, top.height
-                stack[-1].links.append(("instance_list", top.ordinal, self._closed(top)))
+                stack[-1].links.append(("instance_list", top.ordinal, self._closed(top), _NOWHERE))
                 stack[-1].height = max(stack[-1].height, top.height + 1)
 
     def record(self, key: int | None, text: str | None) -> None:
@@ -342,14 +337,18 @@ class _Builder:
 
     def batch(self) -> pa.RecordBatch:
         kind, key, identity, status, payload, height = zip(*self.rows)
-        names, ordinals, children = zip(*self.links) if self.links else ((), (), ())
-        link = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(ordinals, pa.int32()), pa.array(children, pa.binary())], names=["field", "ordinal", "child"])
         lists = lambda ends, values: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        names, ordinals, children, places = zip(*self.links) if self.links else ((), (), (), ())
+        flat, flat_ends = array("i"), array("i", [0])
+        for own in places:
+            flat += own
+            flat_ends.append(len(flat))
+        link = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(ordinals, pa.int32()), pa.array(children, pa.binary()), lists(flat_ends, pa.array(flat, pa.int32()))], names=["field", "ordinal", "child", "places"])
         columns = [
             pa.array(kind), pa.array(key, pa.int64()), pa.array(identity, pa.binary()), pa.array(status, pa.string()), pa.array([p if p is None or p.isascii() else p.encode("utf-8", "replace").decode() for p in payload], pa.string()), pa.array(height, pa.int32()),
-            lists(self.link_ends, link), lists(self.pos_ends, pa.array(self.pos, pa.int32())), lists(self.pos_ends, pa.array(self.ends, pa.int32())), lists(self.coord_ends, pa.array(self.coords, pa.float64(), from_pandas=True)),
+            lists(self.link_ends, link), lists(self.end_ends, pa.array(self.ends, pa.int32())), lists(self.coord_ends, pa.array(self.coords, pa.float64(), from_pandas=True)),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["kind", "record_key", "id", "status", "payload", "height", "children", "pos", "ends", "coords"])
+        return pa.RecordBatch.from_arrays(columns, names=["kind", "record_key", "id", "status", "payload", "height", "children", "ends", "coords"])
 
 
 #: Characters of text after which a part is handed on.
@@ -389,14 +388,14 @@ class NestedStore:
         return self.rows.where(F.col("kind") == kind).select("id", "payload", "height")
 
     def geometries(self) -> DataFrame:
-        """id, pos, ends, coords: places of a list's points, where each ends among coords, and the coordinates."""
-        return self.rows.where("kind = 'geometry'").select("id", "pos", "ends", "coords")
+        """id, ends, coords: the coordinates of a list's points, and where each point ends among them."""
+        return self.rows.where("kind = 'geometry'").select("id", "ends", "coords")
 
     def bridge(self, *fields: str) -> DataFrame:
-        """parent, field, ordinal, child; each distinct link once."""
+        """parent, field, ordinal, child, places; each distinct link once."""
         owners = ["record", "instance"] if "instance_list" in fields or not fields else ["instance"]
         links = self.rows.where(F.col("kind").isin(owners)).select(F.col("id").alias("parent"), F.explode(F.filter("children", lambda c: c["field"].isin(*fields)) if fields else "children").alias("c"))
-        return links.select("parent", "c.field", "c.ordinal", "c.child")
+        return links.select("parent", "c.field", "c.ordinal", "c.child", "c.places")
 
     def instances(self) -> DataFrame:
         """record_key, inst_path, parent_path, ordinal, inst_id: every occurrence of an instance, at any depth."""
@@ -413,17 +412,17 @@ class NestedStore:
         return out
 
     def parts(self, *fields: str) -> DataFrame:
-        """record_key, inst_path, field, ordinal, part_id: every occurrence of a part of an instance."""
-        owned = self.bridge(*fields).select(F.col("parent").alias("inst_id"), "field", F.col("ordinal").alias("part_pos"), F.col("child").alias("part_id"))
-        return self.instances().join(owned, "inst_id").select("record_key", "inst_path", "field", F.col("part_pos").alias("ordinal"), "part_id")
+        """record_key, inst_path, field, ordinal, part_id, places: every occurrence of a part of an instance."""
+        owned = self.bridge(*fields).select(F.col("parent").alias("inst_id"), "field", F.col("ordinal").alias("part_pos"), F.col("child").alias("part_id"), "places")
+        return self.instances().join(owned, "inst_id").select("record_key", "inst_path", "field", F.col("part_pos").alias("ordinal"), "part_id", "places")
 
     def points(self, coordinates: bool = False) -> DataFrame:
         """record_key, inst_path, field, point_pos, with coordinates also x, y, z: every occurrence of a point."""
-        shapes = self.geometries().select(F.col("id").alias("part_id"), "pos", *(["ends", "coords"] if coordinates else []))
-        owned = self.parts(*POINT_FIELDS).join(shapes, "part_id")
+        owned = self.parts(*POINT_FIELDS)
         if not coordinates:
-            return owned.select("record_key", "inst_path", "field", F.explode("pos").alias("point_pos"))
-        each = owned.select("record_key", "inst_path", "field", "ends", "coords", F.posexplode("pos").alias("nth", "point_pos"))
+            return owned.select("record_key", "inst_path", "field", F.explode("places").alias("point_pos"))
+        shapes = self.geometries().select(F.col("id").alias("part_id"), "ends", "coords")
+        each = owned.join(shapes, "part_id").select("record_key", "inst_path", "field", "ends", "coords", F.posexplode("places").alias("nth", "point_pos"))
         start = F.when(F.col("nth") > 0, F.get("ends", F.col("nth") - 1)).otherwise(F.lit(0))
 
         def axis(i: int) -> Column:
