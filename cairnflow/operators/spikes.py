@@ -1,16 +1,20 @@
 """Implausible readings per source: spikes, stuck values and physically impossible values.
 
-Readings of a source are packed into time blocks by an aggregation that also drops repeated rows. Each block gets the
-nearest readings of the blocks before and after it, so that a rolling window or a run never ends at a block's border,
-and a block's work is bounded however many readings a source has. The usual noise of a source is the median of its
-interpolation residuals, taken from log-scale histograms that add up over blocks.
-
-Within a block the Hampel rule (rolling median and the source's scaled median absolute deviation) proposes outliers.
-A proposal stands if it leaves a local straight fit of its unproposed neighbours by the limits and if the run of such
-readings is short and has neighbours on both sides. Stuck values come from run lengths, impossible ones from bounds.
+Readings of a source are packed into time blocks by an aggregation that also drops repeated rows; the blocks are written
+once. Each gets the nearest readings before and after it, so that a rolling window or a run never ends at a block's
+border, and a block's work is bounded however many readings a source has. These halos are a prefix scan in two levels:
+within stretches of ``STRETCH`` blocks, then over the stretches of a source, which are as many as its span of time
+holds, whatever its number of rows. The usual deviation of a source is a median from log-scale histograms that add up
+the same way.
+
+For positions the Hampel rule (rolling median and the source's scaled median absolute deviation) proposes outliers. A
+proposal stands if it leaves a local straight fit of its unproposed neighbours by the limits and if the run of such
+readings is short and has neighbours on both sides. For rates the Hampel rule proposes too, and a proposal stands if it
+is so many times the source's median. Stuck values come from run lengths, impossible ones from bounds.
 
 Defined results: rows without source, order value or reading are left out; a reading holding a null or a number that
-is not finite is impossible (null readings are left out before); equal order values are ordered by id.
+is not finite is impossible (null readings are left out before); equal order values are ordered by id. A rate without an
+order value has no neighbours and is compared with its source's median alone.
 """
 
 from __future__ import annotations
@@ -20,9 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairnflow.session import materialise
+
 #: Residual histogram: bins of an eighth of an octave from 2^-20 on.
 _BINS, _STEP, _LOW = 400, 8, -20
 
@@ -49,11 +55,13 @@ def interpolation_residuals(t: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.abs(inner[:, :2]).mean(axis=1)
 
 
-def _bounded(x: np.ndarray, bounds: list[tuple[float, float]]) -> np.ndarray:
-    ok = np.isfinite(x).all(axis=1)
-    for axis, (low, high) in enumerate(bounds):
-        with np.errstate(invalid="ignore"):
-            ok &= (x[:, axis] >= low) & (x[:, axis] <= high)
+def _bounded(x: np.ndarray, bounds: list[tuple[float, float] | None]) -> np.ndarray:
+    """Rows within the bounds; an axis whose bounds are None may hold anything."""
+    ok = np.ones(len(x), bool)
+    for axis, limits in enumerate(bounds):
+        if limits is not None:
+            with np.errstate(invalid="ignore"):
+                ok &= np.isfinite(x[:, axis]) & (x[:, axis] >= limits[0]) & (x[:, axis] <= limits[1])
     return ok
 
 
@@ -93,6 +101,15 @@ def leaves_path(t: np.ndarray, x: np.ndarray, noise: float, least: float, times:
     return out
 
 
+def rolling_median(x: np.ndarray, half: int) -> np.ndarray:
+    """The median of each value and up to half neighbours on each side."""
+    if len(x) <= 2 * half:
+        return np.array([np.median(x[max(0, i - half) : i + half + 1]) for i in range(len(x))])
+    inner = np.median(sliding_window_view(x, 2 * half + 1), axis=1)
+    ends = [np.median(x[: i + half + 1]) for i in range(half)], [np.median(x[i - half :]) for i in range(len(x) - half, len(x))]
+    return np.concatenate((ends[0], inner, ends[1]))
+
+
 def run_members(x: np.ndarray, least: int) -> np.ndarray:
     """Rows that belong to a run of at least so many equal values in some column; NaN equals nothing."""
     n = len(x)
@@ -104,107 +121,213 @@ def run_members(x: np.ndarray, least: int) -> np.ndarray:
     return out
 
 
-def _columns(batch: pa.RecordBatch) -> dict:
-    return {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
+#: Blocks of a stretch, the unit the halos are first carried within.
+STRETCH = 512
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values and offsets of a list column."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))).astype(int)
+
+
+def _blocks_of(batch: pa.RecordBatch, axes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """id, t, readings of each row's block, in order."""
+    (t, ends), (ids, _) = _flat(batch.column("t")), _flat(batch.column("id"))
+    v = np.stack([_flat(batch.column(f"v{a}"))[0].astype(float) for a in range(axes)], axis=1) if axes else np.empty((len(t), 0))
+    for a, b in zip(ends, ends[1:]):
+        order = np.lexsort((ids[a:b], t[a:b])) + a
+        yield ids[order], t[order], v[order]
+
+
+class _Rule:
+    """How a kind of reading is judged: its halo, the deviations that make up a source's usual one, and its outliers."""
+
+    def __init__(self, bounds: list, spike: dict | None, rate: dict | None, stuck: int, runs_on: list[int]) -> None:
+        self.bounds, self.spike, self.rate, self.stuck, self.runs_on = bounds, spike, rate, stuck, runs_on
+        self.halo = max(stuck, 2 * spike["half"] + spike["longest"] + 4 if spike else 0, rate["half"] if rate else 0)
+
+    def deviations(self, t: np.ndarray, x: np.ndarray) -> np.ndarray:
+        ok = _bounded(x, self.bounds)
+        if self.spike:
+            return interpolation_residuals(t[ok], x[ok])
+        if self.rate:
+            r = x[ok & np.isfinite(x[:, -1]), -1]
+            return np.abs(r - rolling_median(r, self.rate["half"]))
+        return np.empty(0)
+
+    def outliers(self, t: np.ndarray, x: np.ndarray, ok: np.ndarray, usual: float) -> np.ndarray:
+        out = np.zeros(len(t), bool)
+        if self.spike:
+            # |r| of a Gaussian residual has its median at 0.6745 sigma; the mean of two axes at 0.75; interpolation adds half the variance.
+            where = np.flatnonzero(ok)
+            out[where[leaves_path(t[ok], x[ok], usual / 0.75 / np.sqrt(1.5), **self.spike)]] = True
+        elif self.rate:
+            where = np.flatnonzero(ok & np.isfinite(x[:, -1]))
+            r = x[where, -1]
+            out[where[r - rolling_median(r, self.rate["half"]) > self.rate["sigmas"] * 1.4826 * usual]] = True
+        return out
+
 
+_HALO = [("ht", pa.list_(pa.int64())), ("hv", pa.list_(pa.float64())), ("tt", pa.list_(pa.int64())), ("tv", pa.list_(pa.float64()))]
+_HIST = [("bins", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))]
+_KEYS = [("source", pa.string()), ("stretch", pa.int64()), ("block", pa.int64())]
 
-def _unpack(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    if not rows:
-        return np.empty(0, np.int64), np.empty(0), np.empty((0, 1))
-    return (
-        np.fromiter((r["id"] for r in rows), np.int64, len(rows)),
-        np.fromiter((r["t"] for r in rows), np.float64, len(rows)),
-        np.array([[np.nan if v is None else v for v in r["v"]] for r in rows], float),
-    )
 
+def _ddl(fields: list) -> str:
+    names = {pa.string(): "string", pa.int64(): "bigint", pa.float64(): "double", pa.list_(pa.int64()): "array<bigint>", pa.list_(pa.float64()): "array<double>", pa.list_(pa.int32()): "array<int>"}
+    return ", ".join(f"{n} {names[t]}" for n, t in fields)
 
-def _profile(bounds, halo: int):
-    """Per block: its first and last readings and the histogram of its residuals."""
+
+def _table(rows: list[tuple], fields: list) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields)], names=[n for n, _ in fields])
+
+
+def _profile(rule: _Rule):
+    """Per block its first and last readings and the histogram of its deviations."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hists = []
-            for rows in batch.column("rows"):
-                _, t, x = _unpack(rows.as_py())
-                ok = _bounded(x, bounds)
-                hists.append(_bin(interpolation_residuals(t[ok], x[ok])))
-            yield pa.RecordBatch.from_arrays([batch.column("source"), batch.column("block"), pa.array([h.tolist() for h in hists], pa.list_(pa.int64()))], names=["source", "block", "hist"])
+            rows = []
+            keys = zip(batch.column("source").to_pylist(), batch.column("stretch").to_pylist(), batch.column("block").to_pylist())
+            for key, (_, t, x) in zip(keys, _blocks_of(batch, len(rule.bounds))):
+                hist = _bin(rule.deviations(t, x))
+                at = np.flatnonzero(hist)
+                h = rule.halo
+                rows.append((*key, t[:h], x[:h].ravel(), t[-h:], x[-h:].ravel(), at.astype(np.int32), hist[at]))
+            if rows:
+                yield _table(rows, _KEYS + _HALO + _HIST)
+
+    return run
+
+
+def _carried(parts: list[tuple[np.ndarray, np.ndarray]], halo: int, axes: int, last: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each part, the halo readings next to it among the parts before it (last) or, the list being reversed, after it."""
+    t, v = np.empty(0, np.int64), np.empty(0)
+    out = []
+    for own_t, own_v in parts:
+        out.append((t, v))
+        if last:
+            t, v = np.concatenate((t, own_t))[-halo:], np.concatenate((v, own_v))[-halo * axes :]
+        else:
+            t, v = np.concatenate((own_t, t))[:halo], np.concatenate((own_v, v))[: halo * axes]
+    return [*out, (t, v)]
+
+
+def _scan(rule: _Rule, by: str):
+    """The halo of each row of a group from the others, in the order of by; then one row for the whole group."""
+    halo, axes = rule.halo, len(rule.bounds)
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by(by)
+        cut = {n: _flat(group.column(n)) for n, _ in (*_HALO, *_HIST)}
+        lists = lambda n: [cut[n][0][a:b] for a, b in zip(cut[n][1], cut[n][1][1:])]
+        heads, tails = list(zip(lists("ht"), lists("hv"))), list(zip(lists("tt"), lists("tv")))
+        before = _carried(tails, halo, axes, True)
+        after = _carried(heads[::-1], halo, axes, False)
+        hist = np.zeros(_BINS, np.int64)
+        np.add.at(hist, cut["bins"][0].astype(int), cut["counts"][0].astype(np.int64))
+        at = np.flatnonzero(hist)
+        source, stretches, blocks = (group.column(n).to_pylist() for n, _ in _KEYS)
+        none = np.empty(0, np.int32), np.empty(0, np.int64)
+        # A row of the group: its halo before and after; the group's own row: its first and last readings.
+        rows = [(s, k, b, *after[len(heads) - 1 - i], *before[i], *none) for i, (s, k, b) in enumerate(zip(source, stretches, blocks))]
+        rows.append((source[0], stretches[0] if by == "block" else None, None, *after[-1], *before[-1], at.astype(np.int32), hist[at]))
+        return pa.Table.from_batches([_table(rows, _KEYS + _HALO + _HIST)])
 
     return run
 
 
-def _judge(bounds, spike: dict | None, stuck: int):
+def _judge(rule: _Rule):
+    halo, axes = rule.halo, len(rule.bounds)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, impossible, spikes, runs = [], [], [], []
-            for rows, before, after, hist in zip(batch.column("rows"), batch.column("before"), batch.column("after"), batch.column("hist")):
-                before, own, after = before.as_py() or [], rows.as_py(), after.as_py() or []
-                i, t, x = _unpack(before + own + after)
-                core = slice(len(before), len(before) + len(own))
-                ok = _bounded(x, bounds)
-                spiky = np.zeros(len(i), bool)
-                if spike:
-                    # |r| of a Gaussian residual has its median at 0.6745 sigma; the mean of two axes at 0.75; interpolation adds half the variance.
-                    noise = histogram_median(np.array(hist.as_py())) / 0.75 / np.sqrt(1.5)
-                    where = np.flatnonzero(ok)
-                    spiky[where[leaves_path(t[ok], x[ok], noise, **spike)]] = True
-                still = run_members(x, stuck)
-                ids.append(i[core])
-                impossible.append(~ok[core])
-                spikes.append(spiky[core])
-                runs.append(still[core])
-            flat = [np.concatenate(c) if c else np.empty(0, bool) for c in (impossible, spikes, runs)]
-            hit = flat[0] | flat[1] | flat[2]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(ids)[hit] if ids else [], pa.int64()), *[pa.array(c[hit], pa.bool_()) for c in flat]], names=["id", "impossible", "spike", "stuck"]
-            )
+            around = {n: _flat(batch.column(n)) for n in ("bt", "bv", "at", "av")}
+            piece = lambda n, i: around[n][0][around[n][1][i] : around[n][1][i + 1]]
+            usual = batch.column("usual").to_numpy(zero_copy_only=False)
+            ids, flags = [], []
+            for i, (own, t, x) in enumerate(_blocks_of(batch, axes)):
+                bt, at = piece("bt", i)[-halo:], piece("at", i)[:halo]
+                core = slice(len(bt), len(bt) + len(t))
+                t = np.concatenate((bt, t, at))
+                x = np.concatenate((piece("bv", i)[-halo * axes :].reshape(-1, axes), x, piece("av", i)[: halo * axes].reshape(-1, axes)))
+                ok = _bounded(x, rule.bounds)
+                found = np.stack((~ok, rule.outliers(t.astype(float), x, ok, usual[i]), run_members(x[:, rule.runs_on], rule.stuck)))[:, core]
+                hit = found.any(axis=0)
+                ids.append(own[hit])
+                flags.append(found[:, hit])
+            if ids:
+                flat = np.concatenate(flags, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids), pa.int64()), *[pa.array(c, pa.bool_()) for c in flat]], names=["id", "impossible", "spike", "stuck"])
 
     return run
 
 
+def _usual(column: str) -> Column:
+    """The median a histogram of bins and counts stands for; 0 for an empty one."""
+    pairs = F.arrays_zip("bins", "counts")
+    half = F.aggregate("counts", F.lit(0).cast("bigint"), lambda s, n: s + n) / 2
+    start = F.struct(F.lit(0).cast("bigint").alias("sum"), F.lit(None).cast("int").alias("bin"))
+    # The first bin at which the running count reaches half of all.
+    at = F.aggregate(pairs, start, lambda a, p: F.struct((a["sum"] + p["counts"]).alias("sum"), F.coalesce(a["bin"], F.when(a["sum"] + p["counts"] >= half, p["bins"])).alias("bin")))["bin"]
+    return F.coalesce(F.pow(F.lit(2.0), _LOW + (at + 0.5) / _STEP), F.lit(0.0)).alias(column)
+
+
 def implausible(
-    df: DataFrame, source: str, order: str, row_id: str, reading: str, bounds: list[tuple[float, float]], block: int, spike: dict | None = None, stuck: int = 6
+    df: DataFrame, source: str, order: str, row_id: str, reading: str, bounds: list[tuple[float, float] | None], block: int, spike: dict | None = None, stuck: int = 6, rate: dict | None = None, runs_on: list[int] | None = None
 ) -> DataFrame:
     """id, impossible, spike, stuck for the readings that are any of these.
 
-    order: integer; reading: array of as many doubles as bounds; block: width of a time block in units of order.
-    spike: least (smallest distance), times (multiple of the usual noise), half (rows each side in the rolling median),
-    longest (rows of a run), near (farthest neighbour in units of order).
+    order: integer; reading: array of as many doubles as bounds, where an axis with bounds None may hold NaN for no
+    value; block: width of a time block in units of order. spike, for positions: least (smallest distance), times
+    (multiple of the usual noise), half (rows each side in the rolling median), longest (rows of a run), near (farthest
+    neighbour in units of order). rate, for a rate on the last axis: half and sigmas of the Hampel rule. runs_on: axes on
+    which equal values are stuck, all by default.
     """
-    halo = max(stuck, 2 * spike["half"] + spike["longest"] + 4 if spike else 0)
+    rule = _Rule(bounds, spike, rate, stuck, runs_on if runs_on is not None else list(range(len(bounds))))
     valid = df.where(F.col(source).isNotNull() & F.col(order).isNotNull() & (F.size(F.filter(F.col(reading), lambda v: v.isNotNull())) == len(bounds)) & (F.size(reading) == len(bounds)))
-    rows = valid.select(
-        F.col(source).cast("string").alias("source"), F.floor(F.col(order) / block).alias("block"),
-        F.struct(F.col(order).cast("bigint").alias("t"), F.col(row_id).cast("bigint").alias("id"), F.transform(F.col(reading), lambda v: v.cast("double")).alias("v")).alias("r"),
+    axes = [F.col(reading)[a].cast("double").alias(f"v{a}") for a in range(len(bounds))]
+    rows = valid.select(F.col(source).cast("string").alias("source"), F.floor(F.col(order) / block).cast("bigint").alias("block"), F.struct(F.col(order).cast("bigint").alias("t"), F.col(row_id).cast("bigint").alias("id"), *axes).alias("r"))
+    packed = rows.groupBy("source", "block").agg(F.collect_set("r").alias("r"))
+    stretch = F.floor(F.col("block") / STRETCH).cast("bigint").alias("stretch")
+    blocks = materialise(packed.select("source", stretch, "block", "r.t", "r.id", *[f"r.v{a}" for a in range(len(bounds))]), "reading-blocks")
+    form = _ddl(_KEYS + _HALO + _HIST)
+    within = materialise(blocks.mapInArrow(_profile(rule), form).groupBy("source", "stretch").applyInArrow(_scan(rule, "block"), form), "reading-halos")
+    groups = within.where("block IS NULL").groupBy("source").applyInArrow(_scan(rule, "stretch"), form)
+    groups = materialise(groups, "source-halos")
+    usual = groups.where("stretch IS NULL").select("source", _usual("usual"))
+    outer = groups.where("stretch IS NOT NULL").join(usual, "source").select("source", "stretch", "usual", *[F.col(n).alias(f"outer_{n}") for n, _ in _HALO])
+    edges = within.where("block IS NOT NULL").join(outer, ["source", "stretch"]).select(
+        "source", "block", "usual", F.concat("outer_tt", "tt").alias("bt"), F.concat("outer_tv", "tv").alias("bv"), F.concat("ht", "outer_ht").alias("at"), F.concat("hv", "outer_hv").alias("av")
     )
-    blocks = rows.groupBy("source", "block").agg(F.array_sort(F.collect_set("r")).alias("rows"))
-    ends = blocks.select("source", "block", F.slice("rows", 1, halo).alias("head"), F.slice("rows", F.greatest(F.size("rows") - halo + 1, F.lit(1)), halo).alias("tail"))
-    if spike:
-        profile = blocks.mapInArrow(_profile(bounds, halo), "source string, block bigint, hist array<bigint>")
-        noise = profile.select("source", F.posexplode("hist")).where("col > 0").groupBy("source", "pos").agg(F.sum("col").alias("n"))
-        noise = noise.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("pos", "n"))).alias("bins"))
-        noise = noise.select("source", F.transform(F.sequence(F.lit(0), F.lit(_BINS - 1)), lambda p: F.coalesce(F.col("bins")[p], F.lit(0))).alias("hist"))
-    by_time = Window.partitionBy("source").orderBy("block")
-    earlier = F.flatten(F.collect_list("tail").over(by_time.rowsBetween(-halo, -1)))
-    later = F.flatten(F.collect_list("head").over(by_time.rowsBetween(1, halo)))
-    edges = ends.select(
-        "source", "block", F.slice(earlier, F.greatest(F.size(earlier) - halo + 1, F.lit(1)), halo).alias("before"), F.slice(later, 1, halo).alias("after")
-    )
-    edges = edges.join(noise, "source", "left") if spike else edges.withColumn("hist", F.array().cast("array<bigint>"))
-    judged = blocks.join(edges, ["source", "block"]).select("rows", "before", "after", "hist")
-    return judged.mapInArrow(_judge(bounds, spike, stuck), "id bigint, impossible boolean, spike boolean, stuck boolean").groupBy("id").agg(
-        F.max("impossible").alias("impossible"), F.max("spike").alias("spike"), F.max("stuck").alias("stuck")
-    )
-
-
-def above_usual_rate(df: DataFrame, source: str, row_id: str, part: str, whole: str, times: float) -> DataFrame:
-    """id, impossible, spike of rows whose part/whole is impossible or at least so many times the usual rate of the source.
-
-    The usual rate is the source's median over its possible rows, from a mergeable quantile sketch. Repeated rows count once.
+    judged = blocks.join(edges, ["source", "block"]).drop("source", "stretch", "block").mapInArrow(_judge(rule), "id bigint, impossible boolean, spike boolean, stuck boolean")
+    return judged.groupBy("id").agg(*[F.max(c).alias(c) for c in ("impossible", "spike", "stuck")])
+
+
+def implausible_rates(df: DataFrame, source: str, order: str, row_id: str, part: str, whole: str, times: float, block: int, stuck: int = 6, half: int = 10, sigmas: float = 3.0) -> DataFrame:
+    """id, impossible, spike, stuck of rows whose part/whole is impossible, at least so many times the source's usual rate, or stuck.
+
+    The usual rate is the source's median over its possible rows, from a mergeable quantile sketch. The Hampel rule over
+    the source's rows in order proposes the high rates; a rate whose row has no order value is compared directly.
+    Repeated rows count once; a part without a whole has no rate.
     """
-    rows = df.where(F.col(part).isNotNull()).select(F.col(source).alias("source"), F.col(row_id).cast("bigint").alias("id"), F.col(part).cast("double").alias("part"), F.col(whole).cast("double").alias("whole")).distinct()
+    rows = df.where(F.col(part).isNotNull()).select(
+        F.col(source).cast("string").alias("source"), F.col(order).cast("bigint").alias("at"), F.col(row_id).cast("bigint").alias("id"), F.col(part).cast("double").alias("part"), F.col(whole).cast("double").alias("whole")
+    )
     wrong = F.coalesce((F.col("part") < 0) | (F.col("part") > F.col("whole")), F.col("part") < 0, F.lit(False))
     rows = rows.withColumn("impossible", wrong).withColumn("rate", F.when(~F.col("impossible") & (F.col("whole") > 0), F.col("part") / F.col("whole")))
+    series = rows.withColumn("reading", F.array("part", F.coalesce("rate", F.lit(float("nan")))))
+    judged = implausible(series, "source", "at", "id", "reading", [None, None], block, stuck=stuck, rate={"half": half, "sigmas": sigmas}, runs_on=[0])
     usual = rows.groupBy("source").agg(F.percentile_approx("rate", 0.5, 10000).alias("usual"))
-    high = F.coalesce((F.col("rate") > 0) & (F.col("rate") >= times * F.col("usual")), F.lit(False))
-    return rows.join(usual, "source", "left").select("id", "impossible", high.alias("spike")).where("impossible OR spike")
+    alone = rows.where("at IS NULL OR source IS NULL").select("id")
+    proposed = judged.where("spike").select("id").unionByName(alone).distinct()
+    high = rows.where("rate > 0").select("source", "id", "rate").join(proposed, "id").join(usual, rows["source"].eqNullSafe(usual["source"])).where(F.col("rate") >= times * F.col("usual"))
+    no, yes = F.lit(False), F.lit(True)
+    flags = (
+        judged.where("stuck").select("id", no.alias("impossible"), no.alias("spike"), "stuck")
+        .unionByName(high.select("id", no.alias("impossible"), yes.alias("spike"), no.alias("stuck")))
+        .unionByName(rows.where("impossible").select("id", "impossible", no.alias("spike"), no.alias("stuck")))
+    )
+    return flags.groupBy("id").agg(*[F.max(c).alias(c) for c in ("impossible", "spike", "stuck")])

@@ -144,14 +144,8 @@ def p6_frames(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_trail_params(spark: SparkSession, d: str) -> DataFrame:
-    params = table(spark, d, "trail_params")
-    stuck = spikes.implausible(
-        params.select("vehicle_id", "param_id", F.unix_micros(F.col("run_at").cast("timestamp")).alias("at"), F.array(F.col("bad_ins").cast("double")).alias("reading")),
-        "vehicle_id", "at", "param_id", "reading", [(-1e12, 1e12)], block=21_600_000_000,
-    )
-    rates = spikes.above_usual_rate(params, "vehicle_id", "param_id", "bad_ins", "all_ins", 5.0)
-    no = F.lit(False)
-    return stuck.select("id", no.alias("impossible"), no.alias("spike"), "stuck").unionByName(rates.withColumn("stuck", no)).groupBy("id").agg(*[F.max(c).alias(c) for c in ("impossible", "spike", "stuck")])
+    params = table(spark, d, "trail_params").withColumn("at", F.unix_micros(F.col("run_at").cast("timestamp")))
+    return spikes.implausible_rates(params, "vehicle_id", "at", "param_id", "bad_ins", "all_ins", 5.0, block=86_400_000_000)
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -159,9 +153,25 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return a.unionByName(p6_trail_params(spark, d).select(F.lit("trail_params").alias("src"), F.col("id").alias("row_id")))
 
 
+def p6_impossible(spark: SparkSession, d: str) -> DataFrame:
+    both = {"frames": p6_frames(spark, d), "trail_params": p6_trail_params(spark, d)}
+    a, b = (df.where("impossible").select(F.lit(src).alias("src"), F.col("id").alias("row_id")) for src, df in both.items())
+    return a.unionByName(b)
+
+
+def p6_stuck(spark: SparkSession, d: str) -> DataFrame:
+    both = {"frames": p6_frames(spark, d), "trail_params": p6_trail_params(spark, d)}
+    a, b = (df.where("stuck").select(F.lit(src).alias("src"), F.col("id").alias("row_id")) for src, df in both.items())
+    return a.unionByName(b)
+
+
+def p6_high_rates(spark: SparkSession, d: str) -> DataFrame:
+    return p6_trail_params(spark, d).where("spike").select("id")
+
+
 QUERIES = {f.__name__: f for f in (
     p1_found, p1_records, p1_instances, p1_attributes, p1_points, p2_found, p2_by_month, p2_current, p3_found, p3_containers, p3_totals, p3_repacked,
-    p4_found, p4_state, p4_onto_base, p5_found, p5_pairs, p6_found, p6_frames, p6_trail_params,
+    p4_found, p4_state, p4_onto_base, p5_found, p5_pairs, p6_found, p6_frames, p6_trail_params, p6_impossible, p6_stuck, p6_high_rates,
 )}
 
 _LAYER_SQL = " UNION ALL ".join(
@@ -200,7 +210,26 @@ _PAIR_SQL = f"""WITH p AS (SELECT pose_id, trail_id, CAST(round(CASE WHEN num <
  SELECT pose_id, frame_no, left_at, right_at FROM p JOIN f ON p.trail_id = f.trail_id AND right_at BETWEEN left_at - 30000 AND left_at + 30000
  QUALIFY row_number() OVER (PARTITION BY pose_id ORDER BY abs(left_at - right_at), right_at, frame_no) = 1"""
 
+_READINGS_SQL = "SELECT DISTINCT frame_no, trail_id, stamp_ms, opt_t_world_veh[1] AS x, opt_t_world_veh[2] AS y, opt_t_world_veh[3] AS z FROM frames WHERE trail_id IS NOT NULL AND stamp_ms IS NOT NULL AND len(opt_t_world_veh) = 3 AND len(list_filter(opt_t_world_veh, lambda v: v IS NOT NULL)) = 3"
+_PARAMS_SQL = "SELECT DISTINCT param_id, vehicle_id, run_at, CAST(bad_ins AS DOUBLE) AS bad, CAST(all_ins AS DOUBLE) AS total FROM trail_params WHERE bad_ins IS NOT NULL"
+_WRONG_SQL = "(bad < 0 OR coalesce(bad > total, false))"
+
+
+def _runs_sql(rows: str, src: str, key: str, source: str, order: str, value: str) -> str:
+    by = f"PARTITION BY {source} ORDER BY {order}, {key}"
+    starts = f"SELECT *, CASE WHEN {value} = lag({value}) OVER ({by}) AND NOT isnan({value}) THEN 0 ELSE 1 END AS begins FROM ({rows}) WHERE {source} IS NOT NULL AND {order} IS NOT NULL"
+    runs = f"SELECT *, sum(begins) OVER ({by} ROWS UNBOUNDED PRECEDING) AS run FROM ({starts})"
+    return f"SELECT '{src}' AS src, {key} AS row_id FROM ({runs}) QUALIFY count(*) OVER (PARTITION BY {source}, run) >= 6"
+
+
+_STUCK_SQL = " UNION ".join([*[_runs_sql(_READINGS_SQL, "frames", "frame_no", "trail_id", "stamp_ms", axis) for axis in "xyz"], _runs_sql(_PARAMS_SQL, "trail_params", "param_id", "vehicle_id", "run_at", "bad")])
+_IN_BOUNDS = " AND ".join(f"{a} BETWEEN {low} AND {high}" for a, (low, high) in zip("xyz", POSITION_BOUNDS))
+
 ORACLE = {
+    "p6_impossible": f"SELECT 'frames' AS src, frame_no AS row_id FROM ({_READINGS_SQL}) WHERE NOT ({_IN_BOUNDS}) UNION SELECT 'trail_params', param_id FROM ({_PARAMS_SQL}) WHERE {_WRONG_SQL}",
+    "p6_stuck": _STUCK_SQL,
+    "p6_high_rates": f"""WITH r AS (SELECT *, CASE WHEN NOT {_WRONG_SQL} AND total > 0 THEN bad / total END AS rate FROM ({_PARAMS_SQL})), u AS (SELECT vehicle_id, quantile_disc(rate, 0.5) AS usual FROM r GROUP BY vehicle_id)
+ SELECT DISTINCT param_id AS id FROM r JOIN u ON r.vehicle_id IS NOT DISTINCT FROM u.vehicle_id WHERE rate > 0 AND rate >= 5 * usual""",
     "p2_found": f"{_ORPHAN_SQL} SELECT DISTINCT layer, id, field, ref_id FROM o",
     "p2_by_month": f"{_ORPHAN_SQL} SELECT layer, strftime(moment, '%Y-%m') AS month, count(DISTINCT (id, field, ref_id)) AS n_orphans FROM o GROUP BY ALL",
     "p3_found": f"SELECT DISTINCT entry_id FROM ({_ENTRY_SQL}) e JOIN (SELECT a, b, min(entry_id) AS first FROM ({_ENTRY_SQL}) GROUP BY a, b) k ON e.a IS NOT DISTINCT FROM k.a AND e.b IS NOT DISTINCT FROM k.b WHERE entry_id <> first",

@@ -63,11 +63,48 @@ def test_odd_rows(spark):
     assert flagged(spark, []) == {}
 
 
+def rates(spark, rows, **how):
+    df = spark.createDataFrame(rows, "id bigint, source string, at bigint, bad int, total int, block string")
+    got = spikes.implausible_rates(df, "source", "at", "id", "bad", "total", 5.0, block=how.pop("block", 7), **how)
+    return {r.id: (r.impossible, r.spike, r.stuck) for r in got.collect()}
+
+
 def test_rates(spark):
-    rows = [(i, "v", 10 + i % 3, 1000) for i in range(30)] + [(100, "v", 60, 1000), (101, "v", -1, 1000), (102, "v", 1001, 1000), (103, "v", None, 5), (104, None, 3, 0), (105, "w", 0, 9), (106, "v", 40, 1000)]
-    df = spark.createDataFrame(rows + rows[:3], "id bigint, source string, bad int, total int")
-    got = {r.id: (r.impossible, r.spike) for r in spikes.above_usual_rate(df, "source", "id", "bad", "total", 5.0).collect()}
-    assert got == {100: (False, True), 101: (True, False), 102: (True, False), 104: (True, False)}
+    rows = [(i, "v", i, 10 + i % 3, 1000, "") for i in range(30)] + [(100, "v", 30, 60, 1000, ""), (101, "v", 31, -1, 1000, ""), (102, "v", 32, 1001, 1000, ""), (103, "v", 33, None, 5, "")]
+    rows += [(104, None, 1, 3, 0, ""), (105, "w", 1, 0, 9, ""), (106, "v", 34, 40, 1000, ""), (107, "v", None, 70, 1000, ""), (108, None, None, 5, 9, "")]
+    rows += [(200 + i, "x", i, 4, 100 + i, "") for i in range(6)] + [(300 + i, "y", i, 4, None, "") for i in range(5)]
+    for block in (3, 1000):
+        assert rates(spark, rows + rows[:3], block=block) == {100: (False, True, False), 101: (True, False, False), 102: (True, False, False), 104: (True, False, False), 107: (False, True, False), **{200 + i: (False, False, True) for i in range(6)}}
+    assert rates(spark, []) == {}
+
+
+def test_the_hampel_rule_decides_on_rates(spark):
+    """A rate five times the usual one amid others as high is no outlier of its neighbourhood; alone it is one."""
+    rows = [(i, "v", i, 10 + i % 2, 1000, "") for i in range(60)] + [(100 + i, "v", 1000 + i, 60 + i % 2, 1000, "") for i in range(40)]
+    assert not any(v[1] for k, v in rates(spark, rows, block=10_000).items() if k >= 111)
+    rows = [(i, "v", i, 10 + i % 2, 1000, "") for i in range(60)] + [(100, "v", 30, 60, 1000, "")]
+    assert {k for k, v in rates(spark, rows).items() if v[1]} == {100}
+
+
+def test_sparse_blocks_reach_across_stretches(spark):
+    """One reading a block and pauses of many stretches: the halo comes from wherever the neighbours are."""
+    rows = trail(seed=6)
+    for i in range(100, 106):
+        rows[i][3][0] = 5.5
+    for k, r in enumerate(rows[103:]):
+        r[2] += 10**9
+    for r in rows[200:]:
+        r[2] += 10**12
+    for i in range(197, 203):
+        rows[i][3][1] = -7.5
+    assert {k for k, v in flagged(spark, rows, 1_000).items() if v[2]} == {*range(100, 106), *range(197, 203)}
+
+
+def test_rolling_median():
+    x = np.random.default_rng(3).normal(size=50)
+    for half in (2, 10, 30):
+        assert np.allclose(spikes.rolling_median(x, half), [np.median(x[max(0, i - half) : i + half + 1]) for i in range(50)])
+    assert len(spikes.rolling_median(x[:0], 2)) == 0
 
 
 def test_histogram_median():
