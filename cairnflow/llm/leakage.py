@@ -4,15 +4,18 @@ Both sides become streams of words. What a subtitle file adds to speech (numbers
 descriptions, adverts, lines shown twice, words broken at line ends) is taken out, and words that were misread or
 wrongly encoded are mapped to the evaluation word they stand for.
 
-Windows of half the smallest passage's length slide over both streams; any passage holds such a window even if one of
-its words stayed unreadable. Each window's SimHash is looked up in a multi-index over four blocks of 16 bits: two
-fingerprints within ``RADIUS`` = 3 bits agree in at least one block, so every such pair is found. Runs of three words that
-both sides share are candidates too: they reach passages with up to three unreadable words. Candidates are then
-verified exactly: the passage is followed word by word in order from the window outwards, which alone decides. The
-weighted similarity of the matched words is never below its limit.
+The unit that leaks is the smallest passage that counts, ``LEAST`` words of an item. Each such window of an item is
+fingerprinted by SimHash, as a whole and with every choice of up to ``UNREAD`` of its words left out: whatever choice of
+words stayed unreadable in a document, the words it does show are ``SHOWN`` successive ones with a fingerprint of the
+item. Fingerprints are looked up in a multi-index over four blocks of 16 bits: two within ``RADIUS`` = 3 bits agree in at
+least one block, so every such pair is found. A candidate is verified by weighted-shingle similarity: the item's window
+and the stretch of the document are aligned word by word, shingles of ``SHINGLE`` successive words weigh what their
+words weigh (rare ones more), and the weight both sides share must reach ``LIMIT`` of the window's. A passage one word
+too short shares all shingles but one, so the limit is the whole.
 
 Defined results: null texts match nothing; items shorter than the smallest passage match nothing; repeated rows give
-one pair. The items must fit one index of ``MAX_ITEM_WORDS`` words; a larger set is searched in blocks of that size.
+one pair. The vocabulary is that of all items together, so results don't depend on ``block_words``, the words of items
+that one index holds; beyond one index the documents are parsed once and their streams written.
 """
 
 from __future__ import annotations
@@ -20,21 +23,25 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import combinations
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairnflow.llm.subtitles import cues, is_advert, reread, untagged, without_sounds
+from cairnflow.llm.subtitles import advertises, cues, may_advertise, reread, unlabelled, untagged, without_sounds
+from cairnflow.session import materialise
 
-LEAST, WINDOW, RADIUS, BLOCK_BITS = 12, 6, 3, 16
-MAX_ITEM_WORDS = 200_000
+LEAST, UNREAD, RADIUS, BLOCK_BITS = 12, 3, 3, 16
+SHOWN = LEAST - UNREAD
+SHINGLE, LIMIT = 5, 1.0
+#: Words of items in one index (about 7 KB each) and of common words.
+BLOCK_WORDS, MAX_COMMON = 10_000, 100_000
 _BITS = 64
-_UNKNOWN_ROWS = 1 << 12
-_SPEAKER = re.compile(r"^[-–—\s\"“”'«]*(?:[^\W\d_a-zà-ÿ][^\W\d_a-zà-ÿ.’' ]{1,24}): ?(?=\S)")
 _TOKEN = re.compile(r"[^ \t\r\n\f\v]+")
-_EDGE = re.compile(r"^[^\w�]+|[^\w�]+$")
+_INNER = re.compile(r"[\w�]")
 _SPOKEN = re.compile(r"[^\W_]")
 #: Letters and groups that character recognition takes for one another, each with the class it folds to.
 _GROUPS = (("rn", "m"), ("vv", "w"), ("li", "h"), ("ii", "u"), ("cl", "d"), ("fi", "h"))
@@ -44,13 +51,17 @@ _ACCENTS = str.maketrans("àáâãäåèéêëìíîïòóôõöùúûüçñýÿ
 _ENCODINGS = ("cp1251", "cp1250", "iso8859-2", "cp1254", "iso8859-5", "koi8-r", "cp437", "cp850", "mac-roman", "cp1253", "iso8859-7")
 
 
-_LONGEST = 100
+def stripped(word: str) -> str:
+    """Without the signs at its ends, in linear time however long it is."""
+    first = _INNER.search(word)
+    if first is None:
+        return ""
+    return word[first.start() : len(word) - _INNER.search(word[::-1]).start()]
 
 
 def spell(token: str) -> str:
-    """A token as a word: encoding mended, lower case, without punctuation at its ends. Tokens too long for a word keep theirs."""
-    word = reread(token).lower()
-    return _EDGE.sub("", word) if len(word) <= _LONGEST else word
+    """A token as a word: encoding mended, lower case, without punctuation at its ends."""
+    return stripped(reread(token).lower())
 
 
 def skeleton(word: str) -> str:
@@ -81,7 +92,11 @@ def _letters(word: str) -> int:
 
 
 class Lexicon:
-    """Word ids: evaluation words have their own, any other word a negative one that depends on its letters."""
+    """Word ids: evaluation words have their own, any other word a negative one that depends on its letters.
+
+    letters keeps the spelling of the other words met since the last forget(), which must not be called while streams
+    that hold them are in use.
+    """
 
     def __init__(self, words: list[str], other: frozenset[str]) -> None:
         self.words = words
@@ -94,9 +109,16 @@ class Lexicon:
         for w in words:
             self.by_shape[len(w), w[:1]].append((_letters(w), w))
             self.by_shape[len(w), "", w[-1:]].append((_letters(w), w))
+        #: A reading is at most two letters longer than its word, or twice as long where single letters were read as two.
+        self.longest = 2 * max(map(len, words), default=0) + 2
         self.cache: dict[str, int] = {}
         self.letters: dict[int, str] = {}
 
+    def forget(self, most: int) -> None:
+        if len(self.cache) > most:
+            self.cache.clear()
+            self.letters.clear()
+
     def _meant(self, word: str) -> int | None:
         found = self.by_skeleton.get(skeleton(word), -1)
         if found >= 0:
@@ -119,11 +141,11 @@ class Lexicon:
             return None
         if spelled in self.ids:
             return self.ids[spelled]
-        if spelled not in self.other and len(spelled) <= 24 and sum(map(str.isdigit, spelled)) <= len(spelled) / 2:
+        if spelled not in self.other and len(spelled) <= self.longest and sum(map(str.isdigit, spelled)) <= len(spelled) / 2:
             if not spelled.isascii():
                 for code in _ENCODINGS:
                     try:
-                        again = _EDGE.sub("", token.encode(code).decode("cp1252").lower())
+                        again = stripped(token.encode(code).decode("cp1252").lower())
                     except (UnicodeEncodeError, UnicodeDecodeError):
                         continue
                     if again in self.ids:
@@ -139,9 +161,6 @@ class Lexicon:
         try:
             return self.cache[token]
         except KeyError:
-            if len(self.cache) > 300_000:
-                self.cache.clear()
-                self.letters.clear()
             found = self.cache[token] = self._resolve(token)
             return found
 
@@ -163,27 +182,26 @@ def hash_word(word: str) -> int:
 
 def _overlap(before: list[int], new: list[int]) -> int:
     """The longest run of words that ends what was said and begins the new line, allowing one misread word in four."""
-    for k in range(min(len(before), len(new), 24), 0, -1):
-        if before[-k] == new[0] or before[-1] == new[k - 1]:
-            wrong = sum(a != b for a, b in zip(before[-k:], new[:k]))
-            if wrong <= k // 4:
-                return k
+    first, last = new[0], before[-1]
+    for k in range(min(len(before), len(new)), 0, -1):
+        if (before[-k] == first or last == new[k - 1]) and sum(map(ne, before[-k:], new[:k])) <= k // 4:
+            return k
     return 0
 
 
 def spoken(text: str, lexicon: Lexicon) -> list[int]:
     """The ids of the words a document says, in order."""
     lines: list[list[int]] = []
-    adverts = is_advert(text)
+    adverts = may_advertise(text)
     cache, resolve = lexicon.cache, lexicon.id
     pending, before = "", []
     for cue in cues(text):
         for line in cue:
             line = without_sounds(untagged(line))
-            if adverts and is_advert(line):
+            if adverts and advertises(line):
                 continue
             if ":" in line:
-                line = _SPEAKER.sub("", line)
+                line = unlabelled(line)
             tokens = line.split() if line.isascii() else _TOKEN.findall(line)
             if not tokens:
                 continue
@@ -217,66 +235,56 @@ def spoken(text: str, lexicon: Lexicon) -> list[int]:
     return out
 
 
+def item_words(text: str) -> list[str]:
+    plain = Lexicon([], frozenset())
+    return [s for t in _TOKEN.findall(text) if plain.id(t) is not None and (s := spell(t))]
+
+
+def _choices() -> list[np.ndarray]:
+    """Places of SHOWN words among at most LEAST successive ones, the first and the last among them."""
+    return [np.array((0, *inner, span - 1)) for span in range(SHOWN, LEAST + 1) for inner in combinations(range(1, span - 1), SHOWN - 2)]
+
+
 class Index:
-    """Fingerprints of the items' windows under each of their four blocks."""
-
-    def __init__(self, items: list[tuple[int, str]], other: frozenset[str]) -> None:
-        plain = Lexicon([], frozenset())
-        texts = []
-        for item_id, text in items:
-            words = [s for t in _TOKEN.findall(text) if (plain.id(t)) is not None and (s := spell(t))]
-            if len(words) >= LEAST:
-                texts.append((item_id, words))
-        vocabulary = sorted({w for _, ws in texts for w in ws})
-        self.lexicon = Lexicon(vocabulary, other - set(vocabulary))
+    """Fingerprints of the windows of some items, as ids and words, under each of their four blocks.
+
+    lexicon, weights: of all items, see prepared().
+    """
+
+    def __init__(self, items: list[tuple[int, list[str]]], lexicon: Lexicon, weights: np.ndarray) -> None:
+        self.lexicon = lexicon
         rng = np.random.default_rng(20250302)
-        self.planes = rng.choice(np.array([-1, 1], np.int8), (len(vocabulary) + _UNKNOWN_ROWS, _BITS))
-        count: dict[str, int] = defaultdict(int)
-        for _, ws in texts:
-            for w in set(ws):
-                count[w] += 1
-        self.weight = np.array([np.log(1 + len(texts) / count[w]) for w in vocabulary] or [1.0])
-        self.item_ids = np.array([i for i, _ in texts], np.int64)
-        self.items = [np.array([self.lexicon.ids[w] for w in ws], np.int64) for _, ws in texts]
-        prints, owner, place = [], [], []
-        for n, ids in enumerate(self.items):
-            f = self.fingerprints(ids)
-            prints.append(f)
-            owner.append(np.full(len(f), n))
-            place.append(np.arange(len(f)))
-        self.prints = np.concatenate(prints) if prints else np.empty(0, np.uint64)
-        self.owner = np.concatenate(owner) if owner else np.empty(0, np.int64)
-        self.place = np.concatenate(place) if place else np.empty(0, np.int64)
-        runs = [self._runs(ids) for ids in self.items]
-        keys = np.concatenate(runs) if runs else np.empty(0, np.int64)
-        order = np.argsort(keys, kind="stable")
-        self.runs = keys[order]
-        self.run_owner = np.concatenate([np.full(len(r), n) for n, r in enumerate(runs)])[order] if runs else np.empty(0, np.int64)
-        self.run_place = np.concatenate([np.arange(len(r)) for r in runs])[order] if runs else np.empty(0, np.int64)
+        self.planes = rng.choice(np.array([-1, 1], np.int8), (len(lexicon.words) + 1, _BITS))
+        self.item_ids = np.array([i for i, _ in items], np.int64)
+        self.items = [np.array([lexicon.ids[w] for w in ws], np.int64) for _, ws in items]
+        self.shingles = [np.convolve(weights[ids], np.ones(SHINGLE), "valid") for ids in self.items]
+        words = np.concatenate(self.items) if items else np.empty(0, np.int64)
+        owner = np.repeat(np.arange(len(items)), [len(x) for x in self.items])
+        place = np.concatenate([np.arange(len(x)) for x in self.items]) if items else np.empty(0, np.int64)
+        prints, at = [], []
+        for choice in _choices():
+            n = len(words) - choice[-1]
+            starts = np.flatnonzero(owner[: max(n, 0)] == owner[len(owner) - max(n, 0) :])
+            prints.append(self.fingerprints(words[starts[:, None] + choice]))
+            at.append(starts)
+        self.prints = np.concatenate(prints)
+        at = np.concatenate(at)
+        self.owner, self.place = owner[at], place[at]
         self.blocks = []
         for b in range(_BITS // BLOCK_BITS):
             value = ((self.prints >> np.uint64(b * BLOCK_BITS)) & np.uint64(0xFFFF)).astype(np.int64)
-            order = np.argsort(value, kind="stable")
+            order = np.argsort(value, kind="stable").astype(np.int32)
             self.blocks.append((order, np.concatenate(([0], np.cumsum(np.bincount(value, minlength=1 << BLOCK_BITS))))))
 
-    def _runs(self, ids: np.ndarray) -> np.ndarray:
-        """A key of each run of three words; negative where one is no evaluation word."""
-        a, b, c = ids[:-2], ids[1:-1], ids[2:]
-        n = len(self.lexicon.words)
-        return np.where((a >= 0) & (b >= 0) & (c >= 0), (a * n + b) * n + c, -1)
-
-    def fingerprints(self, ids: np.ndarray) -> np.ndarray:
-        """SimHash of each window of WINDOW words."""
-        n = len(ids) - WINDOW + 1
-        if n <= 0:
+    def fingerprints(self, windows: np.ndarray) -> np.ndarray:
+        """SimHash of windows of SHOWN known words, one a row."""
+        if not len(windows):
             return np.empty(0, np.uint64)
-        rows = np.where(ids >= 0, ids, len(self.lexicon.words) + (-1 - ids) % _UNKNOWN_ROWS)
-        signs = self.planes[rows]
-        total = signs[:n].copy()
-        for k in range(1, WINDOW):
-            total += signs[k : n + k]
+        total = self.planes[windows[:, 0]].copy()
+        for k in range(1, windows.shape[1]):
+            total += self.planes[windows[:, k]]
         # Ties at zero are broken by the window's first word, the same way on both sides.
-        bits = (total > 0) | ((total == 0) & (signs[:n] > 0))
+        bits = (total > 0) | ((total == 0) & (self.planes[windows[:, 0]] > 0))
         return np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel()
 
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -293,31 +301,33 @@ class Index:
             found_of.append(of[near])
         return np.concatenate(found_at), np.concatenate(found_of)
 
-    def longest(self, item: np.ndarray, words: np.ndarray, place: int, at: int) -> tuple[int, float]:
-        """Words of the item matched in order around the window, and the weighted similarity of the matched words, 0.5 at least."""
+    def aligned(self, item: np.ndarray, words: np.ndarray, place: int, at: int) -> tuple[int, int]:
+        """The item's words, first to last plus one, that the document says in order around the place."""
         same = self.lexicon.same
 
-        def extend(i: int, j: int, step: int) -> tuple[int, list[tuple[int, int]]]:
-            pairs: list[tuple[int, int]] = []
+        def extend(i: int, j: int, step: int) -> int:
             while 0 <= i < len(item) and 0 <= j < len(words):
                 if same(item[i], words[j]):
-                    pairs.append((i, j))
                     i, j = i + step, j + step
                 elif words[j] < 0 and 0 <= j + step < len(words) and same(item[i], words[j + step]):
                     j += step  # a stray piece between two words of the passage
                 elif words[j] < 0 and self._pieces(item[i], words, j, step):
-                    pairs.append((i, j))
                     i, j = i + step, j + 2 * step
                 else:
                     break
-            return i, pairs
+            return i
+
+        return extend(place - 1, at - 1, -1) + 1, extend(place, at, 1)
 
-        _, ahead = extend(place, at, 1)
-        _, back = extend(place - 1, at - 1, -1)
-        matched = back + ahead
-        weights = [self.weight[item[i]] for i, _ in matched]
-        exact = [w if item[i] == words[j] else 0.5 * w for w, (i, j) in zip(weights, matched)]
-        return len(matched), sum(exact) / max(sum(weights), 1e-9)
+    def similarity(self, n: int, place: int, first: int, end: int) -> float:
+        """The greatest share of its shingles' weight that a window of the item over the place has among the words first to end."""
+        weight = self.shingles[n]
+        best = 0.0
+        for start in range(max(0, place - LEAST + 1), min(place, len(self.items[n]) - LEAST) + 1):
+            whole = weight[start : start + LEAST - SHINGLE + 1].sum()
+            shared = weight[max(start, first) : max(min(start + LEAST, end) - SHINGLE + 1, 0)].sum()
+            best = max(best, float(shared / whole))
+        return best
 
     def _pieces(self, word: int, words: np.ndarray, j: int, step: int) -> bool:
         """Two neighbouring tokens that together are the word."""
@@ -328,84 +338,133 @@ class Index:
         joined, meant = "".join(spell), self.lexicon.words[word]
         return joined == meant or skeleton(joined) == skeleton(meant)
 
-    def leaks(self, streams: list[list[int]]) -> list[tuple[int, int]]:
+    def leaks(self, streams: list[np.ndarray]) -> list[tuple[int, int]]:
         """(stream, item) of each passage found."""
-        lengths = np.array([len(s) for s in streams])
-        if lengths.sum() < 3 or not len(self.prints):
+        if not streams or not len(self.prints):
             return []
-        words = np.concatenate([np.array(s, np.int64) for s in streams])
-        start = np.concatenate(([0], np.cumsum(lengths)))
-        stream = np.repeat(np.arange(len(streams)), lengths)
-        known = np.convolve(words >= 0, np.ones(WINDOW, int), "valid") if len(words) >= WINDOW else np.empty(0, int)
-        whole = np.flatnonzero((known >= WINDOW - 1) & (stream[: len(known)] == stream[WINDOW - 1 :]))
-        at, of = self.candidates(self.fingerprints(words)[whole])
-        at = whole[at]
-        # Passages whose unread words leave no window: three such words in twelve leave three others in a row.
-        keys = self._runs(words)
-        keys[stream[: len(keys)] != stream[2:]] = -1
-        low = np.searchsorted(self.runs, keys)
-        n_runs = np.where(keys >= 0, np.searchsorted(self.runs, keys, "right") - low, 0)
-        run_at = np.repeat(np.arange(len(keys)), n_runs)
-        run_of = np.arange(len(run_at)) - np.repeat(np.cumsum(n_runs) - n_runs, n_runs) + np.repeat(low, n_runs)
-        # Every pair is tried: those before a replaced word share the diagonal with those after it. A try that fails ends within a few words of LEAST.
-        tries = np.stack((np.concatenate((at, run_at)), np.concatenate((self.owner[of], self.run_owner[run_of])), np.concatenate((self.place[of], self.run_place[run_of]))))
+        words = np.concatenate(streams)
+        start = np.concatenate(([0], np.cumsum([len(s) for s in streams])))
+        known = np.flatnonzero(words >= 0)
+        if len(known) < SHOWN:
+            return []
+        stream = np.searchsorted(start, known, "right") - 1
+        first = np.flatnonzero(stream[: len(known) - SHOWN + 1] == stream[SHOWN - 1 :])
+        at, of = self.candidates(self.fingerprints(words[known][first[:, None] + np.arange(SHOWN)]))
+        at = first[at]
+        tries = np.stack((known[at], self.owner[of], self.place[of], stream[at]))
         tries = np.unique(tries, axis=1) if tries.size else tries
         out: set[tuple[int, int]] = set()
-        for a, n, place in tries.T.tolist():
-            s = int(stream[a])
+        for a, n, place, s in tries.T.tolist():
             if (s, n) in out:
                 continue
-            own = words[start[s] : start[s + 1]]
-            matched, similarity = self.longest(self.items[n], own, place, int(a - start[s]))
-            if matched >= LEAST and similarity >= 0.5:
+            begin, end = self.aligned(self.items[n], words[start[s] : start[s + 1]], place, int(a - start[s]))
+            if self.similarity(n, place, begin, end) >= LIMIT - 1e-9:
                 out.add((s, n))
         return sorted(out)
 
 
-_STREAM_WORDS = 50_000
+#: Words of streams searched together, and tokens whose meaning a task keeps; neither changes what is found.
+_STREAM_WORDS, _KNOWN_TOKENS = 50_000, 300_000
+_STREAMS = "doc_id bigint, words array<bigint>, odd array<string>"
+_PAIRS = pa.schema([("item_id", pa.int64()), ("doc_id", pa.int64())])
+
+
+def _found(index: Index, ids: list[int], streams: list[np.ndarray]) -> pa.RecordBatch:
+    found = index.leaks(streams)
+    return pa.RecordBatch.from_arrays([pa.array([int(index.item_ids[n]) for _, n in found], pa.int64()), pa.array([ids[s] for s, _ in found], pa.int64())], schema=_PAIRS)
 
 
-def _search(items: list[tuple[int, str]], other: frozenset[str]):
+def _parsed(batches: Iterator[pa.RecordBatch], lexicon: Lexicon, most: int = _STREAM_WORDS) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Documents' streams in groups; what the lexicon keeps of a group is only forgotten after it."""
+    ids, streams, n = [], [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            words = spoken(reread(text), lexicon)
+            if len(words) >= SHOWN:
+                ids.append(doc_id)
+                streams.append(np.array(words, np.int64))
+                n += len(words)
+            if n >= most:
+                yield ids, streams
+                lexicon.forget(_KNOWN_TOKENS)
+                ids, streams, n = [], [], 0
+    if ids:
+        yield ids, streams
+
+
+def _search_texts(words: list[str], other: frozenset[str], items: list, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(items, other)
+        lexicon = Lexicon(words, other)
+        index = Index(items, lexicon, weights)
+        for ids, streams in _parsed(batches, lexicon):
+            yield _found(index, ids, streams)
+
+    return run
 
-        def flush(ids: list, streams: list):
-            found = index.leaks(streams)
-            return pa.RecordBatch.from_arrays([pa.array([int(index.item_ids[n]) for _, n in found], pa.int64()), pa.array([ids[s] for s, _ in found], pa.int64())], names=["item_id", "doc_id"])
 
+def _parse(words: list[str], other: frozenset[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Lexicon(words, other)
+        for ids, streams in _parsed(batches, lexicon):
+            odd = [[None if w >= 0 else lexicon.letters[w] for w in s.tolist()] for s in streams]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(streams, pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.string()))], names=["doc_id", "words", "odd"])
+
+    return run
+
+
+def _search_streams(words: list[str], other: frozenset[str], items: list, weights: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Lexicon(words, other)
+        index = Index(items, lexicon, weights)
         for batch in batches:
-            ids, streams, n = [], [], 0
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                words = spoken(reread(text), index.lexicon)
-                if len(words) >= WINDOW:
-                    ids.append(doc_id)
-                    streams.append(words)
-                    n += len(words)
-                if n >= _STREAM_WORDS:
-                    yield flush(ids, streams)
-                    ids, streams, n = [], [], 0
-            if streams:
-                yield flush(ids, streams)
+            streams = [np.array(s, np.int64) for s in batch.column("words").to_pylist()]
+            for s, odd in zip(streams, batch.column("odd").to_pylist()):
+                lexicon.letters.update((w, o) for w, o in zip(s.tolist(), odd) if o is not None)
+            yield _found(index, batch.column("doc_id").to_pylist(), streams)
+            lexicon.letters.clear()
 
     return run
 
 
-def leaked(documents: DataFrame, items: DataFrame, other_words: DataFrame | None = None) -> DataFrame:
-    """item_id, doc_id of documents that hold a passage of an item. other_words: word; words that are never misread evaluation words."""
+def prepared(items: list[tuple[int, list[str]]], other: frozenset[str]) -> tuple[list[str], frozenset[str], np.ndarray]:
+    """Vocabulary of the items, the other words, and the weight of each word: rarer among the items, heavier."""
+    count: dict[str, int] = defaultdict(int)
+    for _, ws in items:
+        for w in set(ws):
+            count[w] += 1
+    words = sorted(count)
+    return words, other - count.keys(), np.log(1 + len(items) / np.array([count[w] for w in words] or [1.0]))
+
+
+def leaked(documents: DataFrame, items: DataFrame, other_words: DataFrame | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """item_id, doc_id of documents that hold a passage of an item.
+
+    items: the query set, held by the driver and each task. other_words: word; words that are never misread evaluation
+    words, ``MAX_COMMON`` at most.
+    """
     texts = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    other = frozenset(r[0] for r in other_words.where("word IS NOT NULL").select(F.lower("word")).distinct().limit(100_000).collect()) if other_words is not None else frozenset()
-    block: list[tuple[int, str]] = []
-    passes, size = [], 0
-    for item_id, text in items.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("bigint"), "text").distinct().toLocalIterator():
-        n = len(text.split())
-        if block and size + n > MAX_ITEM_WORDS:
-            passes.append(block)
-            block, size = [], 0
-        block.append((item_id, text))
-        size += n
-    passes.append(block)
+    other: frozenset[str] = frozenset()
+    if other_words is not None:
+        other = frozenset(r[0] for r in other_words.where("word IS NOT NULL").select(F.lower("word")).distinct().limit(MAX_COMMON + 1).collect())
+        if len(other) > MAX_COMMON:
+            raise ValueError(f"at most {MAX_COMMON:,} common words")
+    rows = items.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("bigint"), "text").distinct().toLocalIterator()
+    all_items = [(i, ws) for i, text in rows if len(ws := item_words(text)) >= LEAST]
+    words, other, weights = prepared(all_items, other)
+    blocks: list[list] = [[]]
+    size = 0
+    for item in all_items:
+        if blocks[-1] and size + len(item[1]) > block_words:
+            blocks.append([])
+            size = 0
+        blocks[-1].append(item)
+        size += len(item[1])
+    pair = "item_id bigint, doc_id bigint"
+    if len(blocks) == 1:
+        return texts.mapInArrow(_search_texts(words, other, blocks[0], weights), pair).distinct()
+    streams = materialise(texts.mapInArrow(_parse(words, other), _STREAMS), "spoken-words")
     found = None
-    for own in passes:
-        part = texts.mapInArrow(_search(own, other), "item_id bigint, doc_id bigint")
+    for block in blocks:
+        part = streams.mapInArrow(_search_streams(words, other, block, weights), pair)
         found = part if found is None else found.unionByName(part)
     return found.distinct()

@@ -1,9 +1,12 @@
 """Per-document text statistics, their quantile sketches per language, and the documents in the tails.
 
-Statistics are counts over the lines of what a document says. For each language mergeable quantile sketches
-(Greenwald-Khanna, as the engine's approximate percentiles keep them) are built map-side and merged; they turn values
-into percentiles and robust z-scores. A document in a tail of its language gets an exact check: most of its lines are
-entries of lists, rows of tables or junk, or the same one or two lines make up most of it.
+Statistics are shares and means over the lines and words of what a document says. For each language mergeable quantile
+sketches (Greenwald-Khanna, as the engine's approximate percentiles keep them) are built map-side and merged; they turn
+values into percentiles and robust z-scores. A document is no natural prose where a statistic that tells it apart, or
+several together, lie that far in the tail of its language (``TAILS``); nothing else decides.
+
+A language most of whose documents are junk must not make junk usual. The sketch's median and median absolute deviation
+of a statistic are therefore held within what natural prose can have (``PROSE``); within that range they move the tail.
 
 Defined results: a null or blank text, or one without lines, has null shares and is never found; repeated rows of a
 document are one document; a language is the declared one in its short form, told from common words where there are
@@ -15,12 +18,14 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairnflow.llm.subtitles import cues, is_advert, reread, untagged
+from cairnflow.llm.subtitles import advertises, cues, may_advertise, reread, unlabelled, untagged
 from cairnflow.session import materialise
 
 #: Other names of languages.
@@ -28,9 +33,12 @@ LANGUAGES = {"eng": "en", "en": "en", "fre": "fr", "fra": "fr", "fr": "fr", "ger
 STATS = ["n_words", "mean_word_len", "symbol_ratio", "digit_ratio", "punct_end_share", "common_share", "entry_share", "repeat_share"]
 _WORD = re.compile(r"[^\W\d_]+(?:[’'][^\W\d_]+)*")
 _ENTRY = re.compile(r"\(?\d{1,4}\s?[.):]\s|[•*·▪◦●]\s|\S+ —")
-_SPEAKER = re.compile(r"^[^\W\d_a-z][^\W\d_a-z .]{1,24}: ?(?=\S)")
-_NEUTRAL = re.compile(r"(?:[\[(][^\[(\])]{0,200}[\])]|[♪♫#\s])+")
-_CODE = re.compile(r"[A-Za-z0-9+/=]{25,}")
+_NEUTRAL = re.compile(r"(?:[\[(][^\[(\])]*[\])]|[♪♫#\s])+")
+#: What divides columns: tabs, signs other than dashes, notes and those of sentences standing alone, leaders and rules of one sign.
+_COLUMNS = re.compile(r"\t|\s[^\w\s.?!,:…\-–—\"'’“”«»¿¡♪♫#&�]{1,3}\s|([^\w\s?!�])\1{3}")
+#: What no language has: a long run with digits, signs or capitals within.
+_RUN = re.compile(r"[A-Za-z0-9+/=]{25,}")
+_CODED = re.compile(r"[0-9+/=]|[a-z][A-Z]")
 _END = ".!?…–”\"»“�"
 
 
@@ -39,11 +47,12 @@ def line_kind(line: str, common: frozenset[str], adverts: bool = True) -> int |
     s = untagged(line)
     if not s or (s[0] in "[(♪♫#" and _NEUTRAL.fullmatch(s)):
         return None
-    if adverts and is_advert(s) or _ENTRY.match(s) or "\t" in s or " = " in s or "...." in s or s.count("|") > 1 or s.count(";") > 2 or "— " in s:
+    if adverts and advertises(s) or _ENTRY.match(s) or _COLUMNS.search(s) or s.count("|") > 1 or s.count(";") > 2:
         return 0
-    if len(s) >= 25 and max(map(len, s.split())) >= 25 and _CODE.search(s):
+    if len(s) >= 25 and any(_CODED.search(run) for run in _RUN.findall(s)):
         return 0
-    s = _SPEAKER.sub("", s)
+    if ":" in s:
+        s = unlabelled(s)
     n = len(s) - s.count(" ") - s.count("’") - s.count("'")
     if n <= 0:
         return None
@@ -53,7 +62,7 @@ def line_kind(line: str, common: frozenset[str], adverts: bool = True) -> int |
     digits = 0 if letters >= n else sum(map(str.isdigit, s))
     if not m and n <= 2 and not digits:
         return None
-    if digits > 0.25 * n or n - letters - digits > 0.35 * n or not m or max(map(len, words)) > 24:
+    if digits > 0.25 * n or n - letters - digits > 0.35 * n or not m:
         return 0
     if m >= 3 and letters < 4 * m and sum(len(w) == 1 for w in words) > 0.5 * m:
         return 0
@@ -77,7 +86,7 @@ def document_stats(text: str, common: frozenset[str], by_lang: dict[str, frozens
     lines = [line for cue in cues(text) for line in cue]
     if not lines:
         return (None, 0, *[None] * (len(STATS) - 1), 0, 0, 0, 0)
-    adverts = is_advert(text)
+    adverts = may_advertise(text)
     kinds = Counter(line_kind(line, common, adverts) for line in lines)
     said = " ".join(lines)
     words = _WORD.findall(said.lower())
@@ -88,7 +97,7 @@ def document_stats(text: str, common: frozenset[str], by_lang: dict[str, frozens
     known = sum(n for w, n in counted.items() if w in common)
     best = max(hits, key=lambda k: (hits[k], k)) if hits else None
     guess = best if best and hits[best] >= 5 and hits[best] > 1.5 * max([v for k, v in hits.items() if k != best], default=0) else None
-    # "[?] [?]" says no more than "[?]".
+    # What a line says twice it says once.
     often = Counter(" ".join(dict.fromkeys(line.lower().split())) for line in lines)
     repeated = sum(n for _, n in often.most_common(2) if n >= 4)
     judged = kinds[0] + kinds[1]
@@ -133,6 +142,24 @@ def statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
 
 GRID = [i / 40 for i in range(41)]
 
+#: What natural prose can have in a statistic: ranges of its median and of its median absolute deviation among the
+#: documents of a language. A share can't be told more finely than a line in twenty.
+PROSE = {
+    "entry_share": ((0.0, 0.05), (0.05, 0.055)),
+    "repeat_share": ((0.0, 0.05), (0.05, 0.055)),
+    "common_share": ((0.3, 0.6), (0.02, 0.06)),
+    "symbol_ratio": ((0.0, 0.08), (0.01, 0.03)),
+    "digit_ratio": ((0.0, 0.03), (0.01, 0.02)),
+}
+#: Tails and how far, in robust deviations, each of their statistics must lie out. The first two stand alone; words that
+#: are hardly ever common ones are telling only together with signs or digits.
+TAILS = (
+    ("entries", (("entry_share", 6.0),)),
+    ("repeats", (("repeat_share", 6.0),)),
+    ("signs", (("common_share", -6.0), ("symbol_ratio", 6.0))),
+    ("numbers", (("common_share", -6.0), ("digit_ratio", 6.0))),
+)
+
 
 #: Stands for all languages together; it also scores documents of no known language and of rare ones.
 POOLED = "*"
@@ -156,12 +183,21 @@ def _per_group(found: DataFrame) -> DataFrame:
     return F.broadcast(found.withColumnRenamed("language", "sketch_of"))
 
 
-def _against(rows: DataFrame, prefix: str, names: list[str]) -> DataFrame:
+def _rank(value, grid: str):
+    """Mid-rank of a value on a sketch's grid, 0 to 1."""
+    below, upto = F.size(F.filter(grid, lambda x: x < value)), F.size(F.filter(grid, lambda x: x <= value))
+    return (below + upto) / (2 * len(GRID))
+
+
+def _against(rows: DataFrame, names: list[str]) -> DataFrame:
     for s in names:
-        v, grid = F.col(s).cast("double"), f"q_{s}"
-        below, upto = F.size(F.filter(grid, lambda x, v=v: x < v)), F.size(F.filter(grid, lambda x, v=v: x <= v))
-        rows = rows.withColumn(f"{prefix}pct_{s}", F.when(v.isNotNull(), (below + upto) / (2 * len(GRID))))
-        rows = rows.withColumn(f"{prefix}z_{s}", F.when(v.isNotNull(), (v - F.col(grid)[20]) / (F.greatest(F.col(f"mad_{s}"), F.lit(1e-3)) * 1.4826)))
+        value = F.col(s).cast("double")
+        middle, away = F.col(f"q_{s}")[20], F.col(f"mad_{s}")
+        if s in PROSE:
+            (low, high), (least, most) = PROSE[s]
+            middle, away = F.greatest(F.least(middle, F.lit(high)), F.lit(low)), F.greatest(F.least(away, F.lit(most)), F.lit(least))
+        rows = rows.withColumn(f"pct_{s}", F.when(value.isNotNull(), _rank(value, f"q_{s}")))
+        rows = rows.withColumn(f"z_{s}", F.when(value.isNotNull(), (value - middle) / (F.greatest(away, F.lit(1e-3)) * 1.4826)))
     return rows.drop("n_documents", *[f"q_{s}" for s in names], *[f"mad_{s}" for s in names])
 
 
@@ -172,20 +208,18 @@ def scored(stats: DataFrame, names: list[str] = STATS) -> DataFrame:
     ranked = [r[0] for r in own.select("language").collect()]
     group = F.when(F.col("language").isin(*ranked), F.col("language")).otherwise(F.lit(POOLED))
     wide = stats.withColumn("sketch_of", group).join(_per_group(found), "sketch_of")
-    return _against(wide, "", names).select(*stats.columns, *[f"{k}_{s}" for s in names for k in ("pct", "z")])
+    return _against(wide, names).select(*stats.columns, *[f"{k}_{s}" for s in names for k in ("pct", "z")])
+
+
+def in_tails(scores: DataFrame, tails: tuple = TAILS) -> DataFrame:
+    """The documents that all statistics of one of the tails put into it, with the names of those tails."""
+    tests = []
+    for name, parts in tails:
+        far = [F.col(f"z_{s}") >= z if z > 0 else F.col(f"z_{s}") <= z for s, z in parts]
+        tests.append(F.when(reduce(and_, far), F.lit(name)))
+    return scores.withColumn("tails", F.array_compact(F.array(*tests))).where(F.size("tails") > 0)
 
 
 def not_prose(stats: DataFrame) -> DataFrame:
-    """Documents in a tail of their language, or of all documents, whose lines, counted exactly, are mostly entries, rows or junk."""
-    names = ["entry_share", "repeat_share"]
-    found = materialise(sketches(stats, names), "doc-sketches")
-    rows = _against(stats.withColumn("sketch_of", F.col("language")).join(_per_group(found), "sketch_of"), "own_", names).drop("sketch_of")
-    pooled = found.where(F.col("language") == POOLED).first()
-    for s in names:
-        grid, mad = (pooled[f"q_{s}"], pooled[f"mad_{s}"]) if pooled else (None, None)
-        rows = rows.withColumn(f"q_{s}", F.lit(grid).cast("array<double>")).withColumn(f"mad_{s}", F.lit(mad).cast("double"))
-    rows = _against(rows, "all_", names)
-    tail = [(F.col(f"{group}_pct_{s}") >= 0.6) | (F.col(f"{group}_z_{s}") >= 1) for group in ("own", "all") for s in names]
-    tail = tail[0] | tail[1] | tail[2] | tail[3]
-    exact = (F.col("n_entries") > F.col("n_prose")) | (F.col("repeat_share") > 0.5)
-    return rows.where(F.coalesce(tail, F.lit(False)) & exact)
+    """Documents that lie in a tail of their language, or, where that has few documents or is unknown, of all documents."""
+    return in_tails(scored(stats, [*PROSE]))

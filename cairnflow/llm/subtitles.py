@@ -5,11 +5,14 @@ from __future__ import annotations
 import re
 
 _MICRO = re.compile(r"\{\d*\}\{\d*\}")
-_TAG = re.compile(r"</?[a-zA-Z][^<>]{0,40}>|\{\\[^{}]{0,40}\}")
-#: Marks of a line that advertises or credits the file itself.
-ADVERT = re.compile(r"https?:|www\.|\.example\b|\.com\b|\.org\b|\.net\b|@\w+\.|\*\*\* .{0,120} \*\*\*|\bsubtitles?\b.{0,120}\b(by|for)\b|\brip by\b|\brate this\b|\bsynced\b|\bcorrected by\b|\bfree subs\b|\bvip member\b|\badvertise\b", re.I)
-_ADVERT_HINTS = ("http", "www.", ".example", ".com", ".org", ".net", "@", "***", "subtitle", "rip by", "rate this", "synced", "corrected by", "free subs", "vip member", "advertise")
-_SOUND = re.compile(r"[\[(][^\[(\])]{0,200}[\])]|[♪♫#]+|â™ª|Ã¢â„¢Âª")
+_TAG = re.compile(r"</?[a-zA-Z][^<>]*>|\{\\[^{}]*\}")
+#: A web address or one's host name: names of two letters or more joined by dots, lower case, standing alone or after a scheme, "www." or "@".
+_ADDRESS = re.compile(r"https?:|www\.|@\w+\.|(?<![\w.-])[a-z0-9][a-z0-9-]{2,}\.[a-z]{2,}(?:/\S*)?(?![\w.])")
+#: What is done to a subtitle file, said together with by whom.
+_MADE = re.compile(r"\b(?:subtitle[sd]?|subs|captions?|captioned|synced|synchroni[sz]ed|corrected|encoded|translated|transcribed|ripped)\b")
+_WHOM = re.compile(r"\b(?:by|for|please)\b")
+_SOUND = re.compile(r"[\[(][^\[(\])]*[\])]|[♪♫#]+|â™ª|Ã¢â„¢Âª")
+_LABEL = re.compile(r"[-–—\s\"“”'«]*[^\W\d_a-zà-ÿ]{2,}: ?(?=\S)")
 _BLANK = " \t\r\f\v﻿"
 
 
@@ -40,9 +43,30 @@ def cues(text: str) -> list[list[str]]:
     return out
 
 
-def is_advert(line: str) -> bool:
+#: Three times one sign that frames or rules a line.
+_FRAME = re.compile(r"([^\w\s.?!\-–—♪♫#])\1\1")
+
+
+def advertises(line: str) -> bool:
+    """A line about the file itself or another offer: an address, a credit, or a text framed by rows of one sign."""
+    if ("." in line or "@" in line or "http" in line) and _ADDRESS.search(line):
+        return True
     low = line.lower()
-    return any(h in low for h in _ADVERT_HINTS) and ADVERT.search(line) is not None
+    if ("b" in low or "cap" in low or "ed" in low) and _MADE.search(low) and _WHOM.search(low):
+        return True
+    frame = _FRAME.match(line)
+    return frame is not None and frame[0] in line.lstrip(frame[1])
+
+
+def may_advertise(text: str) -> bool:
+    """False only where no line of the text advertises."""
+    return _ADDRESS.search(text) is not None or _MADE.search(text.lower()) is not None or _FRAME.search(text) is not None
+
+
+def unlabelled(line: str) -> str:
+    """Without the label of the speaker at its start: a word in capitals and a colon."""
+    label = _LABEL.match(line)
+    return line[label.end() :] if label else line
 
 
 def untagged(line: str) -> str:

@@ -1,6 +1,8 @@
+import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cairnflow.llm import leakage as L
@@ -12,9 +14,15 @@ OTHER = "Her golden cousin washed another strange mirror under my narrow garden
 ITEMS = [(1, ITEM), (2, OTHER)]
 
 
+def index_of(items, other=frozenset()):
+    own = [(i, ws) for i, text in items if len(ws := L.item_words(text)) >= L.LEAST]
+    vocabulary, other, weights = L.prepared(own, other)
+    return L.Index(own, L.Lexicon(vocabulary, other), weights)
+
+
 def leaks(text, items=ITEMS):
-    index = L.Index(items, frozenset())
-    found = index.leaks([L.spoken(reread(text), index.lexicon)])
+    index = index_of(items)
+    found = index.leaks([np.array(L.spoken(reread(text), index.lexicon), np.int64)])
     return [int(index.item_ids[n]) for _, n in found]
 
 
@@ -79,7 +87,7 @@ def test_misread_and_wrongly_encoded_words():
 
 
 def test_fingerprints_within_the_radius_are_all_found():
-    index = L.Index(ITEMS, frozenset())
+    index = index_of(ITEMS)
     rng = np.random.default_rng(5)
     base = rng.integers(0, len(index.prints), 400)
     flips = np.zeros(400, np.uint64)
@@ -94,7 +102,7 @@ def test_against_every_window(spark, small):
     docs = {r.doc_id: r.text for r in queries.table(spark, small, "documents").where("text IS NOT NULL").select("doc_id", "text").collect()}
     items = [tuple(r) for r in queries.table(spark, small, "eval_items").select("item_id", "text").collect()]
     common = frozenset(r[0] for r in queries.table(spark, small, "common_words").select("word").collect())
-    index = L.Index(items, common)
+    index = index_of(items, common)
     starts = {}
     for n, ids in enumerate(index.items):
         for p in range(len(ids) - 1):
@@ -105,22 +113,85 @@ def test_against_every_window(spark, small):
         own = np.array(s, np.int64)
         for j in range(len(s) - 1):
             for n, p in starts.get((s[j], s[j + 1]), ()):
-                if index.longest(index.items[n], own, p, j)[0] >= L.LEAST:
+                begin, end = index.aligned(index.items[n], own, p, j)
+                if end - begin >= L.LEAST:
                     want.add((int(index.item_ids[n]), doc_id))
     got = [tuple(r) for r in queries.p8_found(spark, small).collect()]
     assert len(got) == len(set(got))
     assert set(got) == want and want
 
 
-def test_odd_rows(spark, monkeypatch):
+def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, ITEM, 0), (3, ITEM, 1), (None, ITEM, 0), (4, ITEM + " \0 " + "x" * 50_000, 0)], "doc_id bigint, text string, item_id int")
     items = spark.createDataFrame([(1, ITEM), (1, ITEM), (2, None), (3, "too short"), (None, OTHER)], "item_id bigint, text string")
     want = [(1, 3), (1, 4)]
     assert sorted(map(tuple, L.leaked(docs, items).collect())) == want
     assert L.leaked(docs.limit(0), items).collect() == [] == L.leaked(docs, items.limit(0)).collect()
-    monkeypatch.setattr(L, "MAX_ITEM_WORDS", 25)
     both = items.unionByName(spark.createDataFrame([(9, OTHER)], "item_id bigint, text string"))
-    assert sorted(map(tuple, L.leaked(docs, both).collect())) == want
+    assert sorted(map(tuple, L.leaked(docs, both, block_words=25).collect())) == want
+
+
+def test_the_similarity_rejects():
+    """Eleven words share seven of a window's eight shingles, a replaced word in the middle three; a candidate they are."""
+    index = index_of(ITEMS)
+    n, item = 0, index.items[0]
+    for words_, begin, end, shared in ((item[:11], 0, 11, 7), (np.r_[item[:6], -7, item[7:12]], 0, 6, 2)):
+        assert index.aligned(item, words_, 0, 0) == (begin, end)
+        weight = index.shingles[n][:8]
+        assert index.similarity(n, 0, begin, end) == pytest.approx(weight[:shared].sum() / weight.sum()) and index.similarity(n, 0, begin, end) < L.LIMIT
+        assert index.leaks([words_]) == []
+    at, of = index.candidates(index.fingerprints(item[None, :9]))
+    assert (index.owner[of] == 0).any()
+    assert index.leaks([item[:12]]) == [(0, 0)]
+
+
+def test_every_choice_of_unread_words_is_found():
+    index = index_of(ITEMS)
+    item = index.items[0]
+    for gone in itertools.combinations(range(4, 16), L.UNREAD):
+        stream = item[4:16].copy()
+        for k, g in enumerate(gone):
+            index.lexicon.letters[-1 - k] = index.lexicon.words[item[g]][:-1] + "�"
+            stream[g - 4] = -1 - k
+        assert index.leaks([stream]) == [(0, 0)], gone
+
+
+def test_blocks_and_kept_tokens_change_nothing(spark, monkeypatch, small):
+    """Which items share an index, and how many tokens' meanings a task keeps, make no difference."""
+    docs, items, common = (queries.table(spark, small, n) for n in ("documents", "eval_items", "common_words"))
+    want = sorted(map(tuple, L.leaked(docs, items, common).collect()))
+    assert want == sorted(map(tuple, L.leaked(docs, items, common, block_words=900).collect()))
+    vocabulary = [(1, ITEM.replace("wooden", "house") + " and more words to fill"), (2, OTHER.replace("golden", "hause"))]
+    index = index_of(vocabulary)
+    assert index.lexicon.id("h0use") < 0 and index.lexicon.same(index.lexicon.ids["house"], index.lexicon.id("h0use"))
+    texts = [(i, r.text) for i, r in enumerate(docs.where("text IS NOT NULL").limit(40).collect())]
+    own = [(r.item_id, L.item_words(r.text)) for r in items.collect()]
+    words_, other, weights = L.prepared(own, frozenset())
+    found = []
+    for most, group in ((0, 1), (10**9, 10**9)):
+        monkeypatch.setattr(L, "_KNOWN_TOKENS", most)
+        lexicon = L.Lexicon(words_, other)
+        index = L.Index(own, lexicon, weights)
+        batch = pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in texts], "text": [t for _, t in texts]})
+        found.append(sorted((int(index.item_ids[n]), ids[s]) for ids, streams in L._parsed(iter([batch]), lexicon, group) for s, n in index.leaks(streams)))
+    assert found[0] == found[1]
+
+
+def test_too_many_common_words_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_COMMON", 3)
+    docs, items = spark.createDataFrame([(1, "x")], "doc_id bigint, text string"), spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    with pytest.raises(ValueError):
+        L.leaked(docs, items, spark.createDataFrame([(w,) for w in "abcd"], "word string"))
+
+
+def test_long_words_tags_and_sounds():
+    long = "donaudampfschifffahrtsgesellschaftskapitaen"
+    item = (5, ITEM.replace("wooden", long))
+    assert leaks(words(12, 0, item[1]).replace(long, long.replace("ge", "qe")), [item]) == [5]
+    w = words(12).split()
+    assert leaks(" ".join(w[:6]) + " <font color=" + "x" * 90 + "> [" + "door creaks " * 40 + "] " + " ".join(w[6:])) == [1]
+    assert leaks(" ".join(w[:6]) + "\nVisit some-place.org/" + "y" * 300 + "\n" + " ".join(w[6:])) == [1]
+    assert L.stripped("¿¡" + "-" * 100_000 + "x" + "." * 100_000) == "x" and L.stripped("...") == "" == L.stripped("")
 
 
 @pytest.mark.parametrize("text", ["", "\n\n", "-->", "1\n2\n3", "{}{}", "WEBVTT", "{1}{2}|||"])

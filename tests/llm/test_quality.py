@@ -1,4 +1,6 @@
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cairnflow.llm import quality as Q
 from cairnflow.llm import queries
@@ -90,8 +92,61 @@ def test_very_long_odd_texts_take_linear_time(unit):
     from cairnflow.llm.subtitles import reread
 
     text = unit * (1_000_000 // len(unit)) + "x"
-    index = leakage.Index([(1, " ".join(f"word{c}" for c in "abcdefghijklmn"))], frozenset())
+    items = [(1, [f"word{c}" for c in "abcdefghijklmn"])]
+    vocabulary, other, weights = leakage.prepared(items, frozenset())
+    index = leakage.Index(items, leakage.Lexicon(vocabulary, other), weights)
     began = time.process_time()
     Q.document_stats(text, ALL, COMMON)
-    index.leaks([leakage.spoken(reread(text), index.lexicon)])
+    index.leaks([np.array(leakage.spoken(reread(text), index.lexicon), np.int64)])
     assert time.process_time() - began < 10
+
+
+def documents(spark, texts, lang="en"):
+    words = spark.createDataFrame([(k, w) for k, ws in COMMON.items() for w in ws], "lang string, word string")
+    return Q.statistics(spark.createDataFrame([(i, lang, t) for i, t in enumerate(texts)], "doc_id bigint, lang string, text string"), words)
+
+
+def test_junk_is_found_whatever_the_rest_is(spark):
+    """Tables of junk alone, of one document, and of mostly junk: the usual is held within what prose can have."""
+    junk_texts = ["\n".join(lines) for lines in JUNK.values()]
+    want = set(range(len(junk_texts)))
+    assert {r.doc_id for r in Q.not_prose(documents(spark, junk_texts)).collect()} == want
+    assert {r.doc_id for r in Q.not_prose(documents(spark, junk_texts + [PROSE] * 3)).collect()} == want
+    assert [r.doc_id for r in Q.not_prose(documents(spark, junk_texts[:1])).collect()] == [0]
+    assert Q.not_prose(documents(spark, [PROSE])).count() == 0
+
+
+def test_the_tails_alone_decide(spark):
+    stats = documents(spark, [PROSE] * 30 + ["\n".join(lines) for lines in JUNK.values()])
+    scores = Q.scored(stats, [*Q.PROSE])
+    found = {r.doc_id: set(r.tails) for r in Q.in_tails(scores).collect()}
+    assert set(found) == set(range(30, 30 + len(JUNK)))
+    assert Q.in_tails(scores, Q.TAILS[1:2]).count() < len(JUNK) and {"entries", "repeats", "signs", "numbers"} == set().union(*found.values())
+    # Without a tail's limit everything is found, beyond every value nothing.
+    assert Q.in_tails(scores, (("all", (("entry_share", 1e-9),)), ("none", (("entry_share", -1e9),)))).count() == sum(r.entry_share > 0 for r in scores.collect() if r.entry_share is not None)
+    assert Q.in_tails(scores, (("far", (("entry_share", 1e9),)),)).count() == 0
+
+
+def test_the_language_s_sketch_moves_the_tail(spark):
+    """Half entries are far out where a language has none, and less far where every document has some."""
+    fields = {s: 0.0 for s in Q.STATS} | {"common_share": 0.4}
+
+    def scores(usual):
+        rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("en").alias("language"), *[F.lit(v).alias(s) for s, v in fields.items() if s != "entry_share"], F.when(F.col("id") == 0, 0.5).otherwise((F.col("id") % 3) * usual).alias("entry_share"))
+        return Q.scored(rows, [*Q.PROSE])
+
+    clean, mixed = (scores(u).where("doc_id = 0").first() for u in (0.0, 0.1))
+    assert clean.z_entry_share > 6 > mixed.z_entry_share
+    assert Q.in_tails(scores(0.0)).count() == 1 and Q.in_tails(scores(0.1)).count() == 0
+
+
+def test_percentiles_are_ranks(spark):
+    rows = spark.range(1001).select(F.col("id").alias("doc_id"), F.lit("en").alias("language"), *[(F.col("id") / 1000).alias(s) for s in Q.STATS])
+    got = {r.doc_id: r.pct_symbol_ratio for r in Q.scored(rows).collect()}
+    assert all(abs(got[i] - i / 1000) < 0.03 for i in range(1001))
+
+
+def test_long_words_are_words():
+    kinds = [Q.line_kind(line, ALL) for line in ("der Donaudampfschifffahrtsgesellschaftskapitän und wir", "we saw the " + "x" * 300, "Rindfleischetikettierungsüberwachungsaufgabe!")]
+    assert kinds == [1, 1, 1]
+    assert Q.line_kind("[" + "a long sound " * 60 + "]", ALL) is None
