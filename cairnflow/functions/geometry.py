@@ -302,3 +302,51 @@ def triangle_slope(a: tuple, b: tuple, c: tuple) -> tuple[Column, Column]:
     nx, ny, nz = uy * vz - uz * vy, uz * vx - ux * vz, ux * vy - uy * vx
     sign = F.when(nz < 0, -1.0).otherwise(1.0)
     return F.degrees(F.atan2(F.sqrt(nx * nx + ny * ny), F.abs(nz))), azimuth(nx * sign, ny * sign)
+
+
+def endpoints(points: Column) -> Column:
+    """First and last point of a polyline; null for an empty one."""
+    return F.when(F.size(points) > 0, F.array(F.get(points, F.lit(0)), F.element_at(points, -1)))
+
+
+def is_endpoint(points: Column, px: Column, py: Column, tolerance: float = 1e-8) -> Column:
+    return F.exists(endpoints(points), lambda e: distance(e["x"], e["y"], px, py) <= tolerance)
+
+
+def line_parts(geom: Column) -> Column:
+    """The polylines of a geometry: the parts of lines and multilines of two points or more; none of anything else."""
+    lines = F.lower(geom["kind"]).isin("line", "linestring", "multilinestring")
+    return F.when(lines, F.filter(geom["parts"], lambda p: F.size(p) >= 2)).otherwise(F.slice(geom["parts"], 1, 0))
+
+
+def ring_is_valid(ring: Column) -> Column:
+    """Whether a ring is closed, has at least three different points and an area, and no two of its edges meet but at their common point.
+
+    Every pair of edges of a ring is looked at, so this is for rings of up to some hundreds of points.
+    """
+    edges = F.zip_with(F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")))
+    edges = F.filter(edges, lambda e: (e["ax"] != e["bx"]) | (e["ay"] != e["by"]))
+
+    def side(e: Column, x: Column, y: Column) -> Column:
+        return F.signum(cross(e["bx"] - e["ax"], e["by"] - e["ay"], x - e["ax"], y - e["ay"]))
+
+    def on(e: Column, x: Column, y: Column) -> Column:
+        return (side(e, x, y) == 0) & x.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"])) & y.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"]))
+
+    def meet(e: Column, f: Column) -> Column:
+        proper = (side(e, f["ax"], f["ay"]) * side(e, f["bx"], f["by"]) < 0) & (side(f, e["ax"], e["ay"]) * side(f, e["bx"], e["by"]) < 0)
+        return proper | on(e, f["ax"], f["ay"]) | on(e, f["bx"], f["by"]) | on(f, e["ax"], e["ay"]) | on(f, e["bx"], e["by"])
+
+    n = F.size(edges)
+    numbered = F.transform(edges, lambda e, i: F.struct(e.alias("e"), i.alias("i")))
+
+    def clash(a: Column, b: Column) -> Column:
+        apart = b["i"] - a["i"]
+        # Neighbours meet at one point; they clash where one turns back onto the other.
+        back = on(a["e"], b["e"]["bx"], b["e"]["by"]) | on(b["e"], a["e"]["ax"], a["e"]["ay"])
+        closing = on(b["e"], a["e"]["bx"], a["e"]["by"]) | on(a["e"], b["e"]["ax"], b["e"]["ay"])
+        return F.when(apart <= 0, False).when(apart == 1, back).when(apart == n - 1, closing).otherwise(meet(a["e"], b["e"]))
+
+    first, last = F.get(ring, F.lit(0)), F.element_at(ring, -1)
+    closed = (first["x"] == last["x"]) & (first["y"] == last["y"])
+    return F.when(F.size(ring) < 4, False).otherwise(closed & (n >= 3) & (signed_area(ring) != 0) & ~F.exists(numbered, lambda a: F.exists(numbered, lambda b: clash(a, b))))

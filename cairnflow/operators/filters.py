@@ -79,6 +79,34 @@ def describe(conditions: dict[str, Any]) -> str:
     return " AND ".join(f"{n} {OPERATORS[c.operator]} {list(c.value) if isinstance(c.value, (list, tuple, set)) else c.value}" for n, c in parse_conditions(conditions).items())
 
 
+#: Sideways distance of a lane line from the vehicle, up to which it is sampled, and where along the way from which distance on.
+SIDEWAYS_LIMIT = 6.0
+ALONG = ((3.0, 4.0, 14.0), (6.0, 6.0, 16.0), (9.0, 8.0, 18.0), (12.0, 10.0, 20.0), (22.0, 14.0, 24.0))
+ALONG_BEYOND = (16.0, 26.0)
+#: Fixed value: a scan file of fewer bytes is a bad one.
+WHOLE_SCAN_BYTES = 500 * 1024
+
+
+def sampling_window(sideways: Column, limit: float = SIDEWAYS_LIMIT) -> Column:
+    """Struct start, end: the stretch ahead in which a line at this sideways distance is sampled; null beyond the limit."""
+    y = F.abs(sideways)
+    window = F.struct(F.lit(ALONG_BEYOND[0]).alias("start"), F.lit(ALONG_BEYOND[1]).alias("end"))
+    for below, start, end in reversed(ALONG):
+        window = F.when(y < below, F.struct(F.lit(start).alias("start"), F.lit(end).alias("end"))).otherwise(window)
+    return F.when(y <= limit, window)
+
+
+def whole_scans(files: DataFrame, size: str, least: int = WHOLE_SCAN_BYTES) -> DataFrame:
+    """The scans of at least so many bytes; a file of unknown size is none."""
+    return files.where(F.col(size) >= least)
+
+
+def bad_share(bad: Column, total: Column) -> Column:
+    """Percentage of bad in all as text, rounded half to even to two places and without trailing zeros but one; blank without any."""
+    share = F.bround(100 * bad / F.nullif(total, F.lit(0)), 2)
+    return F.when(total > 0, F.concat(share.cast("string"), F.lit("%"))).otherwise("")
+
+
 def first_match(name: Column, mapping: dict[str, str], partial: bool = False) -> Column:
     """The new name of a file: the first key its name contains decides; partial keeps the extension."""
     extension = F.regexp_extract(name, r"(\.[^.]*)$", 1)

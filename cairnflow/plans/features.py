@@ -9,6 +9,7 @@ from cairnflow.functions import geometry as G
 from cairnflow.operators import cluster
 from cairnflow.operators import mapping as M
 from cairnflow.operators import sequence as S
+from cairnflow.operators import scope
 from cairnflow.operators import spatial as J
 from cairnflow.operators import references as R
 from cairnflow.plans.catalog import Catalog
@@ -266,5 +267,78 @@ def h3_places(spark: SparkSession, d: str) -> DataFrame:
     """Places of trails: clusters of their positions at most 5 m apart."""
     return cluster.dbscan(trail_points(spark, d).select("id", "x", "y").distinct(), "id", ["x", "y"], 5.0, 1)
 
+# Scope of lanes and roads, points along a line, isolated points, ends and validity of geometries
+
+_SIDE = f"(SELECT fid, ((b.x - a.x) * (c.y - {{o}}.y) - (b.y - a.y) * (c.x - {{o}}.x)) / -sqrt(pow(b.x - a.x, 2) + pow(b.y - a.y, 2)) AS s FROM (SELECT fid, ring[1] AS a, ring[2] AS b, ring[3] AS c FROM {_cur('lane_lines')} WHERE len(ring) >= 3) WHERE a.x <> b.x OR a.y <> b.y)"
+
+
+def _three(spark: SparkSession, d: str) -> tuple[DataFrame, tuple, tuple, tuple, tuple]:
+    """Lane lines of three points: the first two as edges and direction, the third as the target."""
+    rows = current(spark, d, "lane_lines").where("size(ring) >= 3").select("fid", *[F.col("ring")[i].alias(n) for i, n in enumerate("abc")]).where("a.x <> b.x OR a.y <> b.y")
+    a, b, c = ((F.col(f"{n}.x"), F.col(f"{n}.y")) for n in "abc")
+    return rows, a, b, c, (b[0] - a[0], b[1] - a[1])
+
+
+@add(f"SELECT l.fid, l.s + 0.5 >= 0 AND r.s - 0.5 <= 0 AS inside FROM {_SIDE.format(o='a')} l JOIN {_SIDE.format(o='b')} r ON l.fid = r.fid")
+def f21_lane_scope(spark: SparkSession, d: str) -> DataFrame:
+    rows, a, b, c, way = _three(spark, d)
+    return rows.select("fid", scope.in_lane(c, a, b, way, 0.5).alias("inside"))
+
+
+@add(f"SELECT fid, abs(s) <= 3.5 / 2 + 0.25 AS inside FROM {_SIDE.format(o='a')}")
+def f22_stop_lines(spark: SparkSession, d: str) -> DataFrame:
+    rows, a, _, c, way = _three(spark, d)
+    return rows.select("fid", scope.stop_line_in_lane(c, a, way, F.lit(3.5), 0.25).alias("inside"))
+
+
+@add(f"SELECT l.fid, l.s + 0.5 >= 0 AS anywhere, l.s + 0.5 >= 0 AND r.s + 0.5 >= 0 AS right_side, l.s + 0.5 >= 0 AND r.s - 0.5 < 0 AS left_side, l.s + 0.5 >= 0 AS without_middle FROM {_SIDE.format(o='a')} l JOIN {_SIDE.format(o='b')} r ON l.fid = r.fid")
+def f23_road_scope(spark: SparkSession, d: str) -> DataFrame:
+    rows, a, b, c, way = _three(spark, d)
+    none = (F.lit(None).cast("double"), F.lit(None).cast("double"))
+    modes = [scope.in_road(c, a, none, b, way, 0.5, m) for m in (0, 1, 2)]
+    return rows.select("fid", *[m.alias(n) for m, n in zip(modes, ("anywhere", "right_side", "left_side"))], scope.in_road(c, a, none, none, way, 0.5, 1).alias("without_middle"))
+
+
+@add(
+    f"""WITH e AS (SELECT line, row_number() OVER (PARTITION BY line ORDER BY seq) - 1 AS k, ax, ay, bx, by_ FROM (SELECT line, seq, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by_ FROM {_vert('lane_lines')} WINDOW w AS (PARTITION BY line ORDER BY seq)) WHERE bx IS NOT NULL),
+ p AS (SELECT concat_ws('#', line, seq) AS id, x + 5 AS x, y + 5 AS y FROM {_vert('lane_lines')} WHERE x IS NOT NULL AND y IS NOT NULL),
+ n AS (SELECT id, line, k, CASE WHEN q > 0 THEN least(1, greatest(0, ((x - ax) * ux + (y - ay) * uy) / q)) ELSE 0 END AS t, x, y, ax, ay, ux, uy, q, max(k) OVER (PARTITION BY line) AS last FROM (SELECT p.id, p.x, p.y, e.*, bx - ax AS ux, by_ - ay AS uy, pow(bx - ax, 2) + pow(by_ - ay, 2) AS q FROM p JOIN e ON p.x BETWEEN least(ax, bx) - 30 AND greatest(ax, bx) + 30 AND p.y BETWEEN least(ay, by_) - 30 AND greatest(ay, by_) + 30)),
+ m AS (SELECT *, sqrt(pow(x - ax - t * ux, 2) + pow(y - ay - t * uy, 2)) AS distance FROM n), l AS (SELECT line, max(k) AS last FROM e GROUP BY line),
+ b AS (SELECT * FROM m WHERE distance <= 30 QUALIFY row_number() OVER (PARTITION BY id, line ORDER BY distance, k) = 1)
+ SELECT id, b.line, round(distance, 6) AS distance FROM b JOIN l ON b.line = l.line WHERE NOT (k = 0 AND t * sqrt(q) < 1e-5) AND NOT (k = l.last AND (1 - t) * sqrt(q) < 1e-5)"""
+)
+def f15_along_line(spark: SparkSession, d: str) -> DataFrame:
+    """The lane lines' points, moved by 5 m, within 30 m beside a lane line."""
+    w = Window.partitionBy("line").orderBy("seq")
+    edges = lines(spark, d).select("line", (F.row_number().over(w) - 1).alias("k"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.lead("x").over(w).alias("bx"), F.lead("y").over(w).alias("by")).where("bx IS NOT NULL")
+    near = lines(spark, d).select(F.concat_ws("#", "line", "seq").alias("id"), (F.col("x") + 5).alias("x"), (F.col("y") + 5).alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
+    return scope.along_line(near, edges).select("id", "line", F.round("distance", 6).alias("distance"))
+
+
+@add(
+    f"""WITH p AS (SELECT concat_ws('#', line, seq) AS id, x, y, z FROM {_vert('lane_lines')} WHERE x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL),
+ n AS (SELECT a.id, sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2)) AS away FROM p a JOIN p b ON a.id <> b.id),
+ k AS (SELECT id, avg(away) AS distance FROM (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY id ORDER BY away) <= 5) GROUP BY id)
+ SELECT id, round(distance, 6) AS distance FROM k WHERE distance > (SELECT avg(distance) + 2 * stddev_samp(distance) FROM k)"""
+)
+def f24_statistical(spark: SparkSession, d: str) -> DataFrame:
+    """Lane-line points that lie far from their five nearest neighbours, by two standard deviations."""
+    points = lines(spark, d).select(F.concat_ws("#", "line", "seq").alias("id"), "x", "y", "z")
+    return scope.statistical_outliers(points, 5, 2.0, radius=200.0).select("id", F.round("distance", 6).alias("distance"))
+
+
+@add(f"SELECT fid, ring[1].x AS first_x, ring[1].y AS first_y, ring[-1].x AS last_x, ring[-1].y AS last_y, sqrt(pow(ring[1].x - ring[2].x, 2) + pow(ring[1].y - ring[2].y, 2)) <= 1e-8 OR sqrt(pow(ring[-1].x - ring[2].x, 2) + pow(ring[-1].y - ring[2].y, 2)) <= 1e-8 AS second_ends FROM {_cur('lane_lines')} WHERE len(ring) >= 2")
+def g17_endpoints(spark: SparkSession, d: str) -> DataFrame:
+    rows = current(spark, d, "lane_lines").where("size(ring) >= 2").withColumn("e", G.endpoints(F.col("ring")))
+    second = F.col("ring")[1]
+    return rows.select("fid", *[F.col("e")[i][c].alias(f"{n}_{c}") for i, n in ((0, "first"), (1, "last")) for c in "xy"], G.is_endpoint(F.col("ring"), second["x"], second["y"]).alias("second_ends"))
+
+
+@add()
+def g14_valid_rings(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each lane, closed, bounds a valid area."""
+    rows = current(spark, d, "lanes").where("size(ring) >= 3")
+    return rows.select("fid", G.ring_is_valid(F.concat("ring", F.slice("ring", 1, 1))).alias("valid"))
+
 
 QUERIES, ORACLE = catalog.queries, catalog.sql

@@ -84,30 +84,26 @@ def f14_label_bits(spark: SparkSession, d: str) -> DataFrame:
 
 
 @add(
-    """SELECT bucket, count(*) AS n FROM (SELECT CASE WHEN y < 1 THEN 0 WHEN y < 3 THEN 1 WHEN y < 6 THEN 2 ELSE 3 END AS bucket, x, y
- FROM (SELECT l_quantity AS x, l_discount * 100 AS y FROM lineitem)) WHERE x <= CASE bucket WHEN 0 THEN 45 WHEN 1 THEN 35 WHEN 2 THEN 25 ELSE 15 END AND y <= 6.5 GROUP BY bucket"""
+    """SELECT l_orderkey, l_linenumber, CASE WHEN y < 3 THEN 4.0 WHEN y < 6 THEN 6.0 ELSE 8.0 END AS start_x, CASE WHEN y < 3 THEN 14.0 WHEN y < 6 THEN 16.0 ELSE 18.0 END AS end_x
+ FROM (SELECT l_orderkey, l_linenumber, abs(l_quantity / 5 - 4) AS y FROM lineitem) WHERE y <= 6 AND l_orderkey IS NOT NULL"""
 )
 def f16_bucketed_window(spark: SparkSession, d: str) -> DataFrame:
-    points = table(spark, d, "lineitem").select(F.col("l_quantity").alias("x"), (F.col("l_discount") * 100).alias("y"))
-    y = F.col("y")
-    rows = points.withColumn("bucket", F.when(y < 1, 0).when(y < 3, 1).when(y < 6, 2).otherwise(3))
-    reach = F.when(F.col("bucket") == 0, 45).when(F.col("bucket") == 1, 35).when(F.col("bucket") == 2, 25).otherwise(15)
-    return rows.where((F.col("x") <= reach) & (y <= 6.5)).groupBy("bucket").agg(F.count("*").alias("n"))
+    """Quantities, scaled to sideways distances of -4 to 6 m, with the stretch each is sampled in."""
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", C.sampling_window(F.col("l_quantity") / 5 - 4).alias("w"))
+    return rows.where("w IS NOT NULL AND l_orderkey IS NOT NULL").select("l_orderkey", "l_linenumber", F.col("w.start").alias("start_x"), F.col("w.end").alias("end_x"))
 
 
-@add("SELECT entry_id, cloud_bytes FROM flat_mapping_info WHERE cloud_bytes >= 4096")
+@add("SELECT entry_id, cloud_bytes FROM flat_mapping_info WHERE cloud_bytes * 16 >= 512000")
 def f17_whole_scans(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "flat_mapping_info").where(F.col("cloud_bytes") >= 4096).select("entry_id", "cloud_bytes")
+    """The listing's sizes are a sixteenth of real scans', so they are scaled before the limit of 500 KiB applies."""
+    scaled = table(spark, d, "flat_mapping_info").withColumn("scaled", F.col("cloud_bytes") * 16)
+    return C.whole_scans(scaled, "scaled").select("entry_id", "cloud_bytes")
 
 
-@add(
-    """SELECT vehicle_id, CASE WHEN a > 0 THEN format('{:.2f}%', floor(b * 10000 / a + 0.5) / 100) ELSE '' END AS bad_share FROM
- (SELECT vehicle_id, CAST(sum(bad_ins) AS BIGINT) AS b, CAST(sum(all_ins) AS BIGINT) AS a FROM (SELECT DISTINCT * FROM trail_params) WHERE bad_ins BETWEEN 0 AND all_ins GROUP BY vehicle_id)"""
-)
+@add("SELECT vehicle_id, sum(bad_ins) AS n_bad, sum(all_ins) AS n_all, CASE WHEN sum(all_ins) > 0 THEN concat(CAST(round_even(100 * sum(bad_ins) / sum(all_ins), 2) AS VARCHAR), '%') ELSE '' END AS bad_share FROM trail_params GROUP BY vehicle_id")
 def f18_bad_share(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "trail_params").distinct().where("bad_ins BETWEEN 0 AND all_ins").groupBy("vehicle_id").agg(F.sum("bad_ins").alias("b"), F.sum("all_ins").alias("a"))
-    share = F.format_string("%.2f%%", F.floor(F.col("b") * 10000 / F.col("a") + 0.5) / 100)
-    return rows.select("vehicle_id", F.when(F.col("a") > 0, share).otherwise("").alias("bad_share"))
+    rows = table(spark, d, "trail_params").groupBy("vehicle_id").agg(F.sum("bad_ins").alias("n_bad"), F.sum("all_ins").alias("n_all"))
+    return rows.withColumn("bad_share", C.bad_share(F.col("n_bad"), F.col("n_all")))
 
 
 @add("SELECT frame_no, received_at FROM frames WHERE len(opt_q_world_veh) = 4 AND len(opt_t_world_veh) = 3")

@@ -96,7 +96,9 @@ def read_frames(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_poses(lines: DataFrame, skip: int = 4) -> DataFrame:
-    """file, line_no, ts, frame_id, lat, lon (radians), alt, rot of pose texts. lines: file, line_no (from 0), value.
+    """file, line_no, ts (seconds, of milliseconds), frame_id, frame_id_str (time, underscore, frame), lat, lon (radians), alt, rot of pose texts.
+
+    lines: file, line_no (from 0), value.
 
     The first lines are headers; lines of fewer than five fields are dropped.
     """
@@ -104,7 +106,7 @@ def parse_poses(lines: DataFrame, skip: int = 4) -> DataFrame:
     rows = lines.where(F.col("line_no") >= skip).withColumn("f", f).where("size(f) >= 5")
     number = lambda i: F.try_element_at("f", F.lit(i)).try_cast("double")
     rot = F.transform(F.slice("f", 6, 9), lambda v: v.try_cast("double"))
-    return rows.select("file", "line_no", number(1).alias("ts"), F.element_at("f", 2).alias("frame_id"), F.radians(number(3)).alias("lat"), F.radians(number(4)).alias("lon"), number(5).alias("alt"), rot.alias("rot"))
+    return rows.select("file", "line_no", (number(1) / 1e3).alias("ts"), F.element_at("f", 2).alias("frame_id"), F.concat_ws("_", F.element_at("f", 1), F.element_at("f", 2)).alias("frame_id_str"), F.radians(number(3)).alias("lat"), F.radians(number(4)).alias("lon"), number(5).alias("alt"), rot.alias("rot"))
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -131,33 +133,54 @@ def parse_wkt(text: Column) -> Column:
 def parse_obj(lines: DataFrame) -> DataFrame:
     """file, line, seq, x, y, z of the polylines of OBJ texts. lines: file, line_no, value.
 
-    Vertices are numbered within their file; an l record's vertex numbers are looked up by an equi-join.
+    Vertices are numbered within their file. An l record stands for all vertices from its first number to its last, which
+    are looked up by an equi-join.
     """
     f = F.split(F.trim("value"), r"\s+")
     rows = lines.withColumn("f", f).withColumn("tag", F.element_at("f", 1))
     number = lambda i: F.try_element_at("f", F.lit(i)).try_cast("double")
     order = Window.partitionBy("file").orderBy("line_no")
     v = rows.where("tag = 'v'").select("file", F.row_number().over(order).alias("k"), number(2).alias("x"), number(3).alias("y"), number(4).alias("z"))
-    l = rows.where("tag = 'l'").select("file", F.col("line_no").alias("line"), F.posexplode(F.slice("f", 2, F.size("f"))).alias("seq", "k"))  # noqa: E741
-    return l.withColumn("k", F.col("k").try_cast("int")).join(v, ["file", "k"]).select("file", "line", "seq", "x", "y", "z")
+    l = rows.where("tag = 'l'").select("file", F.col("line_no").alias("line"), F.element_at("f", 2).try_cast("int").alias("a"), F.element_at("f", -1).try_cast("int").alias("b")).where("a <= b")  # noqa: E741
+    return l.select("file", "line", F.posexplode(F.sequence("a", "b")).alias("seq", "k")).join(v, ["file", "k"]).select("file", "line", "seq", "x", "y", "z")
+
+
+#: The corners of a mark in the order they are put together, and what a mark is.
+CORNERS, MARK = ("RightFront", "LeftFront", "LeftRear", "RightRear"), 7
 
 
 def parse_marks(documents: DataFrame) -> DataFrame:
-    """id, mark_type, corners of road-mark JSON (corners: array of four points). documents: id, value."""
-    schema = f"array<struct<type:int,corners:array<{POINT}>>>"
-    rows = documents.select("id", F.posexplode(F.from_json("value", schema)).alias("mark_no", "m"))
-    return rows.where("size(m.corners) = 4").select("id", "mark_no", F.col("m.type").alias("mark_type"), F.col("m.corners").alias("corners"))
+    """id, label, mark_no, mark_type, arrow_type (null in the form without), corners of road-mark JSON.
+
+    documents: id, value. A document is an object keyed by label, whose entries hold the four corners as [x, y, z].
+    """
+    corner = "array<double>"
+    schema = "map<string, array<struct<" + ", ".join(f"{c}:{corner}" for c in CORNERS) + ", ArrowType:int>>>"
+    rows = documents.select("id", F.explode(F.from_json("value", schema)).alias("label", "marks")).select("id", F.col("label").try_cast("int").alias("label"), F.posexplode("marks").alias("mark_no", "m"))
+    point = lambda c: F.struct(*[F.get(F.col(f"m.{c}"), F.lit(i)).alias(n) for i, n in enumerate("xyz")])
+    whole = [F.size(F.col(f"m.{c}")) >= 3 for c in CORNERS]
+    return rows.where(whole[0] & whole[1] & whole[2] & whole[3]).select("id", "label", "mark_no", F.lit(MARK).alias("mark_type"), F.col("m.ArrowType").alias("arrow_type"), F.array(*map(point, CORNERS)).alias("corners"))
 
 
 def decode_runs(content: bytes) -> tuple[int, int, list[tuple[int, int, int]]]:
-    """Height, width and (start, length, label) runs of a label raster: big-endian height and width, then 3-byte runs of a label and a length."""
+    """Height, width and (start, length, label) runs of a label raster.
+
+    Four bytes to skip, height and width as big-endian 16-bit numbers, then runs of 3 bytes: a label and a little-endian
+    16-bit length. A run that leaves its row ends what can be read.
+    """
     if len(content) < 8:
         return 0, 0, []
-    height, width = struct.unpack(">II", content[:8])
-    data = np.frombuffer(content[8 : 8 + (len(content) - 8) // 3 * 3], np.uint8).reshape(-1, 3).astype(np.int64)
-    length = data[:, 1] * 256 + data[:, 2]
-    start = np.concatenate(([0], np.cumsum(length)[:-1])) if len(length) else length
-    return height, width, [(int(s), int(n), int(v)) for s, n, v in zip(start, length, data[:, 0]) if n]
+    height, width = struct.unpack(">HH", content[4:8])
+    runs, at, x = [], 0, 0
+    for label, length in struct.iter_unpack("<BH", content[8 : 8 + (len(content) - 8) // 3 * 3]):
+        x += length
+        if x > width or at + length > height * width:
+            break
+        if length:
+            runs.append((at, length, label))
+        at += length
+        x = 0 if x == width else x
+    return height, width, runs
 
 
 def read_rasters(spark: SparkSession, path: str) -> DataFrame:
@@ -182,7 +205,7 @@ _PCD_TYPES = {("F", 4): "<f4", ("F", 8): "<f8", ("U", 1): "u1", ("U", 2): "<u2",
 
 
 def decode_pcd(content: bytes) -> dict[str, np.ndarray]:
-    """Columns of a point-cloud file with ASCII or plain binary data; an unreadable one has none."""
+    """Columns of a point-cloud file with ASCII, binary or compressed binary data; one without a header has none."""
     head: dict[str, list[str]] = {}
     at = 0
     while at < len(content):
@@ -194,19 +217,57 @@ def decode_pcd(content: bytes) -> dict[str, np.ndarray]:
             head[key] = values
             if key == "DATA":
                 break
-    if not {"FIELDS", "SIZE", "TYPE", "DATA"} <= set(head) or head["DATA"][0] not in ("ascii", "binary"):
+    if not {"FIELDS", "SIZE", "TYPE", "DATA"} <= set(head):
         return {}
+    form = head["DATA"][0]
+    if form not in ("ascii", "binary", "binary_compressed"):
+        raise ValueError(f"point-cloud data of the form {form}")
     names = head["FIELDS"]
     kinds = [_PCD_TYPES[t, int(s)] for t, s in zip(head["TYPE"], head["SIZE"])]
-    if head["DATA"][0] == "ascii":
+    if form == "ascii":
         rows = [r.split() for r in content[at:].decode("ascii", "replace").splitlines() if r.strip()]
         return {n: np.array([float(r[i]) for r in rows if len(r) == len(names)]) for i, n in enumerate(names)}
     record = np.dtype([(n, k) for n, k in zip(names, kinds)])
-    n = min(int(head.get("POINTS", ["0"])[0]), (len(content) - at) // record.itemsize)
+    points = int(head.get("POINTS", ["0"])[0])
+    if form == "binary_compressed":
+        packed, size = struct.unpack("<II", content[at : at + 8])
+        # Compressed data lies field by field.
+        plain, out, start = unpack_lzf(content[at + 8 : at + 8 + packed], size), {}, 0
+        for name, kind in zip(names, kinds):
+            out[name] = np.frombuffer(plain, kind, points, start).astype(float)
+            start += points * np.dtype(kind).itemsize
+        return out
+    n = min(points, (len(content) - at) // record.itemsize)
     data = np.frombuffer(content, record, n, at)
     return {name: data[name].astype(float) for name in names}
 
 
+def unpack_lzf(packed: bytes, size: int) -> bytes:
+    """LZF: a byte under 32 announces so many plain bytes more one; any other a copy of earlier output."""
+    out = bytearray()
+    at = 0
+    while at < len(packed):
+        control = packed[at]
+        at += 1
+        if control < 32:
+            out += packed[at : at + control + 1]
+            at += control + 1
+            continue
+        length = control >> 5
+        if length == 7:
+            length += packed[at]
+            at += 1
+        start = len(out) - ((control & 31) << 8) - packed[at] - 1
+        at += 1
+        if start < 0:
+            raise ValueError("a copy of what was never there")
+        for i in range(start, start + length + 2):
+            out.append(out[i])
+    if len(out) != size:
+        raise ValueError(f"{len(out)} bytes were unpacked, {size} announced")
+    return bytes(out)
+
+
 def read_clouds(spark: SparkSession, path: str) -> DataFrame:
     """path, x, y, z, intensity of the points of point-cloud files."""
 
@@ -221,6 +282,57 @@ def read_clouds(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "path string, x double, y double, z double, intensity double")
 
 
+def read_cloud_lines(spark: SparkSession, pattern: str) -> DataFrame:
+    """line, seq, x, y, z: polylines kept as one point-cloud file each; the line's name is the file's after its last underscore."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                c = decode_pcd(content or b"")
+                if "x" in c and len(c["x"]):
+                    line = name.rsplit("/", 1)[-1].rsplit(".", 1)[0].rsplit("_", 1)[-1]
+                    n = len(c["x"])
+                    yield pa.RecordBatch.from_arrays([pa.array([line] * n), pa.array(np.arange(n, dtype=np.int32)), *[pa.array(c[k]) for k in "xyz"]], names=["line", "seq", "x", "y", "z"])
+
+    return spark.read.format("binaryFile").load(pattern).select("path", "content").mapInArrow(run, "line string, seq int, x double, y double, z double")
+
+
+def read_sqlite(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """path, row_no, row (JSON object) of a table in each SQLite file; a file without the table has no rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import json
+        import sqlite3
+
+        for batch in batches:
+            for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                con = sqlite3.connect(":memory:")
+                con.deserialize(content)
+                if con.execute("SELECT 1 FROM sqlite_master WHERE name = ?", (table,)).fetchone():
+                    quoted = table.replace('"', '""')
+                    cursor = con.execute(f'SELECT * FROM "{quoted}"')
+                    names = [c[0] for c in cursor.description]
+                    start = 0
+                    while rows := cursor.fetchmany(10_000):
+                        texts = [json.dumps(dict(zip(names, r)), ensure_ascii=False, default=lambda b: b.hex()) for r in rows]
+                        yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array(range(start, start + len(rows)), pa.int64()), pa.array(texts)], names=["path", "row_no", "row"])
+                        start += len(rows)
+                con.close()
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "path string, row_no bigint, row string")
+
+
+def area_by_id(areas: DataFrame, area_id: str) -> DataFrame:
+    """id, geom: one area of a layer (id, geom), the parts of all its rows together. Raises where there is none or it is no polygon."""
+    own = areas.where(F.col("id") == area_id)
+    kinds = {r[0] for r in own.select(F.lower("geom.kind")).distinct().collect()}
+    if not kinds:
+        raise LookupError(f"no area {area_id}")
+    if not kinds <= {"polygon", "multipolygon"}:
+        raise TypeError(f"area {area_id} is {', '.join(sorted(map(str, kinds)))}")
+    return own.groupBy("id").agg(F.struct(F.lit("multipolygon").alias("kind"), F.array_distinct(F.flatten(F.collect_list("geom.parts"))).alias("parts")).alias("geom"))
+
+
 def file_catalogue(spark: SparkSession, root: str) -> DataFrame:
     """uri, name, mime, size of the files below root. Contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
