@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairnflow.session import materialise
+from cairnflow.session import delete_path, materialise, materialise_at
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -27,7 +27,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -
     known = nodes.select("node").where("node IS NOT NULL").distinct()
     both = both.join(known.withColumnRenamed("node", "a"), "a", "left_semi").join(known.withColumnRenamed("node", "b"), "b", "left_semi")
     both = materialise(both.select(F.col("a").cast(kind).alias("a"), F.col("b").cast(kind).alias("b")), "edges")
-    labels = materialise(known.select("node", F.col("node").alias("parent"), F.col("node").alias("top"), F.lit(True).alias("moved")), "labels")
+    labels, path = materialise_at(known.select("node", F.col("node").alias("parent"), F.col("node").alias("top"), F.lit(True).alias("moved")), "labels")
     for _ in range(rounds):
         seen = both.join(labels.select(F.col("node").alias("b"), "top"), "b").groupBy(F.col("a").alias("node")).agg(F.min("top").alias("offer"))
         with_offer = labels.join(seen, "node", "left")
@@ -36,7 +36,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -
         hooked = with_offer.where("offer IS NOT NULL").select(F.col("parent").alias("node"), F.col("offer").alias("parent"), none.alias("was"))
         parents = own.unionByName(hooked).groupBy("node").agg(F.min("parent").alias("parent"), F.max("was").alias("was"))
         above = parents.select(F.col("node").alias("parent"), F.col("parent").alias("top"))
-        labels = materialise(parents.join(above, "parent").select("node", "parent", "top", (F.col("top") != F.col("was")).alias("moved")), "labels")
+        before = path
+        labels, path = materialise_at(parents.join(above, "parent").select("node", "parent", "top", (F.col("top") != F.col("was")).alias("moved")), "labels")
+        delete_path(nodes.sparkSession, before)
         if labels.where("moved").isEmpty():
             return labels.select("node", F.col("top").alias("component"))
     raise RuntimeError(f"components not found in {rounds} rounds")

@@ -84,6 +84,36 @@ def signed_counts(layers: dict[str, DataFrame], targets: dict[str, dict[str, str
     )
 
 
+def key_states(layers: dict[str, DataFrame], targets: dict[str, dict[str, str]]) -> DataFrame:
+    """target, key, state, state_at, refs: what a batch of deliveries says of each key, as counts that compose.
+
+    refs is the number of references made; state whether the feature exists after its last delivery, null where none is
+    in the batch.
+    """
+    refs = references(layers, targets).groupBy("target", "key").agg(F.count("*").alias("refs"))
+    states = existence(layers).groupBy("target", "key").agg(F.max(F.struct("at", F.col("alive").cast("int").alias("state"))).alias("s"))
+    none = F.lit(None)
+    return _composed(states.select("target", "key", "s.state", F.col("s.at").alias("state_at"), F.lit(0).cast("bigint").alias("refs")).unionByName(refs.select("target", "key", none.cast("int").alias("state"), none.cast("timestamp").alias("state_at"), "refs")))
+
+
+def _composed(parts: DataFrame) -> DataFrame:
+    last = F.max(F.when(F.col("state").isNotNull(), F.struct("state_at", "state"))).alias("s")
+    return parts.groupBy("target", "key").agg(last, F.sum("refs").alias("refs")).select("target", "key", "s.state", "s.state_at", "refs")
+
+
+def maintain(stored: DataFrame, deltas: DataFrame) -> DataFrame:
+    """Stored key states with those of a further batch put onto them, whatever the order in which batches come.
+
+    The cost is that of the states and of the batch; earlier deliveries aren't read again.
+    """
+    return _composed(stored.unionByName(deltas))
+
+
+def current_orphans(states: DataFrame) -> DataFrame:
+    """target, key, refs of the keys that are referred to and don't exist."""
+    return states.where("refs > 0 AND coalesce(state, 0) = 0").select("target", "key", "refs")
+
+
 def orphan_references(layers: dict[str, DataFrame], targets: dict[str, dict[str, str]]) -> DataFrame:
     """layer, id, field, ref_id, at: references made while the existence count of their key was zero."""
     counts = signed_counts(layers, targets).where("refs > 0 AND existence = 0").select("target", "key", "at")

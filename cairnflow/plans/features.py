@@ -78,7 +78,15 @@ def g22_simplified(spark: SparkSession, d: str) -> DataFrame:
     return M.simplified(current(spark, d, "lane_lines"), "fid", "ring", 0.5)
 
 
-@add()
+_GAP = """SELECT g.l_id, g.r_id, min(sqrt(pow(v.x - ax - t * (bx - ax), 2) + pow(v.y - ay - t * (by_ - ay), 2))) AS gap FROM
+ (SELECT n.l_id, n.r_id, v.x, v.y, e.ax, e.ay, e.bx, e.by_, CASE WHEN e.bx = e.ax AND e.by_ = e.ay THEN 0 ELSE least(1, greatest(0, ((v.x - e.ax) * (e.bx - e.ax) + (v.y - e.ay) * (e.by_ - e.ay)) / (pow(e.bx - e.ax, 2) + pow(e.by_ - e.ay, 2)))) END AS t
+ FROM n JOIN {v} v ON v.line = n.{a} JOIN {e} e ON e.line = n.{b}) g, LATERAL (SELECT g.x, g.y) v GROUP BY ALL"""
+
+
+@add(
+    f"""WITH n AS (SELECT l.fid AS l_id, r.fid AS r_id FROM {_FIRST.format(_cur('roads'))} l JOIN {_FIRST.format(_cur('lane_lines'))} r ON l.x BETWEEN r.x - 150 AND r.x + 150 AND l.y BETWEEN r.y - 150 AND r.y + 150 WHERE sqrt(pow(l.x - r.x, 2) + pow(l.y - r.y, 2)) <= 150)
+ SELECT l_id, r_id, round(min(gap), 4) AS gap FROM ({_GAP.format(v=_vert('roads'), e=_edges_sql('lane_lines'), a='l_id', b='r_id')} UNION ALL {_GAP.format(v=_vert('lane_lines'), e=_edges_sql('roads'), a='r_id', b='l_id')}) GROUP BY ALL"""
+)
 def g13_line_gap(spark: SparkSession, d: str) -> DataFrame:
     pairs = J.within(_first(spark, d, "roads", "l"), _first(spark, d, "lane_lines", "r"), 150.0).select("l_id", "r_id")
     a, b = current(spark, d, "roads").toDF("l_id", "l_ring"), current(spark, d, "lane_lines").toDF("r_id", "r_ring")

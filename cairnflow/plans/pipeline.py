@@ -65,8 +65,16 @@ def p2_by_month(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_current(spark: SparkSession, d: str) -> DataFrame:
     """Keys with references and no existence after the last delta."""
-    counts = refs.signed_counts(_layers(spark, d), LAYER_TARGETS).groupBy("target", "key").agg(F.sum("refs").alias("n_refs"), F.sum("delta").alias("existence"))
-    return counts.where("n_refs > 0 AND existence = 0").select(F.col("target").alias("layer"), F.col("key").alias("ref_id"), "n_refs")
+    return refs.current_orphans(refs.key_states(_layers(spark, d), LAYER_TARGETS)).select(F.col("target").alias("layer"), F.col("key").alias("ref_id"), F.col("refs").alias("n_refs"))
+
+
+def p2_maintained(spark: SparkSession, d: str) -> DataFrame:
+    """The same from stored states: deliveries of odd days of the month first, those of even days put onto them."""
+    layers = _layers(spark, d)
+    odd = F.coalesce(F.dayofmonth("loaded_at") % 2 == 1, F.lit(False))
+    stored = materialise(refs.key_states({n: df.where(odd) for n, df in layers.items()}, LAYER_TARGETS), "key-states")
+    found = refs.current_orphans(refs.maintain(stored, refs.key_states({n: df.where(~odd) for n, df in layers.items()}, LAYER_TARGETS)))
+    return found.select(F.col("target").alias("layer"), F.col("key").alias("ref_id"), F.col("refs").alias("n_refs"))
 
 
 def _listing(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -170,7 +178,7 @@ def p6_high_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    p1_found, p1_records, p1_instances, p1_attributes, p1_points, p2_found, p2_by_month, p2_current, p3_found, p3_containers, p3_totals, p3_repacked,
+    p1_found, p1_records, p1_instances, p1_attributes, p1_points, p2_found, p2_by_month, p2_current, p2_maintained, p3_found, p3_containers, p3_totals, p3_repacked,
     p4_found, p4_state, p4_onto_base, p5_found, p5_pairs, p6_found, p6_frames, p6_trail_params, p6_impossible, p6_stuck, p6_high_rates,
 )}
 
@@ -195,6 +203,10 @@ def _path_sql(column: str) -> str:
 
 
 _ENTRY_SQL = f"SELECT entry_id, {_path_sql('cloud_path')} AS a, {_path_sql('bev_json_path')} AS b, greatest(coalesce(cloud_bytes, 0), 0) + greatest(coalesce(bev_bytes, 0), 0) AS n FROM flat_mapping_info"
+_CURRENT_SQL = f"""WITH n AS (SELECT target, ref, count(*) AS n_refs FROM (SELECT target, unnest(list_distinct(list_transform(list_filter(regexp_split_to_array(coalesce(packed, ''), '[,;|/\\s]+'), lambda v: upper(trim(v)) NOT IN ('', '0', '-1', 'NULL', 'NONE', 'NAN')), lambda v: upper(trim(v))))) AS ref FROM
+ ({" UNION ALL ".join(f"SELECT '{t}' AS target, {f} AS packed FROM {n} WHERE NOT coalesce(is_deleted, false)" for n, fields in LAYER_TARGETS.items() for f, t in fields.items())})) GROUP BY ALL),
+ l AS (SELECT target, key, arg_max(gone, moment) AS gone FROM ({_STATE_SQL}) GROUP BY ALL)
+ SELECT n.target AS layer, n.ref AS ref_id, n_refs FROM n LEFT JOIN l ON n.target = l.target AND n.ref = l.key WHERE coalesce(gone, true)"""
 _DELETE_SQL = "coalesce(is_deleted, false) OR coalesce(lower(trim(op)) IN ('d', 'del', 'delete', 'deleted', 'remove', 'removed', 'rm'), false)"
 _LAST_SQL = f"SELECT *, {_DELETE_SQL} AS gone FROM feature_changes QUALIFY row_number() OVER (PARTITION BY tileid, feat_type, feature_id ORDER BY coalesce(tile_version, 0) DESC, coalesce(version, 0) DESC, change_id DESC) = 1"
 _PLACE = "(coalesce(tile_version, 0), coalesce(version, 0), change_id)"
@@ -232,6 +244,8 @@ ORACLE = {
  SELECT DISTINCT param_id AS id FROM r JOIN u ON r.vehicle_id IS NOT DISTINCT FROM u.vehicle_id WHERE rate > 0 AND rate >= 5 * usual""",
     "p2_found": f"{_ORPHAN_SQL} SELECT DISTINCT layer, id, field, ref_id FROM o",
     "p2_by_month": f"{_ORPHAN_SQL} SELECT layer, strftime(moment, '%Y-%m') AS month, count(DISTINCT (id, field, ref_id)) AS n_orphans FROM o GROUP BY ALL",
+    "p2_current": _CURRENT_SQL,
+    "p2_maintained": _CURRENT_SQL,
     "p3_found": f"SELECT DISTINCT entry_id FROM ({_ENTRY_SQL}) e JOIN (SELECT a, b, min(entry_id) AS first FROM ({_ENTRY_SQL}) GROUP BY a, b) k ON e.a IS NOT DISTINCT FROM k.a AND e.b IS NOT DISTINCT FROM k.b WHERE entry_id <> first",
     "p3_totals": f"SELECT count(*) AS n_pairs, sum(n) AS n_bytes, 0 AS n_over FROM (SELECT a, b, max(n) AS n FROM ({_ENTRY_SQL}) GROUP BY a, b)",
     "p3_repacked": "SELECT entry_id, trail_id, cloud_path, cloud_bytes FROM flat_mapping_info",

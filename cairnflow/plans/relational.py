@@ -337,9 +337,13 @@ def a28_line_fit(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.round(F.regr_slope("l_extendedprice", "l_quantity"), 4).alias("slope"), F.round(F.regr_intercept("l_extendedprice", "l_quantity"), 2).alias("intercept"))
 
 
-@add()
+_CIRCLE = "SELECT l_suppkey, mx, my, avg(u * u) AS uu, avg(v * v) AS vv, avg(u * v) AS uv, avg(u * (u * u + v * v)) / 2 AS p, avg(v * (u * u + v * v)) / 2 AS q FROM (SELECT l_suppkey, mx, my, x - mx AS u, y - my AS v FROM (SELECT l_suppkey, l_quantity AS x, l_extendedprice / 1000 AS y, avg(l_quantity) OVER (PARTITION BY l_suppkey) AS mx, avg(l_extendedprice / 1000) OVER (PARTITION BY l_suppkey) AS my FROM lineitem)) GROUP BY ALL"
+
+
+@add(f"SELECT l_suppkey, round(a + mx, 3) AS centre_x, round(b + my, 3) AS centre_y, round(sqrt(a * a + b * b + uu + vv), 3) AS radius FROM (SELECT *, (p * vv - q * uv) / (uu * vv - uv * uv) AS a, (q * uu - p * uv) / (uu * vv - uv * uv) AS b FROM ({_CIRCLE}) WHERE uu * vv - uv * uv > 1e-12)")
 def a28_circle_fit(spark: SparkSession, d: str) -> DataFrame:
-    return A.circle_fit(table(spark, d, "lineitem").select("l_suppkey", F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y")), ["l_suppkey"], "x", "y")
+    found = A.circle_fit(table(spark, d, "lineitem").select("l_suppkey", F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y")), ["l_suppkey"], "x", "y")
+    return found.where("radius IS NOT NULL").select("l_suppkey", *[F.round(c, 3).alias(c) for c in ("centre_x", "centre_y", "radius")])
 
 
 @add("SELECT link_id, min(frame_no) AS first_frame, array_to_string(list_sort(list(DISTINCT trail_id)), ',') AS trails FROM frames WHERE link_id IS NOT NULL GROUP BY link_id")

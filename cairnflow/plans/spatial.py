@@ -20,15 +20,24 @@ add = catalog.add
 
 
 def current(spark: SparkSession, d: str, layer: str, *columns: str) -> DataFrame:
-    """fid, ring and columns of the live features of a layer, in their last state."""
+    """fid, ring and columns of the live features of a layer, in their last state: a row for each part of the geometry.
+
+    A feature of several parts has the part's number after its id; one without any has a null ring.
+    """
     df = table(spark, d, layer)
     last = F.max_by(F.struct("is_deleted", "geom", *columns), F.col("loaded_at")).alias("s")
-    return df.groupBy(R.normal_id(F.col("id")).alias("fid")).agg(last).where("NOT s.is_deleted").select("fid", F.col("s.geom.parts")[0].alias("ring"), *[F.col(f"s.{c}").alias(c) for c in columns])
+    alive = df.groupBy(R.normal_id(F.col("id")).alias("fid")).agg(last).where("NOT s.is_deleted")
+    each = alive.select("fid", "s", F.posexplode_outer("s.geom.parts").alias("part", "ring"))
+    fid = F.when(F.size("s.geom.parts") > 1, F.concat_ws(".", "fid", F.col("part").cast("string"))).otherwise(F.col("fid"))
+    return each.select(fid.alias("fid"), "ring", *[F.col(f"s.{c}").alias(c) for c in columns])
 
 
 def _cur(layer: str, *columns: str) -> str:
     extra = "".join(f", arg_max({c}, loaded_at) AS {c}" for c in columns)
-    return f"(SELECT fid, ring{''.join(', ' + c for c in columns)} FROM (SELECT upper(trim(id)) AS fid, arg_max(geom, loaded_at).parts[1] AS ring, arg_max(is_deleted, loaded_at) AS gone{extra} FROM {layer} GROUP BY 1) WHERE NOT gone)"
+    names = "".join(", " + c for c in columns)
+    alive = f"SELECT * FROM (SELECT upper(trim(id)) AS fid, arg_max(geom, loaded_at).parts AS parts, arg_max(is_deleted, loaded_at) AS gone{extra} FROM {layer} GROUP BY 1) WHERE NOT gone"
+    each = f"SELECT *, unnest(CASE WHEN len(parts) > 0 THEN parts ELSE [NULL] END) AS ring, unnest(CASE WHEN len(parts) > 0 THEN range(len(parts)) ELSE [NULL] END) AS part FROM ({alive})"
+    return f"(SELECT CASE WHEN len(parts) > 1 THEN concat_ws('.', fid, part) ELSE fid END AS fid, ring{names} FROM ({each}))"
 
 
 def _vert(layer: str) -> str:
@@ -166,9 +175,13 @@ def w8_occluded(spark: SparkSession, d: str) -> DataFrame:
     return S.occluded(rows, "line", "order", "x", "y", 0.02, 5.0).where("occluded").select("line", "id")
 
 
-@add()
+def _kept_sql(step: float) -> str:
+    return f"len(list_reduce(ring[2:], lambda k, p: CASE WHEN sqrt(pow(k[-1].x - p.x, 2) + pow(k[-1].y - p.y, 2)) > {step} THEN k || [p] ELSE k END, ring[1:1]))"
+
+
+@add(f"SELECT fid, CASE WHEN k < 2 THEN least(2, len(ring)) ELSE k END AS n_kept, len(ring) AS n_before FROM (SELECT fid, ring, {_kept_sql(8.0)} AS k FROM {_cur('lane_lines')} WHERE ring IS NOT NULL)")
 def w9_without_repeats(spark: SparkSession, d: str) -> DataFrame:
-    return current(spark, d, "lane_lines").select("fid", F.size(G.drop_repeats(F.col("ring"), 8.0)).alias("n_kept"), F.size("ring").alias("n_before"))
+    return current(spark, d, "lane_lines").where("ring IS NOT NULL").select("fid", F.size(G.drop_repeats(F.col("ring"), 8.0)).alias("n_kept"), F.size("ring").alias("n_before"))
 
 
 @add(f"SELECT line, id, round(avg(x) OVER w, 4) AS x, round(avg(y) OVER w, 4) AS y FROM {_TRAIL} WINDOW w AS (PARTITION BY line ORDER BY seq, id ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)")
@@ -213,9 +226,9 @@ def w17_ordinals(spark: SparkSession, d: str) -> DataFrame:
     return S.ordinals(lines(spark, d, "roads")).select("line", "seq", "point_no", "line_no")
 
 
-@add()
+@add(f"SELECT fid, {_kept_sql(9.0)} AS n_kept FROM {_cur('lane_lines')} WHERE ring IS NOT NULL")
 def w19_spaced(spark: SparkSession, d: str) -> DataFrame:
-    return current(spark, d, "lane_lines").select("fid", F.size(S.keep_spaced(F.col("ring"), F.lit(9.0))).alias("n_kept"))
+    return current(spark, d, "lane_lines").where("ring IS NOT NULL").select("fid", F.size(S.keep_spaced(F.col("ring"), F.lit(9.0))).alias("n_kept"))
 
 
 @add()
@@ -487,9 +500,12 @@ def h5_opened(spark: SparkSession, d: str) -> DataFrame:
     return cluster.opened(points(spark, d).select(F.floor("x").alias("cx"), F.floor("y").alias("cy")))
 
 
-@add()
+_FOLD = "list_reduce(r, lambda s, p: CASE WHEN s.last IS NULL OR s.last - p.z <= 0.5 THEN {'last': p.z, 'out': s.out || [{'id': p.id, 'layer': 1}]} ELSE {'last': s.last, 'out': s.out || [{'id': p.id, 'layer': 2}]} END, {'last': CAST(NULL AS DOUBLE), 'out': CAST([] AS STRUCT(id BIGINT, layer INT)[])})"
+
+
+@add(f"SELECT o.id AS id, o.layer AS layer FROM (SELECT unnest(({_FOLD}).out) AS o FROM (SELECT list({{'z': CAST(z AS DOUBLE), 'id': CAST(pid AS BIGINT)}} ORDER BY z DESC, pid DESC) AS r FROM {_POINTS} GROUP BY floor(x / 2), floor(y / 2)))")
 def h6_two_layers(spark: SparkSession, d: str) -> DataFrame:
-    return cluster.two_layers(points(spark, d).select("x", "y", (F.col("z") * 1.0).alias("z"), F.col("pid").alias("id")), 2.0, 0.5)
+    return cluster.two_layers(points(spark, d).select("x", "y", (F.col("z") * 1.0).alias("z"), F.col("pid").alias("id")), 2.0, 0.5).select(F.col("id").cast("bigint").alias("id"), "layer")
 
 
 @add(

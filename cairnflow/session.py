@@ -78,16 +78,21 @@ def scratch(spark: SparkSession, *paths: str) -> None:
         atexit.register(_cleanup, spark, path)
 
 
+def materialise_at(df: DataFrame, name: str, by: str | None = None) -> tuple[DataFrame, str]:
+    """materialise() with the folder, for tables that are deleted as soon as others take their place."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    scratch(spark, path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def materialise(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write df once to the shared folder and read it back: cuts lineage, survives executor loss, is compressed.
 
     by: a column of few values whose rows are kept in folders of their own.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
-    scratch(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return materialise_at(df, name, by)[0]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -42,3 +42,24 @@ def test_signed_counts_sum_to_the_state(spark):
     assert [r.delta for r in rows] == [1, 0, -1, 0, 0]
     assert [r.existence for r in rows] == [1, 1, 0, 0, 0]
     assert sum(r.refs for r in rows) == 2
+
+
+def test_states_are_maintained_in_any_order(spark):
+    """Batches of deliveries, put onto stored states in any order, give what all of them give at once."""
+    import datetime
+    import itertools
+
+    at = lambda d: datetime.datetime(2025, 1, d)
+    schema = "id string, pre_id string, is_deleted boolean, loaded_at timestamp"
+    batches = [[("a", "b,c", False, at(1)), ("b", None, False, at(2))], [("b", None, True, at(4)), ("a", "B", False, at(3)), (None, "b", None, None)], [("c", "x", False, at(5)), ("b", "a", True, at(2))], []]
+    frames = [spark.createDataFrame(b, schema) for b in batches]
+    targets = {"l": {"pre_id": "l"}}
+    whole = spark.createDataFrame([r for b in batches for r in b], schema)
+    rows = lambda df: sorted((r.target, r.key, r.state, r.state_at, r.refs) for r in df.collect())
+    want = rows(R.key_states({"l": whole}, targets))
+    assert {(r.key, r.refs) for r in R.current_orphans(R.key_states({"l": whole}, targets)).collect()} == {("B", 3), ("X", 1)}
+    for order in itertools.islice(itertools.permutations(frames), 0, 24, 7):
+        states = R.key_states({"l": order[0]}, targets)
+        for batch in order[1:]:
+            states = R.maintain(states, R.key_states({"l": batch}, targets))
+        assert rows(states) == want
