@@ -270,6 +270,10 @@ class Index:
         self.prints = np.concatenate(prints)
         at = np.concatenate(at)
         self.owner, self.place = owner[at], place[at]
+        gaps = [words[: max(len(words) - g, 0)] * len(lexicon.words) + words[g:] for g in range(1, UNREAD + 2)]
+        near = [owner[: max(len(words) - g, 0)] == owner[g:] for g in range(1, UNREAD + 2)]
+        #: Words that follow one another in an item, with up to UNREAD others between them.
+        self.pairs = np.unique(np.concatenate([k[n] for k, n in zip(gaps, near)]))
         self.blocks = []
         for b in range(_BITS // BLOCK_BITS):
             value = ((self.prints >> np.uint64(b * BLOCK_BITS)) & np.uint64(0xFFFF)).astype(np.int64)
@@ -348,8 +352,14 @@ class Index:
         if len(known) < SHOWN:
             return []
         stream = np.searchsorted(start, known, "right") - 1
-        first = np.flatnonzero(stream[: len(known) - SHOWN + 1] == stream[SHOWN - 1 :])
-        at, of = self.candidates(self.fingerprints(words[known][first[:, None] + np.arange(SHOWN)]))
+        # A window that is verified shows words in an item's order; others needn't be looked up.
+        shown = words[known]
+        key = shown[:-1] * len(self.lexicon.words) + shown[1:]
+        slot = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        follows = np.concatenate(([0], np.cumsum(self.pairs[slot] == key)))
+        whole = follows[SHOWN - 1 :] - follows[: len(follows) - SHOWN + 1] == SHOWN - 1
+        first = np.flatnonzero(whole & (stream[: len(known) - SHOWN + 1] == stream[SHOWN - 1 :]))
+        at, of = self.candidates(self.fingerprints(shown[first[:, None] + np.arange(SHOWN)]))
         at = first[at]
         tries = np.stack((known[at], self.owner[of], self.place[of], stream[at]))
         tries = np.unique(tries, axis=1) if tries.size else tries

@@ -10,6 +10,7 @@ _TAG = re.compile(r"</?[a-zA-Z][^<>]*>|\{\\[^{}]*\}")
 _ADDRESS = re.compile(r"https?:|www\.|@\w+\.|(?<![\w.-])[a-z0-9][a-z0-9-]{2,}\.[a-z]{2,}(?:/\S*)?(?![\w.])")
 #: What is done to a subtitle file, said together with by whom.
 _MADE = re.compile(r"\b(?:subtitle[sd]?|subs|captions?|captioned|synced|synchroni[sz]ed|corrected|encoded|translated|transcribed|ripped)\b")
+_MADE_HINTS = ("sub", "sync", "capt", "corre", "enco", "trans", "rip")
 _WHOM = re.compile(r"\b(?:by|for|please)\b")
 _SOUND = re.compile(r"[\[(][^\[(\])]*[\])]|[♪♫#]+|â™ª|Ã¢â„¢Âª")
 _LABEL = re.compile(r"[-–—\s\"“”'«]*[^\W\d_a-zà-ÿ]{2,}: ?(?=\S)")
@@ -52,7 +53,7 @@ def advertises(line: str) -> bool:
     if ("." in line or "@" in line or "http" in line) and _ADDRESS.search(line):
         return True
     low = line.lower()
-    if ("b" in low or "cap" in low or "ed" in low) and _MADE.search(low) and _WHOM.search(low):
+    if any(h in low for h in _MADE_HINTS) and _MADE.search(low) and _WHOM.search(low):
         return True
     frame = _FRAME.match(line)
     return frame is not None and frame[0] in line.lstrip(frame[1])
