@@ -7,6 +7,10 @@ split cells that hold too many rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +34,99 @@ def within(left: DataFrame, right: DataFrame, radius: float, axes: list[str] | N
     return a.join(b, cells).withColumn("distance", apart).where(F.col("distance") <= radius).drop(*cells)
 
 
+def _strips(x: np.ndarray, y: np.ndarray) -> list[tuple[float, np.ndarray]]:
+    """The sorted ys of each x."""
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    cuts = np.flatnonzero(np.diff(x)) + 1
+    return [(part_x[0], part_y) for part_x, part_y in zip(np.split(x, cuts), np.split(y, cuts)) if len(part_x)]
+
+
+def _near_counts(strips: list[tuple[float, np.ndarray]], x: np.ndarray, y: np.ndarray, radius: float) -> np.ndarray:
+    """How many of the strips' places lie within radius of each (x, y): in a strip they follow one another."""
+    n = np.zeros(len(x), np.int64)
+    for at, ys in strips:
+        some = np.flatnonzero(np.abs(x - at) <= radius)
+        if not len(some):
+            continue
+        own, across = y[some], np.square(x[some] - at)
+        half = np.sqrt(np.maximum(radius * radius - across, 0))
+        is_near = lambda k: np.sqrt(across + np.square(own - ys[np.clip(k, 0, len(ys) - 1)])) <= radius  # noqa: B023, E731
+        low, high = np.searchsorted(ys, own - half), np.searchsorted(ys, own + half, "right")
+        # The half chord is rounded; the distances themselves decide at both ends.
+        while (step := (low > 0) & is_near(low - 1)).any():
+            low -= step
+        while (step := (high < len(ys)) & is_near(high)).any():
+            high += step
+        while (step := (low < high) & ~is_near(low)).any():
+            low += step
+        while (step := (low < high) & ~is_near(high - 1)).any():
+            high -= step
+        n[some] += high - low
+    return n
+
+
+def _block_counts(radius: float, row_id: str):
+    """Rows sorted by block, right ones first: a block's right places are held, left rows pass in batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, strips = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, is_left, x, y = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_block", "_left", "x", "y"))
+            earlier = batch.column("_earlier")
+            taken = np.flatnonzero(earlier.is_valid().to_numpy(zero_copy_only=False))
+            n = np.zeros(len(x), np.int64)
+            ends = [*(np.flatnonzero((np.diff(key) != 0) | (is_left[1:] != is_left[:-1])) + 1), len(x)]
+            for a, b in zip([0, *ends], ends):
+                if key[a] != block:
+                    block, held, strips = key[a], [], None
+                if not is_left[a]:
+                    held.append((x[a:b], y[a:b]))
+                elif held:
+                    strips = strips or _strips(*map(np.concatenate, zip(*held)))
+                    n[a:b] = _near_counts(strips, x[a:b], y[a:b], radius)
+                    for i in taken[(taken >= a) & (taken < b)]:
+                        rx, ry = map(np.concatenate, zip(*held))
+                        fresh = np.sqrt(np.square(x[i] - rx) + np.square(y[i] - ry)) <= radius
+                        for q in earlier[int(i)].as_py():
+                            fresh &= ~(np.sqrt(np.square(q["x"] - rx) + np.square(q["y"] - ry)) <= radius)
+                        n[i] = fresh.sum()
+            found = pa.array(np.flatnonzero(n > 0))
+            yield pa.RecordBatch.from_arrays([batch.column(row_id).take(found), pa.array(n[n > 0])], names=[row_id, "n"])
+
+    return run
+
+
+def count_within(left: DataFrame, right: DataFrame, radius: float, row_id: str) -> DataFrame:
+    """row_id, n: how many places of right lie within radius of any place of the id; ids without any drop out.
+
+    left: row_id, l_x, l_y; right: r_x, r_y. An id may have several places; a right place near more than one of them
+    counts for the first in order of x and y. No pair is written: blocks of space hold their right places as sorted
+    strips, in which left rows are looked up. Rows without coordinates count nothing.
+    """
+    kind = dict(left.dtypes)[row_id]
+    usable = lambda p: " AND ".join(f"abs({p}{a}) < double('infinity')" for a in "xy")
+    # Only shuffles by the id and by the block: a null id is a group like others.
+    own = left.where(usable("l_")).select(row_id, F.col("l_x").cast("double").alias("x"), F.col("l_y").cast("double").alias("y")).repartition(row_id).dropDuplicates([row_id, "x", "y"])
+    reach = 2.001 * radius
+    before = F.expr(f"collect_list(struct(x, y)) OVER (PARTITION BY `{row_id}` ORDER BY x RANGE BETWEEN {reach!r}D PRECEDING AND CURRENT ROW)")
+    earlier = F.filter("_b", lambda q: (F.abs(q["y"] - F.col("y")) <= reach) & ((q["x"] < F.col("x")) | ((q["x"] == F.col("x")) & (q["y"] < F.col("y")))))
+    own = own.withColumn("_b", before).withColumn("_b", earlier).withColumn("_earlier", F.when(F.size("_b") > 0, F.col("_b")))
+    side = 4 * radius
+    block = lambda x, y: F.xxhash64(x, y)  # noqa: E731 - blocks that share a hash only share a task's places
+    cell = lambda v: F.floor(v / side)
+    around = lambda c: F.explode(F.sequence(cell(F.col(c) - 1.001 * radius), cell(F.col(c) + 1.001 * radius)))
+    there = right.where(usable("r_")).select(F.col("r_x").cast("double").alias("x"), F.col("r_y").cast("double").alias("y"))
+    there = there.select("x", "y", around("x").alias("_cx")).select("x", "y", "_cx", around("y").alias("_cy")).select(block(F.col("_cx"), F.col("_cy")).alias("_block"), "x", "y").distinct()
+    rows = own.select(block(cell(F.col("x")), cell(F.col("y"))).alias("_block"), F.lit(True).alias("_left"), row_id, "x", "y", "_earlier").unionByName(
+        there.select("_block", F.lit(False).alias("_left"), F.lit(None).cast(kind).alias(row_id), "x", "y", F.lit(None).cast("array<struct<x:double,y:double>>").alias("_earlier"))
+    )
+    counted = rows.repartition("_block").sortWithinPartitions("_block", "_left").mapInArrow(_block_counts(radius, row_id), f"`{row_id}` {kind}, n bigint")
+    return counted.groupBy(row_id).agg(F.sum("n").alias("n"))
+
+
 def within_own_radius(left: DataFrame, right: DataFrame, radius: str, largest: float) -> DataFrame:
     """Pairs at most the left row's radius apart; largest bounds all radii."""
     return within(left, right, largest).where(F.col("distance") <= F.col(radius))

@@ -265,9 +265,9 @@ def h33_line_measures(spark: SparkSession, d: str) -> DataFrame:
 
 @add(f"SELECT pid, CAST(count(*) AS BIGINT) AS n FROM (SELECT DISTINCT a.pid, b.x, b.y FROM {_POINTS} a JOIN (SELECT DISTINCT x, y FROM {_POINTS} WHERE z = 0) b ON b.x BETWEEN a.x - 1 AND a.x + 1 AND b.y BETWEEN a.y - 0.2 AND a.y + 0.2 WHERE sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= 0.2) GROUP BY pid")
 def j21_bound_objects(spark: SparkSession, d: str) -> DataFrame:
-    left = points(spark, d).select("pid", F.col("x").alias("l_x"), F.col("y").alias("l_y")).distinct()
-    right = points(spark, d).where("z = 0").select(F.col("x").alias("r_x"), F.col("y").alias("r_y")).distinct()
-    return J.within(left, right, 0.2).select("pid", "r_x", "r_y").distinct().groupBy("pid").agg(F.count("*").alias("n"))
+    left = points(spark, d).select("pid", F.col("x").alias("l_x"), F.col("y").alias("l_y"))
+    right = points(spark, d).where("z = 0").select(F.col("x").alias("r_x"), F.col("y").alias("r_y"))
+    return J.count_within(left, right, 0.2, "pid")
 
 
 @add()

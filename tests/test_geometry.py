@@ -122,6 +122,21 @@ def test_nearest_against_numpy(spark):
     assert J.within(left, right, 0.7).count() == int((d <= 0.7).sum())
 
 
+def test_count_within_pairs_nothing(spark):
+    rng = np.random.default_rng(8)
+    left = [(int(k) if k else None, float(x), float(y)) for k, (x, y) in zip(rng.integers(0, 40, 120), rng.uniform(0, 3, (120, 2)))]
+    left += [(7, 1.0, 1.0), (7, 1.0, 1.25), (7, 1.0, 1.0), (8, None, 1.0), (9, math.nan, 1.0)]
+    right = [(float(x), float(y)) for x, y in np.concatenate([rng.uniform(0, 3, (90, 2)), np.round(rng.uniform(0, 3, (90, 2)), 1)])] + [(1.0, 1.125)] * 2
+    want = {}
+    for k, x, y in left:
+        if x is not None:
+            want.setdefault(k, set()).update(q for q in right if math.sqrt((x - q[0]) ** 2 + (y - q[1]) ** 2) <= 0.2)
+    df, other = spark.createDataFrame(left, "pid bigint, l_x double, l_y double"), spark.createDataFrame(right, "r_x double, r_y double")
+    found = J.count_within(df, other, 0.2, "pid")
+    assert {r.pid: r.n for r in found.collect()} == {k: len(v) for k, v in want.items() if v}
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def brute_dbscan(p, eps, least):
     d = np.sqrt(((p[:, None] - p[None]) ** 2).sum(-1)) <= eps + 1e-12
     core = d.sum(1) >= least
