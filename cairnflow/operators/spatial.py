@@ -7,6 +7,7 @@ split cells that hold too many rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairnflow.functions import geometry as G
+from cairnflow.session import materialise
 
 
 def _cells(size: float, axes: list[str], prefix: str) -> list[Column]:
@@ -229,9 +231,28 @@ def link_errors(features: DataFrame, links: DataFrame, reach: float) -> DataFram
 
 
 def outliers_by_count(points: DataFrame, radius: float, least: int, row_id: str) -> DataFrame:
-    """Rows with fewer than so many others within radius. points: row_id, x, y."""
-    # Equal places are counted, not paired.
-    places = points.groupBy("x", "y").agg(F.count("*").alias("n"))
-    left, right = places.select(F.col("x").alias("l_x"), F.col("y").alias("l_y")), places.select(F.col("x").alias("r_x"), F.col("y").alias("r_y"), "n")
-    counted = within(left, right, radius).groupBy(F.col("l_x").alias("x"), F.col("l_y").alias("y")).agg((F.sum("n") - 1).alias("n_near")).where(F.col("n_near") < least)
-    return points.select(row_id, "x", "y").join(counted, ["x", "y"]).select(row_id, "n_near")
+    """Rows with fewer than so many others within radius. points: row_id, x, y. Rows without coordinates drop out.
+
+    Cells are a little narrower than the radius' square: all rows of one are neighbours. Where a cell holds more than
+    ``least`` rows none is an outlier, so only rows of the other cells are compared with those around.
+    """
+    side, reach = 0.999 * radius / math.sqrt(2), 2
+    cells = ["_cx", "_cy"]
+    usable = points.select(row_id, "x", "y").where(" AND ".join(f"abs({a}) < double('infinity')" for a in "xy"))
+    usable = usable.withColumns({f"_c{a}": F.floor(F.col(a) / side) for a in "xy"})
+    # Written, their size is known when the join is planned: a few cells don't move all rows.
+    sparse = materialise(usable.groupBy(*cells).agg(F.count("*").alias("n")).where(F.col("n") <= least).select(*cells), "sparse-cells")
+    shifts = F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y")) for a in range(-reach, reach + 1) for b in range(-reach, reach + 1)])
+
+    def around(df: DataFrame) -> DataFrame:
+        moved = df.withColumn("_o", F.explode(shifts))
+        return moved.withColumns({c: F.col(c) + F.col(f"_o.{a}") for a, c in zip("xy", cells)}).drop("_o")
+
+    rows = materialise(usable.join(sparse, cells, "left_semi"), "sparse-rows")
+    near = materialise(around(sparse).distinct(), "near-cells")
+    right = usable.join(near, cells, "left_semi").groupBy(*cells, F.col("x").alias("r_x"), F.col("y").alias("r_y")).agg(F.count("*").alias("n"))
+    left = around(rows.select(F.col("x").alias("l_x"), F.col("y").alias("l_y"), *cells).distinct())
+    apart = F.sqrt((F.col("l_x") - F.col("r_x")) * (F.col("l_x") - F.col("r_x")) + (F.col("l_y") - F.col("r_y")) * (F.col("l_y") - F.col("r_y")))
+    pairs = left.join(right, cells).where(apart <= radius)
+    counted = pairs.groupBy(F.col("l_x").alias("x"), F.col("l_y").alias("y")).agg((F.sum("n") - 1).alias("n_near")).where(F.col("n_near") < least)
+    return rows.select(row_id, "x", "y").join(counted, ["x", "y"]).select(row_id, "n_near")

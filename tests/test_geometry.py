@@ -137,6 +137,23 @@ def test_count_within_pairs_nothing(spark):
     assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_outliers_by_count_beside_full_cells(spark):
+    rng = np.random.default_rng(3)
+    p = [tuple(map(float, q)) for q in np.concatenate([rng.uniform(-2, 2, (60, 2)), rng.normal(0.2, 0.1, (200, 2))])] + [(1.5, 1.5)] * 6
+    df = spark.createDataFrame([(i, *q) for i, q in enumerate([*p, (None, 1.0), (math.nan, 0.0)])], "pid bigint, x double, y double")
+    n = [sum(math.sqrt((a - c) ** 2 + (b - d) ** 2) <= 0.5 for c, d in p) - 1 for a, b in p]
+    assert {r.pid: r.n_near for r in J.outliers_by_count(df, 0.5, 12, "pid").collect()} == {i: k for i, k in enumerate(n) if k < 12}
+
+
+def test_outliers_by_count_pairs_no_full_cells(spark):
+    """A thousand places in one cell would be a million pairs."""
+    df = spark.range(1000).select(F.col("id").alias("pid"), (F.col("id") / 10000).alias("x"), F.lit(0.0).alias("y"))
+    found = J.outliers_by_count(df, 0.5, 12, "pid")
+    assert found.count() == 0
+    compared = [f for f in found.inputFiles() if "sparse-rows" in f]
+    assert compared and spark.read.parquet(*compared).count() == 0
+
+
 def brute_dbscan(p, eps, least):
     d = np.sqrt(((p[:, None] - p[None]) ** 2).sum(-1)) <= eps + 1e-12
     core = d.sum(1) >= least
