@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairnflow.session import delete_path, materialise, materialise_at
@@ -196,17 +196,15 @@ def convex_hulls(df: DataFrame, by: str, x: str, y: str) -> DataFrame:
 def two_layers(df: DataFrame, size: float = 0.2, gap: float = 2.0) -> DataFrame:
     """Rows with layer 1 or 2: within a cell the points from the top down; more than gap below the last of layer 1 is layer 2.
 
-    A point within the gap joins layer 1 and becomes its last; the scan is a fold over the cell's sorted heights.
+    A point within the gap joins layer 1 and becomes its last. All below the first wider gap are still farther from that
+    last point, so a sort of the cell's heights and a running flag tell the layers; no cell is held as an array. Points
+    without height come last, below any that has one.
     """
     cells = [F.floor(F.col(a) / size).alias(f"c{a}") for a in ("x", "y")]
-    packed = df.groupBy(*cells).agg(F.sort_array(F.collect_list(F.struct("z", "id")), asc=False).alias("r"))
-    start = F.struct(F.lit(None).cast("double").alias("last"), F.slice(F.transform("r", lambda p: F.struct(p["id"].alias("id"), p["z"].alias("z"), F.lit(0).alias("layer"))), 1, 0).alias("out"))
-
-    def step(s: Column, p: Column) -> Column:
-        upper = s["last"].isNull() | (s["last"] - p["z"] <= gap)
-        return F.struct(F.when(upper, p["z"]).otherwise(s["last"]).alias("last"), F.concat(s["out"], F.array(F.struct(p["id"].alias("id"), p["z"].alias("z"), F.when(upper, 1).otherwise(2).alias("layer")))).alias("out"))
-
-    return packed.select("cx", "cy", F.explode(F.aggregate("r", start, step, lambda s: s["out"])).alias("o")).select("cx", "cy", "o.id", "o.z", "o.layer")
+    w = Window.partitionBy("cx", "cy").orderBy(F.desc_nulls_last("z"), F.desc_nulls_last("id"))
+    above = F.lag("z").over(w)
+    rows = df.select(*cells, "id", "z").withColumn("_gap", F.coalesce(above - F.col("z") > gap, above.isNotNull()))
+    return rows.select("cx", "cy", "id", "z", F.when(F.max("_gap").over(w.rowsBetween(Window.unboundedPreceding, 0)), 2).otherwise(1).alias("layer"))
 
 
 def boundary_edges(triangles: DataFrame) -> DataFrame:

@@ -223,6 +223,22 @@ def test_layers(spark):
     assert {r.id: r.layer for r in cluster.two_layers(df).collect()} == {1: 1, 2: 1, 3: 1, 4: 2, 5: 1}
 
 
+def test_two_layers_folds_no_arrays(spark):
+    rng = random.Random(6)
+    rows = [(i, rng.random() * 4, rng.random(), rng.choice([None, math.nan, rng.random() * 30, rng.random() * 3])) for i in range(400)]
+    want, last = {}, {}
+    tall = lambda z: (0, 0) if z is None else (2, 0) if math.isnan(z) else (1, z)
+    for i, x, _, z in sorted(rows, key=lambda r: (tall(r[3]), r[0]), reverse=True):
+        cell = math.floor(x / 0.2), math.floor(_ / 0.2)
+        upper = last.get(cell) is None or (z is not None and last[cell] - z <= 2)
+        want[i] = 1 if upper else 2
+        if upper:
+            last[cell] = z
+    found = cluster.two_layers(spark.createDataFrame(rows, "id bigint, x double, y double, z double"))
+    assert {r.id: r.layer for r in found.collect()} == want and set(want.values()) == {1, 2}
+    assert "collect_list" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_fits(spark):
     t = np.linspace(0, 5, 40)
     df = spark.createDataFrame([("c", float(3 + 2 * math.cos(a)), float(-1 + 2 * math.sin(a))) for a in t], "k string, x double, y double")
