@@ -48,23 +48,33 @@ def _grid(points: DataFrame, axes: list[str], side: float) -> DataFrame:
     return points.withColumns({f"_c{a}": F.floor(F.col(a) / side) for a in axes})
 
 
+def few(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """A written table, broadcast in joins where it has at most so many rows, so that the other side isn't moved."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def dbscan(points: DataFrame, row_id: str, axes: list[str], eps: float, least: int, by: str | None = None) -> DataFrame:
     """row_id, cluster: 0 for noise, else the smallest row_id among the cluster's cores. A point counts itself.
 
-    Cells have the diagonal eps: where one holds ``least`` points, all of them are cores of one cluster, so only sparse
-    cells count neighbours, and cells, not points, are linked. A border point joins its smallest cluster. Of rows with
-    one id the smallest counts; rows without id or coordinates drop out. Given ``by``, points of different values of it
-    are never neighbours; all values are clustered in the same pass.
+    Cells have a diagonal just under eps: where one holds ``least`` points, all of them are cores of one cluster, so
+    only the points of sparse cells are compared with those around. Cells, not points, are linked: by their outermost
+    cores where these are near, and only between cells still apart then by all cores near the other cell's box. A
+    border point joins its smallest cluster. Of rows with one id the smallest counts; rows without id or coordinates
+    drop out. Given ``by``, points of different values of it are never neighbours; all values are clustered in the same
+    pass.
     """
     extra = [by] if by else []
-    side = eps / math.sqrt(len(axes))
-    reach = math.ceil(math.sqrt(len(axes)))
+    side = 0.999 * eps / math.sqrt(len(axes))
+    reach = math.ceil(eps / side)
     cells = [f"_c{a}" for a in axes]
     where = [*cells, *extra]
     single = points.where(F.col(row_id).isNotNull()).groupBy(F.col(row_id).alias("id")).agg(F.min(F.struct(*axes, *extra)).alias("_p")).select("id", *[F.col(f"_p.{a}").alias(a) for a in (*axes, *extra)])
     usable = single.where(" AND ".join(f"{a} IS NOT NULL AND NOT isnan({a})" for a in axes)).where(F.lit(True) if by is None else F.col(by).isNotNull())
-    p = materialise(_grid(usable, axes, side), "cells")
-    offsets = F.array(*[F.struct(*[F.lit(o).cast("bigint").alias(f"o{a}") for a, o in zip(axes, shift)]) for shift in itertools.product(range(-reach, reach + 1), repeat=len(axes))])
+    # Cells are computed again at each read, they aren't written.
+    p = _grid(materialise(usable, "points"), axes, side)
+    # What is near in no axis by the gap between cells alone can't be near.
+    shifts = [s for s in itertools.product(range(-reach, reach + 1), repeat=len(axes)) if sum(max(abs(o) - 1, 0) ** 2 for o in s) * side * side <= eps * eps * 1.001]
+    offsets = F.array(*[F.struct(*[F.lit(o).cast("bigint").alias(f"o{a}") for a, o in zip(axes, shift)]) for shift in shifts])
 
     def spread(df: DataFrame, prefix: str) -> DataFrame:
         """Rows copied to the cells around; the own cell is kept as prefix columns."""
@@ -75,23 +85,46 @@ def dbscan(points: DataFrame, row_id: str, axes: list[str], eps: float, least: i
         apart = sum(((F.col(a) - F.col(f"s_{a}")) * (F.col(a) - F.col(f"s_{a}")) for a in axes), F.lit(0.0))
         return left.join(right, where).where(apart <= eps * eps + 1e-12)
 
-    size = p.groupBy(*where).agg(F.count("*").alias("n_cell"))
-    sized = p.join(size, where)
-    sparse = sized.where(F.col("n_cell") < least).select("id", *axes, *where)
-    places = p.groupBy(*axes, *where).agg(F.count("*").alias("n"))
+    # The tables below are those of cells, or of the points of sparse cells and around them.
+    sparse_cells = few(materialise(p.groupBy(*where).agg(F.count("*").alias("n_cell")).where(F.col("n_cell") < least).select(*where), "sparse-cells"))
+    sparse = materialise(p.join(sparse_cells, where, "left_semi").select("id", *axes, *where), "sparse")
+    around = few(materialise(spread(sparse_cells, "s_").select(*where).distinct(), "near-cells"))
+    places = p.join(around, where, "left_semi").groupBy(*axes, *where).agg(F.count("*").alias("n"))
     counted = near(places, spread(sparse, "s_")).groupBy(F.col("s_id").alias("id")).agg(F.sum("n").alias("n_near")).where(F.col("n_near") >= least).select("id")
-    cores = materialise(sized.where(F.col("n_cell") >= least).select("id", *axes, *where).unionByName(sparse.join(counted, "id", "left_semi")), "cores")
+    sparse_cores = materialise(sparse.join(counted, "id", "left_semi"), "sparse-cores")
+    dense = p.join(sparse_cells, where, "left_anti").select("id", *axes, *where)
+    cores = dense.unionByName(sparse_cores)
     key = lambda prefix="": F.concat_ws(",", *[F.col(f"{prefix}{c}").cast("string") for c in where])
-    core_places = cores.select(*axes, *where).distinct()
-    links = near(core_places, spread(core_places, "s_")).select(key().alias("a"), key("s_").alias("b")).where("a < b").distinct()
-    groups = connected_components(cores.select(key().alias("node")).distinct(), links)
-    labelled = cores.withColumn("node", key()).join(groups, "node")
-    smallest = labelled.groupBy("component").agg(F.min("id").alias("cluster"))
-    labelled = materialise(labelled.join(smallest, "component").select("id", *axes, *where, "cluster"), "core-clusters")
-    rest = p.join(labelled.select("id"), "id", "left_anti")
-    places = labelled.groupBy(*axes, *where).agg(F.min("cluster").alias("cluster"))
-    border = near(places, spread(rest, "s_")).groupBy(F.col("s_id").alias("id")).agg(F.min("cluster").alias("cluster"))
-    out = labelled.select("id", "cluster").unionByName(rest.select("id").join(border, "id", "left").select("id", F.coalesce("cluster", F.lit(0)).alias("cluster")))
+    turns = [F.struct(*axes[k:], *axes[:k]) for k in range(len(axes))]
+    outer = [f(turn).alias(f"_e{n}{k}") for k, turn in enumerate(turns) for n, f in enumerate((F.min, F.max))]
+    box = [x for a in axes for x in (F.min(a).alias(f"_low{a}"), F.max(a).alias(f"_high{a}"))]
+    core_cells = few(materialise(cores.groupBy(*where).agg(F.min("id").alias("first"), *outer, *box), "core-cells"))
+    outermost = core_cells.select(*where, F.explode(F.array_distinct(F.array(*[F.struct(*[F.col(f"_e{n}{k}.{a}").alias(a) for a in axes]) for k in range(len(axes)) for n in (0, 1)]))).alias("_e")).select(*where, *[F.col(f"_e.{a}").alias(a) for a in axes])
+    nodes = core_cells.select(key().alias("node"))
+    ends = lambda pairs: pairs.select(key().alias("a"), key("s_").alias("b")).where("a < b").distinct()
+    links = materialise(ends(near(outermost, spread(outermost, "s_"))), "links")
+    groups = materialise(connected_components(nodes, links), "groups")
+    # Neighbouring cells that are still apart: their cores near the other's box decide.
+    boxes = core_cells.withColumn("node", key()).join(groups, "node").drop("node")
+    gap = sum((F.pow(F.greatest(F.lit(0.0), F.col(f"_low{a}") - F.col(f"s__high{a}"), F.col(f"s__low{a}") - F.col(f"_high{a}")), F.lit(2)) for a in axes), F.lit(0.0))
+    bounds = [f"_{n}{a}" for a in axes for n in ("low", "high")]
+    open_pairs = boxes.select(*where, *bounds, "component").join(spread(boxes.select(*where, *bounds, "component"), "s_"), where).where((F.col("component") != F.col("s_component")) & (gap <= eps * eps * 1.001 + 1e-12))
+    open_pairs = few(materialise(open_pairs.select(*where, *[f"s_{c}" for c in (*where, *bounds)]), "open-pairs"))
+    if not open_pairs.isEmpty():
+        off = sum((F.pow(F.greatest(F.lit(0.0), F.col(f"s__low{a}") - F.col(a), F.col(a) - F.col(f"s__high{a}")), F.lit(2)) for a in axes), F.lit(0.0))
+        facing = cores.join(open_pairs, where).where(off <= eps * eps * 1.001 + 1e-12).select(*axes, *where, *[f"s_{c}" for c in where]).distinct()
+        facing = materialise(facing, "facing")
+        other = facing.select(*[F.col(a).alias(f"t_{a}") for a in axes], *[F.col(c).alias(f"s_{c}") for c in where], *[F.col(f"s_{c}").alias(c) for c in where])
+        apart = sum(((F.col(a) - F.col(f"t_{a}")) * (F.col(a) - F.col(f"t_{a}")) for a in axes), F.lit(0.0))
+        more = ends(facing.join(other, [*where, *[f"s_{c}" for c in where]]).where(apart <= eps * eps + 1e-12))
+        groups = materialise(connected_components(nodes, links.unionByName(more)), "all-groups")
+    known = core_cells.withColumn("node", key()).join(groups, "node").select(*where, "first", "component")
+    smallest = known.groupBy("component").agg(F.min("first").alias("cluster"))
+    label = few(materialise(known.join(smallest, "component").select(*where, "cluster"), "cell-clusters"))
+    rest = sparse.join(sparse_cores.select("id"), "id", "left_anti")
+    facing_rest = cores.join(around, where, "left_semi").select(*axes, *where).distinct().join(label, where)
+    border = near(facing_rest, spread(rest, "s_")).groupBy(F.col("s_id").alias("id")).agg(F.min("cluster").alias("cluster"))
+    out = cores.join(label, where).select("id", "cluster").unionByName(rest.select("id").join(border, "id", "left").select("id", F.coalesce("cluster", F.lit(0)).alias("cluster")))
     return out.select(F.col("id").alias(row_id), "cluster")
 
 
@@ -150,7 +183,12 @@ def neighbour_mean(cells: DataFrame, value: str, reach: tuple[int, int], weight=
 
 def hull(points: np.ndarray) -> np.ndarray:
     """Corners of the convex hull, anticlockwise from the leftmost; collinear points are left out."""
-    p = np.unique(points[np.isfinite(points).all(axis=1)], axis=0)
+    p = points[np.isfinite(points).all(axis=1)]
+    p = p[np.lexsort((p[:, 1], p[:, 0]))]
+    # Of equal x only the lowest and the highest can be corners.
+    turn = np.diff(p[:, 0]) != 0
+    p = p[np.append(True, turn)[: len(p)] | np.append(turn, True)[: len(p)]]
+    p = p[np.append(True, (np.diff(p, axis=0) != 0).any(axis=1))[: len(p)]]
     if len(p) < 3:
         return p
 
@@ -215,7 +253,7 @@ def boundary_edges(triangles: DataFrame) -> DataFrame:
 
 def oriented_box(df: DataFrame, by: list[str], x: str, y: str, angle: Column) -> DataFrame:
     """by, length, width of the rectangle along each group's angle. angle: an aggregate, e.g. the principal direction."""
-    axis = df.groupBy(*by).agg(angle.alias("_a"))
+    axis = few(materialise(df.groupBy(*by).agg(angle.alias("_a")), "axes"))
     u = F.col(x) * F.cos("_a") + F.col(y) * F.sin("_a")
     v = F.col(y) * F.cos("_a") - F.col(x) * F.sin("_a")
     return df.join(axis, by).groupBy(*by).agg((F.max(u) - F.min(u)).alias("length"), (F.max(v) - F.min(v)).alias("width"))

@@ -182,6 +182,23 @@ def test_dbscan_against_numpy(spark, dims):
     assert [got[i + 1] for i in range(len(p))] == brute_dbscan(p, 0.35, 4).tolist()
 
 
+def test_dbscan_writes_full_cells_once(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    p = np.concatenate([rng.uniform(0, 3, (400, 2)), rng.uniform(6, 6.1, (3000, 2))])
+    df = spark.createDataFrame([(i + 1, *map(float, q)) for i, q in enumerate(p)], "pid int, x double, y double")
+    sizes, real = [], cluster.materialise
+
+    def written(rows, name, by=None):
+        out = real(rows, name, by)
+        sizes.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(cluster, "materialise", written)
+    got = {r.pid: r.cluster for r in cluster.dbscan(df, "pid", ["x", "y"], 0.2, 3).collect()}
+    assert [got[i + 1] for i in range(len(p))] == brute_dbscan(p, 0.2, 3).tolist()
+    assert [name for name, n in sizes if n >= 3000 and name != "edges"] == ["points"], sizes
+
+
 def test_components(spark):
     rng = random.Random(4)
     nodes, edges = range(200), [(i, i + 1) for i in range(0, 60)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(70)]
