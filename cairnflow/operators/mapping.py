@@ -69,9 +69,9 @@ def mark_boxes(points: DataFrame, eps: float, least: int, voxel: float | None, m
     """cluster, n, area, length, width of compact marks in a cloud (id, x, y): thin, cluster, keep by size, box along the main axis."""
     if voxel:
         points = points.groupBy(A.voxel(F.col("x"), voxel).alias("_vx"), A.voxel(F.col("y"), voxel).alias("_vy")).agg(F.min("id").alias("id"), F.avg("x").alias("x"), F.avg("y").alias("y")).drop("_vx", "_vy")
-    found = points.join(cluster.dbscan(points, "id", ["x", "y"], eps, least), "id").where("cluster <> 0")
-    size = found.groupBy("cluster").agg(F.count("*").alias("n")).where(F.col("n") >= min_points)
-    kept = materialise(found.join(size.select("cluster"), "cluster", "left_semi"), "marks")
+    found = materialise(points.select("id", "x", "y").join(cluster.dbscan(points, "id", ["x", "y"], eps, least).where("cluster <> 0"), "id").select("cluster", "x", "y"), "marks")
+    size = cluster.few(materialise(found.groupBy("cluster").agg(F.count("*").alias("n")).where(F.col("n") >= min_points), "mark-sizes"))
+    kept = found.join(size.select("cluster"), "cluster", "left_semi")
     corners = cluster.convex_hulls(kept, "cluster", "x", "y")
     ring = corners.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("corner", "x", "y"))).alias("ring"))
     area = ring.select("cluster", F.abs(G.signed_area(F.col("ring"))).alias("area")).where(F.col("area") >= min_area)
