@@ -83,8 +83,8 @@ def labelled_areas(points: DataFrame, eps: float = 1.0, least: int = 10, labels:
     """label, cluster, corner, x, y, z: hulls of clusters per label, anticlockwise from the leftmost, each corner with the height of a point there."""
     own = points.where(F.col("label").between(*labels))
     found = materialise(own.join(cluster.dbscan(own, "id", ["x", "y"], eps, least, by="label"), "id").where("cluster <> 0"), "areas")
-    corners = cluster.convex_hulls(found, "cluster", "x", "y")
-    heights = found.groupBy("cluster", "x", "y").agg(F.min("z").alias("z"), F.min("label").alias("label"))
+    corners = cluster.few(materialise(cluster.convex_hulls(found, "cluster", "x", "y"), "corners"))
+    heights = found.join(corners.select("cluster", "x", "y"), ["cluster", "x", "y"], "left_semi").groupBy("cluster", "x", "y").agg(F.min("z").alias("z"), F.min("label").alias("label"))
     out = corners.join(heights, ["cluster", "x", "y"]).select("label", "cluster", "corner", "x", "y", "z")
     sized = out.groupBy("label", "cluster").agg(F.count("*").alias("n")).where("n >= 3")
     return out.join(sized, ["label", "cluster"], "left_semi")
